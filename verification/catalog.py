@@ -1,4 +1,4 @@
 """Imports every query module, so that the registry is complete."""
 
-from verification import queries_results  # noqa: F401
+from verification import queries_players, queries_results, queries_teams  # noqa: F401
 from verification.registry import QUERIES, SQL  # noqa: F401
