@@ -1,4 +1,6 @@
 """Imports every query module, so that the registry is complete."""
 
-from verification import queries_players, queries_results, queries_teams  # noqa: F401
+from verification import (  # noqa: F401
+    queries_ingest, queries_players, queries_results, queries_teams,
+)
 from verification.registry import QUERIES, SQL  # noqa: F401
