@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pitchlake.functions import labels
 from pitchlake.functions.numeric import count_if, exact, mean, ratio, total
 from pitchlake.operators.club_games import last_n, top_per_group
+from pitchlake.session import materialise
 
 PLAYER = ("player_id", "name", "position", "team")
 
@@ -32,10 +33,12 @@ def in_recent_games(
 ) -> DataFrame:
     """Player rows of each team's last n games.
 
-    The game list has at most n rows per team, so the semi join is a broadcast
-    as soon as its measured size allows it.
+    The game list has at most n rows per team. It is written once to the shared
+    folder, so Spark knows its size and broadcasts a small list; a large one is
+    joined by shuffle. Pass the result to several leaderboards to find it only once.
     """
-    return players.join(recent_games(players, n, by), [*by, "id_jogo"], "left_semi")
+    games = materialise(recent_games(players, n, by), "recent-games")
+    return players.join(games, [*by, "id_jogo"], "left_semi")
 
 
 def measure(metric: str, how: str = "sum") -> Column:
@@ -97,10 +100,12 @@ def regulars(
 ) -> DataFrame:
     """Mean of a metric for players with at least ``share`` of the most minutes played.
 
-    Minutes are counted per player and team; the highest total of each ``within``
-    group comes from a second, tiny aggregate.
+    Minutes are counted per player and team. The totals are written once and read
+    for both the highest total of each ``within`` group and the filter.
     """
-    table = totals(players, metric, "mean", [*within, *PLAYER], with_minutes=True)
+    table = materialise(
+        totals(players, metric, "mean", [*within, *PLAYER], with_minutes=True), "player-totals"
+    )
     most = table.groupBy(*within).agg(F.max("minutos").alias("_most"))
     enough = F.col("minutos") * 100 >= F.col("_most") * F.lit(round(share * 100))
     return table.join(most, list(within)).filter(enough).drop("_most")

@@ -28,7 +28,8 @@ def insert_ignore(
 ) -> DataFrame:
     """The first incoming row of each key (under ``order``) that is not stored yet."""
     ordered = list(order) or [F.col(c) for c in incoming.columns if c not in key]
-    return latest_per_key(new_rows(incoming, stored, key), key, ordered)
+    # Copies are cut to one row before the shuffle, so a heavily repeated key stays cheap.
+    return new_rows(latest_per_key(incoming, key, ordered), stored, key)
 
 
 def is_blank(c: Column) -> Column:
@@ -96,19 +97,32 @@ def align(
     ])
 
 
-def append_counted(df: DataFrame, path: str) -> int:
-    """Append to a Parquet table and return the rows written, counted during the write."""
+def append_counted(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+    """Append to a Parquet table and return the rows written, counted during the write.
+
+    Partition match and statistics tables by ``temporada``, so that season scopes
+    read only their own files.
+    """
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("linhas")).write.mode("append").parquet(path)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("linhas")).write.mode("append")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     return seen.get["linhas"]
 
 
 def insert_new(
-    incoming: DataFrame, path: str, key: Sequence[str] = ("id_jogo",)
+    incoming: DataFrame,
+    path: str,
+    key: Sequence[str] = ("id_jogo",),
+    partition_by: Sequence[str] = (),
 ) -> int:
-    """Append the rows whose key the Parquet table does not have; returns how many."""
-    stored = incoming.sparkSession.read.parquet(path)
-    return append_counted(new_rows(incoming, stored, key), path)
+    """Append the rows whose key the Parquet table does not have; returns how many.
+
+    ``partition_by`` must be the table's own partitioning.
+    """
+    stored = incoming.sparkSession.read.schema(incoming.schema).parquet(path)
+    return append_counted(new_rows(incoming, stored, key), path, partition_by)
 
 
 def save_reports(reports: Mapping[str, DataFrame], folder: str, fmt: str = "parquet") -> None:

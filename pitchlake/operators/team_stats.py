@@ -10,8 +10,9 @@ from pitchlake.functions.numeric import (
     decimal_total, exact, mean, pct, ratio, total, truncated,
 )
 from pitchlake.operators.club_games import (
-    at_least, club_games, last_n, top_per_group,
+    CHRONOLOGICAL, club_games, last_n, top_per_group,
 )
+from pitchlake.session import materialise
 
 CARD_KEY = ("periodo", "temporada", "clube")
 PERCENT_COLUMNS = ("ball_possession", "duels", "tackles_won")
@@ -99,11 +100,10 @@ def leaderboard(
     ``how`` is 'sum' or 'mean'. The sums of all metrics are made together, then
     turned into (metrica, valor) rows and ranked inside (by, metrica).
     """
-    stats = typed(stats)
-    if min_games is not None:
-        stats = at_least(stats, [*by, "clube"], min_games)
     aggs = [_measure(m, how, digits, truncate).alias(m) for m in metrics]
-    wide = stats.groupBy(*by, "clube").agg(*aggs)
+    wide = typed(stats).groupBy(*by, "clube").agg(*aggs, F.count(F.lit(1)).alias("_games"))
+    if min_games is not None:
+        wide = wide.filter(F.col("_games") >= min_games)
     long = wide.select(
         *by, "clube",
         F.explode(
@@ -177,16 +177,18 @@ def faced(
 ) -> DataFrame:
     """Statistics of both sides of each club's last n games, seen from that club.
 
-    The recent games (at most n per club) are the small side of one join on the
-    match id; ``proprio`` tells the club's own row from the opponent's. A match
-    of two recent opponents gives rows for each of them.
+    The recent games (at most n per club) are written once to the shared folder;
+    Spark then knows their size, and a small list is broadcast instead of shuffling
+    the statistics. ``proprio`` tells the club's own row from the opponent's. A
+    match of two recent opponents gives rows for each of them.
     """
     games = club_games(matches)
-    recent = games if n is None else last_n(games, n, by)
-    recent = recent.select(
-        *[c for c in by if c != "clube"], F.col("clube").alias("clube_analise"),
-        "id_jogo", "gols_marcados", "gols_sofridos",
+    recent = games.select(
+        *by, F.col("clube").alias("clube_analise"), *CHRONOLOGICAL, "gols_marcados", "gols_sofridos"
     )
+    if n is not None:
+        recent = materialise(last_n(recent, n, by), "recent-games")
+    recent = recent.drop("clube", *(c for c in CHRONOLOGICAL if c != "id_jogo"))
     stats = typed(team_stats.filter(F.col("periodo") == periodo).drop("temporada", "periodo"))
     return stats.join(recent, "id_jogo").withColumn(
         "proprio", F.col("clube") == F.col("clube_analise")

@@ -1,15 +1,31 @@
 """Column contracts of the tables and of the source documents."""
 
+import re
+
 from pyspark.sql import types as T
 
-MATCHES = T.StructType.fromDDL("""
+_TYPES = {
+    "BIGINT": T.LongType(), "INT": T.IntegerType(), "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(), "BOOLEAN": T.BooleanType(), "DATE": T.DateType(),
+    "TIMESTAMP": T.TimestampType(), "DECIMAL(8,2)": T.DecimalType(8, 2),
+    "DECIMAL(18,2)": T.DecimalType(18, 2),
+}
+
+
+def _table(columns: str) -> T.StructType:
+    """Flat schema from 'name TYPE, ...' text; works before a session exists."""
+    pairs = [c.split() for c in re.split(r",\s*(?![^()]*\))", columns.strip())]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+MATCHES = _table("""
     id_jogo BIGINT, data DATE, hora STRING, pais STRING, campeonato STRING, rodada STRING,
     casa STRING, fora STRING, gols_casa INT, gols_fora INT, temporada STRING,
     odd_casa DECIMAL(8,2), odd_empate DECIMAL(8,2), odd_fora DECIMAL(8,2),
     cadastrado_em TIMESTAMP
 """)
 
-TEAM_STATS = T.StructType.fromDDL("""
+TEAM_STATS = _table("""
     id_jogo BIGINT, periodo STRING, clube STRING, temporada STRING,
     ball_possession STRING, duels STRING, tackles_won STRING, crosses STRING,
     long_balls STRING, ground_duels STRING, aerial_duels STRING, expected_goals DOUBLE,
@@ -21,7 +37,7 @@ TEAM_STATS = T.StructType.fromDDL("""
     recoveries INT, clearances INT, goalkeeper_saves INT, yellow_cards INT, red_cards INT
 """)
 
-PLAYER_STATS = T.StructType.fromDDL("""
+PLAYER_STATS = _table("""
     id_jogo BIGINT, team STRING, player_id BIGINT, name STRING, position STRING,
     jersey_number INT, height INT, date_of_birth_timestamp BIGINT, country STRING,
     value DECIMAL(18,2), substitute BOOLEAN, captain BOOLEAN, rating DOUBLE,
@@ -31,12 +47,12 @@ PLAYER_STATS = T.StructType.fromDDL("""
     temporada STRING
 """)
 
-GOALS = T.StructType.fromDDL("""
+GOALS = _table("""
     id_jogo BIGINT, temporada STRING, campeonato STRING, clube_gol STRING, minutos INT,
     forma_gol STRING, placar STRING, cadastrado_em TIMESTAMP
 """)
 
-HISTORY = T.StructType.fromDDL("""
+HISTORY = _table("""
     data DATE, campeonato STRING, temporada STRING, casa STRING, gols_casa INT,
     gols_fora INT, fora STRING, cadastrado_em TIMESTAMP
 """)

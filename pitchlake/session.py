@@ -5,7 +5,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(name: str = "pitchlake", cpus: str = "8", **conf: str) -> SparkSession:
@@ -17,6 +17,7 @@ def local_session(name: str = "pitchlake", cpus: str = "8", **conf: str) -> Spar
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -41,3 +42,26 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = _local_base()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    The copy survives lost executors, cuts the lineage, and has a known size: joins
+    with it are broadcast below ``spark.sql.autoBroadcastJoinThreshold`` and
+    shuffled above it.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores for an input of few splits (one small file with one row group).
+
+    An input that already has a split per core, as any large table has, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)

@@ -2,7 +2,9 @@
 
 Each function takes a frame with the document text in ``doc`` (and the match
 context it needs) and stays inside the JVM: ``from_json``, array functions and
-``explode``; no document is ever grouped with another.
+``explode``; no document is ever grouped with another. The parsed arrays go through
+``posexplode_outer`` and a filter, because a plain explode makes Spark add a
+not-empty test that parses every document twice.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -74,7 +76,7 @@ def flatten_team_stats(docs: DataFrame) -> DataFrame:
     context = ["id_jogo", "casa", "fora", "temporada"]
     parsed = docs.select(*context, F.from_json("doc", schemas.STATISTICS_DOC)["statistics"].alias("s"))
     periods = parsed.select(
-        *context, F.transform("s", lambda p: p["period"]).alias("names"), F.posexplode("s")
+        *context, F.transform("s", lambda p: p["period"]).alias("names"), F.posexplode_outer("s")
     ).filter(F.array_position("names", F.col("col.period")) == F.col("pos") + 1)
     items = F.flatten(F.transform("col.groups", lambda g: F.coalesce(
         g["statisticsItems"], F.array().cast("array<struct<name:string,home:string,away:string>>"))))
@@ -168,7 +170,7 @@ def flatten_goals(docs: DataFrame) -> DataFrame:
     """
     context = ["id_jogo", "casa", "fora", "temporada", "campeonato"]
     parsed = docs.select(*context, F.from_json("doc", schemas.INCIDENTS_DOC)["incidents"].alias("i"))
-    goals = parsed.select(*context, F.posexplode("i").alias("ordem", "g")).filter(
+    goals = parsed.select(*context, F.posexplode_outer("i").alias("ordem", "g")).filter(
         F.col("g.incidentType") == "goal"
     )
     actions = F.col("g.footballPassingNetworkAction")

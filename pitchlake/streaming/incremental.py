@@ -80,10 +80,12 @@ def useful_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
 
 def store_batch(batch: DataFrame, batch_id: int, log_dir: str) -> None:
     """Write one micro-batch; running it again gives the same log."""
+    unique = merge_batch(sinks.align(batch, schemas.MATCHES)).persist()
     log = read_log(batch.sparkSession, log_dir).filter(F.col(BATCH) != batch_id)
-    unique = merge_batch(sinks.align(batch, schemas.MATCHES))
-    rows = useful_rows(unique, current_matches(log))
-    rows.write.mode("overwrite").parquet(f"{log_dir}/{BATCH}={batch_id}")
+    # Only the matches of this batch are looked up, not the whole log's state.
+    stored = current_matches(log.join(unique.select("id_jogo"), "id_jogo", "left_semi"))
+    useful_rows(unique, stored).write.mode("overwrite").parquet(f"{log_dir}/{BATCH}={batch_id}")
+    unique.unpersist()
 
 
 def load_events(

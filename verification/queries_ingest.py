@@ -13,8 +13,10 @@ from verification import docs, views
 from verification.oracle_views import GAMES, GOALS, MATCHES, PLAYERS, STATS
 from verification.registry import half_up, pct, query, with_
 
-EPOCH_DAY = F.lit("1970-01-01").cast("date")
-LOADED = F.lit("2024-01-01 00:00:00").cast("timestamp")
+
+
+def loaded():
+    return F.lit("2024-01-01 00:00:00").cast("timestamp")
 
 
 def iso(c):
@@ -227,7 +229,7 @@ def s09(spark, sf):
     m = views.matches(spark, sf).withColumn("id", F.col("id_jogo")).withColumn(
         "cadastrado_em", F.date_format("cadastrado_em", "dd/MM/yyyy HH:mm"))
     path = docs.write_csv(m.select(*fixed.MATCH_BACKUP_COLUMNS), "backup", sep=";", header=True)
-    return files.read_matches_csv(spark, path, LOADED).select(
+    return files.read_matches_csv(spark, path, loaded()).select(
         "id_jogo", iso("data"), "hora", "casa", "fora", "gols_casa", "gols_fora", "temporada",
         dbl("odd_casa"), F.date_format("cadastrado_em", "yyyy-MM-dd HH:mm:ss").alias("cadastrado_em"))
 
@@ -237,7 +239,7 @@ SELECT id_jogo, temporada, campeonato, clube_gol, minutos, forma_gol, placar FRO
 def s10(spark, sf):
     path = docs.write_csv(views.goals(spark, sf).select(fixed.GOAL_COLUMNS), "goals",
                           sep="|", header=True)
-    return files.read_goals_csv(spark, path, loaded_at=LOADED).drop("cadastrado_em")
+    return files.read_goals_csv(spark, path, loaded_at=loaded()).drop("cadastrado_em")
 
 
 HISTORY_SQL = with_(MATCHES, """
@@ -253,7 +255,7 @@ def s11(spark, sf):
         F.col("gols_casa").alias("Home Goals"), F.col("gols_fora").alias("Placar Fora"),
         F.col("fora").alias("Visitante"))
     path = docs.write_csv(m, "history", sep=";", header=True)
-    return files.read_history_csv(spark, path, loaded_at=LOADED).select(
+    return files.read_history_csv(spark, path, loaded_at=loaded()).select(
         iso("data"), "campeonato", "temporada", "casa", "gols_casa", "gols_fora", "fora")
 
 
@@ -276,7 +278,7 @@ def s11_plain(spark, sf):
     # concat_ws skips the NULL, so every tenth line is one field short
     path = docs.write_lines(
         views.table(spark, sf, "orders").select(F.concat_ws(",", *cells).alias("value")), "plain")
-    return files.read_history_csv(spark, path, loaded_at=LOADED).select(
+    return files.read_history_csv(spark, path, loaded_at=loaded()).select(
         iso("data"), "campeonato", "temporada", "casa", "gols_casa", "gols_fora", "fora")
 
 
