@@ -23,6 +23,17 @@ def local_session(name: str = "pitchlake", cpus: str = "8", **conf: str) -> Spar
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    return configure(spark)
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Adaptive settings the operators count on; safe to set on a running session.
+
+    Hot keys in sort-merge joins are split even where that costs one more shuffle.
+    """
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
 
 

@@ -13,7 +13,8 @@ from pitchlake.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", "4")
+    # Tiny data: interpreted plans start faster than compiled ones.
+    session = local_session("tests", "2", spark__sql__codegen__wholeStage="false")
     yield session
     session.stop()
 

@@ -1,7 +1,10 @@
 """Registry of queries and SQL helpers shared by the oracle."""
 
+import functools
 from collections.abc import Callable
 
+from pitchlake.session import configure
+
 QUERIES: dict[str, Callable] = {}
 SQL: dict[str, str] = {}
 
@@ -12,7 +15,12 @@ def query(name: str, sql: str | None = None):
     def add(fn: Callable) -> Callable:
         if name in QUERIES:
             raise ValueError(f"query registered twice: {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            return fn(configure(spark), sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return fn
