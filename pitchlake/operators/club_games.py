@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchlake.functions import labels
+from pitchlake.session import materialise
 
 # Total chronological order of one club's games.
 CHRONOLOGICAL = ("data", "hora", "id_jogo")
@@ -67,6 +68,21 @@ def last_n(
     return top_per_group(df, n, by, descending(order))
 
 
+def last_n_of_wide(
+    df: DataFrame,
+    n: int = 10,
+    by: Sequence[str] = ("clube",),
+    order: Sequence[str] = CHRONOLOGICAL,
+) -> DataFrame:
+    """``last_n`` for wide rows that are unique on (by, id_jogo).
+
+    Only the keys are sorted and shuffled; the short list of recent keys is written
+    once and picks the wide rows where they are read.
+    """
+    keys = last_n(df.select(*dict.fromkeys([*by, *order])), n, by, order).select(*by, "id_jogo")
+    return df.join(materialise(keys, "recent-keys"), [*by, "id_jogo"], "left_semi")
+
+
 def top_per_group(
     df: DataFrame, k: int, by: Sequence[str], order: Sequence[Column], rank: str | None = None
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from pitchlake.functions.numeric import (
     decimal_total, exact, mean, pct, ratio, total, truncated,
 )
 from pitchlake.operators.club_games import (
-    CHRONOLOGICAL, club_games, last_n, top_per_group,
+    CHRONOLOGICAL, club_games, last_n, last_n_of_wide, top_per_group,
 )
 from pitchlake.session import materialise
 
@@ -31,8 +31,7 @@ def period_card(stats: DataFrame, n: int | None = 10, by: Sequence[str] = CARD_K
     Halves and full match are one aggregation, because the period is a key. Red
     cards are recorded by half, so the full match takes the sum of both halves.
     """
-    stats = typed(stats)
-    recent = stats if n is None else last_n(stats, n, by)
+    recent = typed(stats if n is None else last_n_of_wide(stats, n, by))
     c = F.col
     jogos = c("jogos")
     sums = recent.groupBy(*by).agg(

@@ -110,7 +110,7 @@ player_stats AS (
               WHEN p_size % 10 <= 6 THEN 'Meio-campo' WHEN p_size % 10 <= 8 THEN 'Atacante'
               ELSE 'Verificar' END AS position,
          CAST(1 + l_partkey % 99 AS INTEGER) AS jersey_number,
-         315532800 + l_partkey % 9000 * 86400 AS birth,
+         -315619200 + l_partkey % 9000 * 86400 AS birth,
          'Country ' || CAST(p_size % 7 AS VARCHAR) AS country,
          CAST(round(p_retailprice * 100) AS BIGINT) * 10 AS value,
          l_linenumber > 4 AS substitute,

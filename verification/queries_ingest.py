@@ -191,8 +191,8 @@ def p25(spark, sf):
 
 
 @query("p32_age_in_years", with_(PLAYERS, """
-SELECT id_jogo, player_id, CAST((date_diff('day', CAST(make_timestamp(birth * 1000000) AS DATE),
-  DATE '2020-02-29') * 100) // 36525 AS INTEGER) AS idade FROM player_stats"""))
+SELECT id_jogo, player_id, CAST(floor(date_diff('day', CAST(make_timestamp(birth * 1000000) AS DATE),
+  DATE '2020-02-29') / 365.25) AS INTEGER) AS idade FROM player_stats"""))
 def p32(spark, sf):
     as_of = F.lit("2020-02-29").cast("date")
     return views.player_stats(spark, sf).select(

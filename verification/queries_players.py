@@ -241,8 +241,8 @@ squad AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY temporada, te
     ORDER BY minutos DESC, name, player_id, position) rn
   FROM (SELECT temporada, team, player_id, name, position, sum(minutes) AS minutos,
         max(birth) AS birth, max(value) AS value FROM recent GROUP BY ALL)) WHERE rn <= 11),
-aged AS (SELECT *, (date_diff('day', CAST(make_timestamp(birth * 1000000) AS DATE),
-    DATE '1997-06-15') * 100) // 36525 AS idade FROM squad)""", f"""
+aged AS (SELECT *, CAST(floor(date_diff('day', CAST(make_timestamp(birth * 1000000) AS DATE),
+    DATE '1997-06-15') / 365.25) AS BIGINT) AS idade FROM squad)""", f"""
 SELECT temporada, team, {half_up('sum(idade)', 'count(idade)')} AS idade_media,
   {half_up('sum(value)', 'count(value)')} AS valor_medio FROM aged GROUP BY temporada, team"""))
 def l22(spark, sf):

@@ -185,7 +185,7 @@ def player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(slot <= 8, "F").otherwise("X").alias("position"),
             (1 + pk % 99).cast("int").alias("jersey_number"),
             (160 + pk % 41).cast("int").alias("height"),
-            (F.lit(315532800) + pk % 9000 * 86400).cast("bigint").alias("date_of_birth_timestamp"),
+            (F.lit(-315619200) + pk % 9000 * 86400).cast("bigint").alias("date_of_birth_timestamp"),
             F.concat(F.lit("Country "), (F.col("p_size") % 7).cast("string")).alias("country"),
             (F.round(F.col("p_retailprice") * 100).cast("bigint") * 10)
             .cast("decimal(18,2)").alias("value"),
