@@ -81,15 +81,16 @@ def player_stats_of(
     player_stats: DataFrame, matches: DataFrame, teams: Sequence[str] | None = None
 ) -> DataFrame:
     """Rows of players who were on the pitch, with match context and position names."""
-    played = player_stats.filter(F.col("minutes_played") > 0)
+    # Position names come before the join, so that a later semi join on the match id
+    # can be pushed down to the player rows.
+    played = player_stats.filter(F.col("minutes_played") > 0).withColumn(
+        "position", labels.position_name(F.col("position"))
+    )
     if teams is not None:
         played = played.filter(F.col("team").isin(list(teams)))
         matches = matches_of(matches, teams)
-    return played.join(_context(matches), "id_jogo").withColumns(
-        {
-            "mando": labels.side_of(F.col("team")),
-            "position": labels.position_name(F.col("position")),
-        }
+    return played.join(_context(matches), "id_jogo").withColumn(
+        "mando", labels.side_of(F.col("team"))
     )
 
 
