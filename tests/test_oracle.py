@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from verification import catalog
 from verification.check import TABLES, rows
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -21,10 +22,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.SQL)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_sql(spark, con, name):
     df = contract.queries()[name](spark, SF)
     cur = con.execute(contract.oracle_sql()[name])
