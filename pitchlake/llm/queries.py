@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pitchlake.llm import lang_id, quality
+from pitchlake.llm import decontaminate, lang_id, pieces, quality, simhash
 from pitchlake.llm.common import prepare, remainder, table
 
+MODEL = "piece_bpe_32k.model"
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -34,3 +36,25 @@ def op2_quality(spark, sf_dir):
     held = _held(3, 1)
     out = quality.score(docs, quality.train(docs, labels, ~held))
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(MODEL)
+
+
+@query
+def op3_sentencepiece(spark, sf_dir):
+    return pieces.digests(table(spark, sf_dir, "documents"), tokenizer())
+
+
+@query
+def op5_simhash(spark, sf_dir):
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op10_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
