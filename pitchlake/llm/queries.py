@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pitchlake.llm import decontaminate, lang_id, pieces, quality, simhash
+from pitchlake.llm import decontaminate, lang_id, pieces, pii, quality, simhash
 from pitchlake.llm.common import prepare, remainder, table
 
 MODEL = "piece_bpe_32k.model"
@@ -58,3 +58,9 @@ def op5_simhash(spark, sf_dir):
 @query
 def op10_decontamination(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
