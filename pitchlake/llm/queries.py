@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pitchlake.llm import decontaminate, lang_id, pieces, pii, quality, simhash
+from pitchlake.llm import decontaminate, embed_dedup, lang_id, pieces, pii, quality, simhash
 from pitchlake.llm.common import prepare, remainder, table
 
 MODEL = "piece_bpe_32k.model"
@@ -64,3 +64,8 @@ def op10_decontamination(spark, sf_dir):
 def op9_pii(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return pii.find(docs, pii.train(docs))
+
+
+@query
+def op4_embedding_dedup(spark, sf_dir):
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
