@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pitchlake.llm import decontaminate, embed_dedup, lang_id, pieces, pii, quality, simhash
+from pitchlake.llm import decontaminate, embed_dedup, lang_id, pieces, pii, quality, simhash, suffix_dedup
 from pitchlake.llm.common import prepare, remainder, table
 
 MODEL = "piece_bpe_32k.model"
@@ -69,3 +69,8 @@ def op9_pii(spark, sf_dir):
 @query
 def op4_embedding_dedup(spark, sf_dir):
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op7_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
