@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pitchlake.llm import decontaminate, embed_dedup, lang_id, pieces, pii, quality, simhash, suffix_dedup
+from pitchlake.llm import decontaminate, embed_dedup, html_text, lang_id, pieces, pii, quality, simhash, suffix_dedup
 from pitchlake.llm.common import prepare, remainder, table
 
 MODEL = "piece_bpe_32k.model"
@@ -74,3 +74,8 @@ def op4_embedding_dedup(spark, sf_dir):
 @query
 def op7_suffix_dedup(spark, sf_dir):
     return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_html_text(spark, sf_dir):
+    return html_text.main_text(table(spark, sf_dir, "pages"))
