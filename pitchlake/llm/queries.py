@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pitchlake.llm import decontaminate, embed_dedup, html_text, lang_id, pieces, pii, quality, simhash, suffix_dedup
+from pitchlake.llm import decontaminate, embed_dedup, html_text, lang_id, lm_score, pieces, pii, quality, simhash, suffix_dedup
 from pitchlake.llm.common import prepare, remainder, table
 
 MODEL = "piece_bpe_32k.model"
@@ -79,3 +79,8 @@ def op7_suffix_dedup(spark, sf_dir):
 @query
 def op6_html_text(spark, sf_dir):
     return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_lm_score(spark, sf_dir):
+    return lm_score.score(table(spark, sf_dir, "documents"), _held(5, 1), tokenizer())
