@@ -119,7 +119,7 @@ def blocks(page: str) -> list[tuple[int, str]]:
             stop = re.compile(rf"(?i)</{tag}(?=[\s/>])[^>]*>").search(page, at)
             at = stop.end() if stop else n
             if not chrome:
-                text.append(" " if tag != "title" else "")
+                text.append(" " if tag in ("textarea", "iframe") else "")
             continue
         if tag == "br" or tag in ("td", "th", "img"):
             if not chrome:

@@ -232,30 +232,31 @@ def train(docs: DataFrame, learn: Column | None = None, max_rows: int = MAX_ROWS
     return fit([(k, np.frombuffer(a, np.int32), np.frombuffer(n, np.float32)) for k, a, n in got])
 
 
-def predict(docs: DataFrame, model: Model | None, keep: list[str] | None = None) -> DataFrame:
-    """lang_pred, score and rejected for each row, beside the columns in ``keep``."""
-    keep = ["doc_id"] if keep is None else keep
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    names = [f"_c{i}" for i in range(len(keep))]
-    source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)], F.col("text").alias("_text"))
+def predict(docs: DataFrame, model: Model | None) -> DataFrame:
+    """doc_id, lang_pred, score and rejected for each row."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            lang, best, rejected = score(own, batch.column(len(names)).to_pylist())
+            lang, best, rejected = score(own, batch.column(1).to_pylist())
             found = pa.array([own.langs[i] if i >= 0 else "und" for i in lang], pa.string())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(names)], found, pa.array(best, pa.float64()), pa.array(rejected, pa.bool_())],
-                [*names, "lang_pred", "score", "rejected"])
+                [batch.column(0), found, pa.array(best, pa.float64()), pa.array(rejected, pa.bool_())],
+                ["doc_id", "lang_pred", "score", "rejected"])
 
-    schema = ", ".join([f"{n} {source.schema[n].dataType.simpleString()}" for n in names]
-                       + ["lang_pred string", "score double", "rejected boolean"])
-    out = source.mapInArrow(run, schema)
-    return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], "lang_pred", "score", "rejected")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, lang_pred string, score double, rejected boolean")
 
 
 def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
     """The rows that are not rejected, with the columns they came with."""
-    out = predict(docs, model, docs.columns)
-    return out.where(~F.col("rejected")).drop("lang_pred", "score", "rejected")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(~score(shared.value, batch.column(at).to_pylist())[2]))
+
+    return docs.mapInArrow(run, docs.schema)
