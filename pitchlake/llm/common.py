@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitchlake.session import materialise as stored  # noqa: F401
+from pitchlake.session import shared_dir as scratch  # noqa: F401
+
 #: Rows of whole texts in one Arrow batch.
 BATCH_ROWS = 512
 
@@ -20,27 +19,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch(spark: SparkSession, purpose: str) -> str:
-    """New folder under ``spark.checkpoint.dir``, which all executors share.
-
-    Where it is unset, a session with a single JVM gets one of its own; any other must set it.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="pitchlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts the lineage, outlives executors."""
-    path = scratch(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def remainder(doc_id: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % n
