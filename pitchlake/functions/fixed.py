@@ -38,8 +38,6 @@ INTERNAL_SCHEMES = ["brave://", "chrome://"]
 BANNED_LINK_WORDS = ["adiad", "cancel", "postpon", "award"]
 
 # --- accented Latin letters and their plain forms ---
-ACCENTED = "áàâãäåéèêëíìîïóòôõöúùûüçñýÿÁÀÂÃÄÅÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑÝ"
-UNACCENTED = "aaaaaaeeeeiiiiooooouuuucnyyAAAAAAEEEEIIIIOOOOOUUUUCNY"
 
 # --- CSV layouts ---
 MATCH_BACKUP_COLUMNS = [

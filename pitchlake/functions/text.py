@@ -1,10 +1,15 @@
 """Cleaning of text: percentages, fractions, dates, names, headers and links."""
 
+import functools
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pitchlake.functions import fixed
 
+INTEGERS = ("int", "bigint", "long")
+
 
 def percent(c: Column) -> Column:
     """'54%' or '54,3%' -> 54.0 / 54.3; NULL for anything that is not a number."""
@@ -23,8 +28,14 @@ def won_of_total(c: Column) -> Column:
 
 
 def number(c: Column, type_name: str = "double", default=None) -> Column:
-    """Numeric coercion; a bad value becomes ``default`` (NULL unless given)."""
-    value = blank_to_null(F.trim(c.cast("string"))).try_cast(type_name)
+    """Numeric coercion; a bad value becomes ``default`` (NULL unless given).
+
+    Integers are cut from decimals, since tools that know no missing integer write 2 as '2.0'.
+    """
+    value = blank_to_null(F.trim(c.cast("string")))
+    if type_name in INTEGERS:
+        value = value.try_cast("decimal(38,10)")
+    value = value.try_cast(type_name)
     return value if default is None else F.coalesce(value, F.lit(default).cast(type_name))
 
 
@@ -39,17 +50,20 @@ def finite(c: Column) -> Column:
 
 
 def parse_date(c: Column) -> Column:
-    """DATE from yyyy-MM-dd..., dd/MM/yyyy... or dd-MM-yyyy text, else NULL."""
+    """DATE from yyyy-MM-dd..., dd/MM/yyyy..., d-M-yyyy or yyyy/M/d text, else NULL."""
     clean = F.trim(F.translate(c, "\u00a0\t\r\n", ""))
     iso = F.when(clean.rlike(r"^.{4}-.{2}-.{2}"), F.substring(clean, 1, 10))
     slash = F.when(
-        clean.rlike(r"^[0-9]{2}/[0-9]{2}/[0-9]{4}"), F.substring_index(clean, " ", 1)
+        clean.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"), F.substring_index(clean, " ", 1)
     )
-    dash = F.when(clean.rlike(r"^[0-9]{2}-[0-9]{2}-[0-9]{4}$"), clean)
+    dash = F.when(clean.rlike(r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$"), clean)
+    year = F.when(clean.rlike(r"^[0-9]{4}[/-][0-9]{1,2}[/-][0-9]{1,2}( |$)"),
+                  F.translate(F.substring_index(clean, " ", 1), "-", "/"))
     return F.coalesce(
         F.try_to_date(iso, "yyyy-MM-dd"),
-        F.try_to_date(slash, "dd/MM/yyyy"),
-        F.try_to_date(dash, "dd-MM-yyyy"),
+        F.try_to_date(slash, "d/M/yyyy"),
+        F.try_to_date(dash, "d-M-yyyy"),
+        F.try_to_date(year, "yyyy/M/d"),
     )
 
 
@@ -102,8 +116,20 @@ def snake_case(key: Column) -> Column:
     return F.lower(F.regexp_replace(key, "(?<!^)(?=[A-Z])", "_"))
 
 
+@functools.cache
+def _accents() -> tuple[str, str]:
+    """Letters of the Latin blocks that decompose into a plain letter and marks, and these letters."""
+    pairs = {}
+    for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
+        base = unicodedata.normalize("NFD", chr(code))[0]
+        if base != chr(code) and base.isascii():
+            pairs[chr(code)] = base
+    return "".join(pairs), "".join(pairs.values())
+
+
 def strip_accents(c: Column) -> Column:
-    return F.translate(c, fixed.ACCENTED, fixed.UNACCENTED)
+    """Letters without their marks, composed or written with combining ones."""
+    return F.translate(F.regexp_replace(c, "[\u0300-\u036f]", ""), *_accents())
 
 
 def header_token(c: Column) -> Column:

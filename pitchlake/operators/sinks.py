@@ -11,13 +11,27 @@ from pyspark.sql import functions as F
 
 from pitchlake.functions import fixed, text
 from pitchlake.operators.club_games import latest_per_key
+from pitchlake.session import materialise
 
 
 def new_rows(
     incoming: DataFrame, stored: DataFrame, key: Sequence[str] = ("id_jogo",)
 ) -> DataFrame:
-    """Incoming rows whose key is not stored yet."""
-    return incoming.join(stored.select(*key), list(key), "left_anti")
+    """One incoming row for each key that is not stored yet: that with the fewest NULLs."""
+    return one_per_key(incoming, key).join(stored.select(*key), list(key), "left_anti").select(
+        incoming.columns)
+
+
+def fullest_first(columns: Sequence[str]) -> list[Column]:
+    """Order of copies of one row: most cells filled first, then by content."""
+    filled = sum((F.col(c).isNotNull().cast("int") for c in columns), F.lit(0))
+    return [filled.desc(), *[F.col(c) for c in columns]]
+
+
+def one_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """One row per key: the first under ``order``, then the fullest; the same on every run."""
+    rest = [c for c in df.columns if c not in key]
+    return latest_per_key(df, key, [*order, *fullest_first(rest)])
 
 
 def insert_ignore(
@@ -27,16 +41,19 @@ def insert_ignore(
     order: Sequence[Column] = (),
 ) -> DataFrame:
     """The first incoming row of each key (under ``order``) that is not stored yet."""
-    ordered = list(order) or [F.col(c) for c in incoming.columns if c not in key]
     # Copies are cut to one row before the shuffle, so a heavily repeated key stays cheap.
-    return new_rows(latest_per_key(incoming, key, ordered), stored, key)
+    return one_per_key(incoming, key, order).join(
+        stored.select(*key), list(key), "left_anti").select(incoming.columns)
 
 
-def is_blank(c: Column) -> Column:
-    return c.isNull() | (F.trim(c.cast("string")) == "")
+FILLED = ("pais", "odd_casa", "odd_empate", "odd_fora", "campeonato")
+ODDS = ("odd_casa", "odd_empate", "odd_fora")
 
 
-FILLED = ("pais", "odd_casa", "odd_empate", "odd_fora", "campeonato")
+def is_blank(c: Column, odd: bool = False) -> Column:
+    """NULL or empty text; of odds also zero."""
+    blank = c.isNull() | (F.trim(c.cast("string")) == "")
+    return blank | (c.cast("double") == 0) if odd else blank
 
 
 def fill_blanks(
@@ -47,13 +64,14 @@ def fill_blanks(
 ) -> DataFrame:
     """Stored rows with blank cells filled from incoming ones; nothing else changes.
 
-    ``incoming`` has one row per key. An unknown country never fills a cell.
+    Of several incoming values for a cell the smallest fills it. An unknown country and
+    odds of zero never do; stored odds of zero are blank.
     """
-    new = incoming.select(*key, *[usable(c).alias(f"_new_{c}") for c in columns])
+    new = incoming.groupBy(*key).agg(*[F.min(usable(c)).alias(f"_new_{c}") for c in columns])
     joined = stored.join(new, list(key), "left")
     return joined.select([
         (
-            F.when(is_blank(F.col(c)), F.coalesce(f"_new_{c}", c)).otherwise(F.col(c))
+            F.when(is_blank(F.col(c), c in ODDS), F.coalesce(f"_new_{c}", c)).otherwise(F.col(c))
             if c in columns
             else F.col(c)
         ).alias(c)
@@ -64,7 +82,7 @@ def fill_blanks(
 def usable(column: str) -> Column:
     """A value that may fill a blank cell, else NULL."""
     value = F.col(column)
-    kept = F.when(~is_blank(value), value)
+    kept = F.when(~is_blank(value, column in ODDS), value)
     if column == "pais":
         return F.when(kept != fixed.UNKNOWN_COUNTRY, kept)
     return kept
@@ -76,12 +94,42 @@ def upsert(
     key: Sequence[str] = ("id_jogo",),
     order: Sequence[Column] = (),
 ) -> DataFrame:
-    """All keys with their newest row: incoming beats stored, then ``order`` decides."""
-    both = stored.withColumn("_source", F.lit(0)).unionByName(
-        incoming.withColumn("_source", F.lit(1)), allowMissingColumns=True
-    )
-    ordered = [F.col("_source").desc(), *order]
-    return latest_per_key(both, key, ordered).drop("_source")
+    """All keys with their newest row: incoming beats stored, then ``order`` decides, then content.
+
+    Only the incoming rows are ranked; stored rows pass an anti join, which is broadcast when
+    the delivery is small.
+    """
+    new = one_per_key(incoming, key, order)
+    return stored.join(new.select(*key), list(key), "left_anti").select(stored.columns).unionByName(
+        new, allowMissingColumns=True)
+
+
+def write_changed(
+    incoming: DataFrame,
+    path: str,
+    partition: str,
+    key: Sequence[str] = ("id_jogo",),
+    change=upsert,
+) -> None:
+    """Apply ``change(stored, incoming, key)`` to a partitioned Parquet table in place.
+
+    Only the partitions of the incoming rows are read and written again, through a copy in the
+    shared folder, so a failed run leaves the table as it was. A stored row never moves to
+    another partition: a key that comes with another one is an error.
+    """
+    spark = incoming.sparkSession
+    stored = spark.read.schema(incoming.schema).parquet(path)
+    moved = stored.select(*key, F.col(partition).alias("_old")).join(
+        incoming.select(*key, partition), list(key)).filter(~F.col("_old").eqNullSafe(F.col(partition)))
+    if not moved.isEmpty():
+        raise ValueError(f"incoming keys are stored under another {partition}")
+    touched = [r[0] for r in incoming.select(partition).distinct().collect()]
+    inside = F.col(partition).isin([t for t in touched if t is not None])
+    if None in touched:
+        inside = F.col(partition).isNull() | F.coalesce(inside, F.lit(False))
+    result = materialise(change(stored.filter(inside), incoming, key), "changed")
+    result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        partition).parquet(path)
 
 
 def align(
@@ -121,7 +169,10 @@ def insert_new(
 
     ``partition_by`` must be the table's own partitioning.
     """
-    stored = incoming.sparkSession.read.schema(incoming.schema).parquet(path)
+    spark = incoming.sparkSession
+    empty = spark.createDataFrame([], incoming.schema).write.mode("ignore")
+    (empty.partitionBy(*partition_by) if partition_by else empty).parquet(path)
+    stored = spark.read.schema(incoming.schema).parquet(path)
     return append_counted(new_rows(incoming, stored, key), path, partition_by)
 
 

@@ -1,7 +1,7 @@
 """Sessions and shared scratch space."""
 
-import functools
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,22 +37,30 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@functools.cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="pitchlake-")
-
-
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """New folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Where that is unset, a session of one JVM sets a folder of its own; any other must set it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = _local_base()
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        base = tempfile.mkdtemp(prefix="pitchlake-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{_own_folder(spark, base)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession, base: str) -> str:
+    return f"{base.rstrip('/')}/pitchlake-{spark.sparkContext.applicationId}"
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Remove every intermediate copy of this application; frames that read one end with it."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark, base))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
@@ -60,19 +68,8 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
 
     The copy survives lost executors, cuts the lineage, and has a known size: joins
     with it are broadcast below ``spark.sql.autoBroadcastJoinThreshold`` and
-    shuffled above it.
+    shuffled above it. ``clear_shared`` removes it.
     """
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores for an input of few splits (one small file with one row group).
-
-    An input that already has a split per core, as any large table has, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

@@ -108,6 +108,8 @@ def widen(rows: DataFrame, schema, map_column: str = "metricas") -> DataFrame:
         (
             F.col(f.name)
             if f.name in plain
+            else text.number(F.try_element_at(map_column, F.lit(f.name)), f.dataType.simpleString())
+            if f.dataType.simpleString() in text.INTEGERS
             else F.try_element_at(map_column, F.lit(f.name)).try_cast(f.dataType)
         ).alias(f.name)
         for f in schema.fields
@@ -133,8 +135,11 @@ def flatten_lineups(docs: DataFrame) -> DataFrame:
     rows = parsed.select("id_jogo", "temporada", F.explode(tagged).alias("t")).select(
         "id_jogo", "temporada", "t.team", "t.p.*"
     )
-    stats = F.map_filter("statistics", lambda k, v: k != RATING_KEY)
-    metrics = F.transform_keys(stats, lambda k, v: text.snake_case(k))
+    entries = F.transform(
+        F.filter(F.map_entries("statistics"), lambda x: x["key"] != RATING_KEY),
+        lambda x: F.struct(text.snake_case(x["key"]).alias("key"), x["value"].alias("value")),
+    )
+    metrics = F.map_from_entries(_last_of_each_key(entries))
     rating = F.coalesce(
         F.try_element_at("statistics", F.lit("rating")),
         F.get_json_object(F.try_element_at("statistics", F.lit(RATING_KEY)), "$.original"),
@@ -144,7 +149,7 @@ def flatten_lineups(docs: DataFrame) -> DataFrame:
         F.col("player.id").alias("player_id"),
         F.col("player.name").alias("name"),
         F.col("player.position").alias("position"),
-        F.col("player.jerseyNumber").try_cast("int").alias("jersey_number"),
+        text.number(F.col("player.jerseyNumber"), "int").alias("jersey_number"),
         F.col("player.height").alias("height"),
         F.col("player.dateOfBirthTimestamp").alias("date_of_birth_timestamp"),
         F.col("player.country.name").alias("country"),

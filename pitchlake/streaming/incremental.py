@@ -1,51 +1,80 @@
-"""Incremental match load: landing files -> append-only match log -> current matches.
-
-Every micro-batch writes its own ``batch_id`` folder in overwrite mode, so a
-replayed batch replaces itself and a lost executor or driver costs nothing but
-the repeat. A stored match is never rewritten: later rows only fill its blanks,
-which is resolved when the log is read.
+"""Incremental loads: landing files -> append-only logs -> current tables.
+
+A log is a folder of ``ordem=N/carga=ID/batch_id=N/temporada=S``. ``carga`` is the identity of a
+load, kept in its checkpoint: two loaders, or one whose checkpoint was renewed, never write
+to the same folder, and a replayed batch replaces its own. ``ordem`` counts the batches of all
+loads, so "first" means the same whoever delivered. A stored match is never rewritten: later
+rows only fill its blanks, which is resolved when the log is read. Lines that cannot be read
+go to a log of rejected lines beside it.
 """
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pitchlake import schemas
 from pitchlake.operators import sinks
 from pitchlake.sources import documents
 
-BATCH = "batch_id"
+SEASON = "temporada"
+FOLDERS = ("ordem", "carga", "batch_id")
 COLUMNS = [f.name for f in schemas.MATCHES.fields]
+BROKEN = "_linha"
+STATISTICS = T.StructType([
+    *[f for f in schemas.TEAM_STATS.fields if f.name in ("id_jogo", "periodo", "clube", SEASON)],
+    T.StructField("metricas", T.MapType(T.StringType(), T.StringType())),
+])
+
 
+def rejected_dir(log_dir: str) -> str:
+    return f"{log_dir.rstrip('/')}_rejeitados"
 
-def create_log(spark: SparkSession, log_dir: str) -> None:
+
+def create_log(spark: SparkSession, log_dir: str, schema: T.StructType = schemas.MATCHES) -> None:
     """Make the log readable before its first batch; does nothing when it exists."""
-    empty = spark.createDataFrame([], schemas.MATCHES)
-    empty.write.mode("ignore").parquet(f"{log_dir}/{BATCH}=-1")
+    empty = spark.createDataFrame([], T.StructType([f for f in schema.fields if f.name != SEASON]))
+    empty.write.mode("ignore").parquet(f"{log_dir}/ordem=-1/carga=inicio/batch_id=-1/{SEASON}=-")
+
 
+def read_log(spark: SparkSession, log_dir: str, schema: T.StructType = schemas.MATCHES) -> DataFrame:
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields if f.name != SEASON)
+    return spark.read.schema(
+        f"{ddl}, ordem BIGINT, carga STRING, batch_id BIGINT, {SEASON} STRING").parquet(log_dir)
 
-def read_log(spark: SparkSession, log_dir: str) -> DataFrame:
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.MATCHES.fields)
-    return spark.read.schema(f"{ddl}, {BATCH} BIGINT").parquet(log_dir)
 
+def _order() -> Column:
+    return F.struct(*FOLDERS)
 
-def _nonblank(c) -> Column:
-    return F.when(~sinks.is_blank(c), c)
+
+def _folder(log: DataFrame, log_dir: str, carga: str, batch_id: int) -> str:
+    """The batch's own folder if it was written before, else the next in order."""
+    mine = (F.col("carga") == carga) & (F.col("batch_id") == batch_id)
+    own, last = log.agg(F.min(F.when(mine, F.col("ordem"))), F.max("ordem")).first()
+    order = own if own is not None else (last if last is not None else -1) + 1
+    return f"{log_dir}/ordem={order}/carga={carga}/batch_id={batch_id}"
+
+
+def _nonblank(c, name: str) -> Column:
+    return F.when(~sinks.is_blank(c, name in sinks.ODDS), c)
 
 
 def current_matches(log: DataFrame) -> DataFrame:
     """One row per match: the first batch's row, blanks filled by the earliest later batch."""
     own = [c for c in COLUMNS if c != "id_jogo"]
     rows = log.groupBy("id_jogo").agg(
-        F.min_by(F.struct(*own), F.col(BATCH)).alias("_first"),
+        F.min_by(F.struct(*own), _order()).alias("_first"),
         *[
-            F.min_by(sinks.usable(c), F.when(sinks.usable(c).isNotNull(), F.col(BATCH))).alias(c)
+            F.min_by(sinks.usable(c), F.when(sinks.usable(c).isNotNull(), _order())).alias(c)
             for c in sinks.FILLED
         ],
     )
     first = F.col("_first")
     return rows.select([
-        F.coalesce(_nonblank(first[c]), F.col(c)).alias(c)
+        F.coalesce(_nonblank(first[c], c), F.col(c)).alias(c)
         if c in sinks.FILLED
         else (F.col(c) if c == "id_jogo" else first[c].alias(c))
         for c in COLUMNS
@@ -53,12 +82,14 @@ def current_matches(log: DataFrame) -> DataFrame:
 
 
 def merge_batch(batch: DataFrame) -> DataFrame:
-    """One row per match of a micro-batch that holds repeated deliveries."""
+    """One row per match of a micro-batch: the copy with most cells filled, its blanks
+    filled from the others."""
     keep = [c for c in COLUMNS if c not in (*sinks.FILLED, "id_jogo")]
+    empty = sum((F.col(c).isNull().cast("int") for c in keep), F.lit(0))
     rows = batch.groupBy("id_jogo").agg(
-        F.min(F.struct(*keep)).alias("_row"),
+        F.min(F.struct(empty.alias("_empty"), *keep)).alias("_row"),
         *[
-            F.coalesce(F.min(sinks.usable(c)), F.min(_nonblank(F.col(c)))).alias(c)
+            F.coalesce(F.min(sinks.usable(c)), F.min(_nonblank(F.col(c), c))).alias(c)
             for c in sinks.FILLED
         ],
     )
@@ -67,10 +98,10 @@ def merge_batch(batch: DataFrame) -> DataFrame:
 
 def useful_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows of new matches, and rows that fill a blank of a stored one."""
-    blanks = [F.col(f"_s_{c}").isNull() & sinks.usable(c).isNotNull() for c in sinks.FILLED]
-    fills = blanks[0]
-    for b in blanks[1:]:
-        fills = fills | b
+    fills = F.lit(False)
+    for c in sinks.FILLED:
+        blank = sinks.is_blank(F.col(f"_s_{c}"), c in sinks.ODDS)
+        fills = fills | (blank & sinks.usable(c).isNotNull())
     known = stored.select(
         "id_jogo", F.lit(True).alias("_known"), *[F.col(c).alias(f"_s_{c}") for c in sinks.FILLED]
     )
@@ -78,16 +109,60 @@ def useful_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
     return joined.filter(F.col("_known").isNull() | fills).select(*COLUMNS)
 
 
-def store_batch(batch: DataFrame, batch_id: int, log_dir: str) -> None:
-    """Write one micro-batch; running it again gives the same log."""
-    unique = merge_batch(sinks.align(batch, schemas.MATCHES)).persist()
-    log = read_log(batch.sparkSession, log_dir).filter(F.col(BATCH) != batch_id)
-    # Only the matches of this batch are looked up, not the whole log's state.
-    stored = current_matches(log.join(unique.select("id_jogo"), "id_jogo", "left_semi"))
-    useful_rows(unique, stored).write.mode("overwrite").parquet(f"{log_dir}/{BATCH}={batch_id}")
+def _of_seasons(log: DataFrame, batch: DataFrame) -> DataFrame:
+    """The log's folders of the seasons that a batch has (and of no season)."""
+    seasons = [r[0] for r in batch.select(SEASON).distinct().collect() if r[0] is not None]
+    return log.filter(F.col(SEASON).isNull() | F.col(SEASON).isin(seasons))
+
+
+def _reject(batch: DataFrame, bad: Column, folder: str) -> DataFrame:
+    """Write the lines without a match id to the rejected log; returns the rest."""
+    line = F.col(BROKEN) if BROKEN in batch.columns else F.to_json(F.struct(*batch.columns))
+    batch.filter(bad).select(line.alias("linha")).write.mode("overwrite").parquet(folder)
+    return batch.filter(~bad)
+
+
+def store_batch(batch: DataFrame, batch_id: int, log_dir: str, carga: str = "manual") -> None:
+    """Write one micro-batch of matches; running it again gives the same log."""
+    spark = batch.sparkSession
+    good = _reject(batch, F.col("id_jogo").isNull(), f"{rejected_dir(log_dir)}/carga={carga}/batch_id={batch_id}")
+    unique = merge_batch(sinks.align(good, schemas.MATCHES)).persist()
+    log = read_log(spark, log_dir)
+    folder = _folder(log, log_dir, carga, batch_id)
+    # Only the matches of this batch, in the folders of its seasons, are looked up.
+    others = _of_seasons(log, unique).filter((F.col("carga") != carga) | (F.col("batch_id") != batch_id))
+    stored = current_matches(others.join(unique.select("id_jogo"), "id_jogo", "left_semi"))
+    useful_rows(unique, stored).write.mode("overwrite").partitionBy(SEASON).parquet(folder)
     unique.unpersist()
 
 
+def store_new(
+    batch: DataFrame, batch_id: int, log_dir: str, carga: str, schema: T.StructType,
+    flatten: Callable[[DataFrame], DataFrame],
+) -> None:
+    """Write the rows of those documents whose match the log does not have yet.
+
+    Of several documents of a match in one batch the longest counts.
+    """
+    spark = batch.sparkSession
+    good = _reject(batch, F.col("id_jogo").isNull() | F.col("doc").isNull(),
+                   f"{rejected_dir(log_dir)}/carga={carga}/batch_id={batch_id}").drop(BROKEN)
+    log = read_log(spark, log_dir, schema)
+    folder = _folder(log, log_dir, carga, batch_id)
+    others = _of_seasons(log, good).filter((F.col("carga") != carga) | (F.col("batch_id") != batch_id))
+    one = sinks.one_per_key(good, ["id_jogo"], [F.length("doc").desc()])
+    new = one.join(others.select("id_jogo"), "id_jogo", "left_anti").select(good.columns)
+    sinks.align(flatten(new), schema).write.mode("overwrite").partitionBy(SEASON).parquet(folder)
+
+
+def compact_log(spark: SparkSession, log_dir: str, to: str, schema: T.StructType = schemas.MATCHES) -> None:
+    """Copy a log into one batch at ``to``; run it now and then and let the loaders go on there."""
+    rows = read_log(spark, log_dir, schema)
+    whole = current_matches(rows) if schema is schemas.MATCHES else rows.select([f.name for f in schema.fields])
+    create_log(spark, to, schema)
+    whole.write.mode("overwrite").partitionBy(SEASON).parquet(f"{to}/ordem=0/carga=compacta/batch_id=0")
+
+
 def load_events(
     spark: SparkSession,
     landing: str,
@@ -102,17 +177,13 @@ def load_events(
     A line is ``{"evento": {...}, "pais", "temporada", "odd_casa", "odd_empate", "odd_fora"}``.
     """
     create_log(spark, log_dir)
-    reader = spark.readStream.schema(
-        "evento STRING, pais STRING, temporada STRING, odd_casa DECIMAL(8,2), "
-        "odd_empate DECIMAL(8,2), odd_fora DECIMAL(8,2)"
-    )
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    docs = reader.json(landing).withColumnRenamed("evento", "doc")
+    docs = _json(spark, landing, files_per_batch,
+                 "evento STRING, pais STRING, temporada STRING, odd_casa DECIMAL(8,2), "
+                 "odd_empate DECIMAL(8,2), odd_fora DECIMAL(8,2)", "evento").withColumnRenamed("evento", "doc")
     rows = documents.flatten_events(docs, club_names, competitions).withColumn(
         "cadastrado_em", F.current_timestamp()
     )
-    return _start(rows, log_dir, checkpoint)
+    return _start(rows, checkpoint, lambda df, i, carga: store_batch(df, i, log_dir, carga))
 
 
 def load_match_csv(
@@ -121,15 +192,63 @@ def load_match_csv(
 ) -> StreamingQuery:
     """The same load from comma CSV files that already have the matches contract."""
     create_log(spark, log_dir)
-    reader = spark.readStream.schema(schemas.MATCHES).option("header", True)
+    schema = T.StructType([*schemas.MATCHES.fields, T.StructField(BROKEN, T.StringType())])
+    reader = spark.readStream.schema(schema).option("header", True).option("columnNameOfCorruptRecord", BROKEN)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    rows = reader.csv(landing)
+    rows = rows.withColumn(BROKEN, F.coalesce(BROKEN, F.to_csv(F.struct(*COLUMNS))))
+    return _start(rows, checkpoint, lambda df, i, carga: store_batch(df, i, log_dir, carga))
+
+
+def _load_documents(spark, landing, log_dir, checkpoint, files_per_batch, schema, flatten) -> StreamingQuery:
+    create_log(spark, log_dir, schema)
+    docs = _json(spark, landing, files_per_batch,
+                 "id_jogo BIGINT, casa STRING, fora STRING, temporada STRING, campeonato STRING, doc STRING", "doc")
+    return _start(docs, checkpoint, lambda df, i, carga: store_new(df, i, log_dir, carga, schema, flatten))
+
+
+def load_statistics(spark: SparkSession, landing: str, log_dir: str, checkpoint: str,
+                    files_per_batch: int | None = None) -> StreamingQuery:
+    """Team statistics of matches that have none yet, as rows with a metric map.
+
+    A line of this and the next loads is ``{"id_jogo", "casa", "fora", "temporada", "campeonato", "doc"}``.
+    """
+    return _load_documents(spark, landing, log_dir, checkpoint, files_per_batch, STATISTICS,
+                           documents.flatten_team_stats)
+
+
+def load_lineups(spark: SparkSession, landing: str, log_dir: str, checkpoint: str,
+                 files_per_batch: int | None = None) -> StreamingQuery:
+    """Players of matches that have none yet."""
+    return _load_documents(
+        spark, landing, log_dir, checkpoint, files_per_batch, schemas.PLAYER_STATS,
+        lambda d: documents.widen(documents.flatten_lineups(d), schemas.PLAYER_STATS))
+
+
+def load_goals(spark: SparkSession, landing: str, log_dir: str, checkpoint: str,
+               files_per_batch: int | None = None) -> StreamingQuery:
+    """Goals of matches that have none yet."""
+    return _load_documents(
+        spark, landing, log_dir, checkpoint, files_per_batch, schemas.GOALS,
+        lambda d: documents.flatten_goals(d).withColumn("cadastrado_em", F.current_timestamp()))
+
+
+def _json(spark, landing: str, files_per_batch: int | None, ddl: str, body: str) -> DataFrame:
+    """Landed JSON lines with the raw line, or the body where the line is whole, in ``_linha``."""
+    reader = spark.readStream.schema(f"{ddl}, {BROKEN} STRING").option("columnNameOfCorruptRecord", BROKEN)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _start(reader.csv(landing), log_dir, checkpoint)
+    return reader.json(landing).withColumn(BROKEN, F.coalesce(BROKEN, body))
+
 
+def _start(rows: DataFrame, checkpoint: str, store: Callable[[DataFrame, int, str], None]) -> StreamingQuery:
+    def identity() -> str:
+        """The id that Spark gives a checkpoint and keeps in it."""
+        return json.loads(rows.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
-def _start(rows: DataFrame, log_dir: str, checkpoint: str) -> StreamingQuery:
     return (
-        rows.writeStream.foreachBatch(lambda df, i: store_batch(df, i, log_dir))
+        rows.writeStream.foreachBatch(lambda df, i: store(df, i, identity()))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -68,8 +68,48 @@ def test_history_lines(spark, tmp_path):
     got = rows(files.read_history_csv(spark, write(tmp_path / "h.csv", text)), "data")
     assert sorted(d.day for d in got) == [1, 3]
     first, short = got[datetime.date(2020, 1, 1)], got[datetime.date(2020, 1, 3)]
-    assert len(first.campeonato) == 100 and first.gols_fora == 0
+    assert len(first.campeonato) == 120 and first.gols_fora == 0
     assert short.fora is None and short.gols_casa == 0
+    path = str(tmp_path / "h.csv")
+    cut = files.read_history_csv(spark, path, widths={"campeonato": 100}).filter("day(data) = 1").first()
+    assert len(cut.campeonato) == 100
+    assert [(r.motivo, r.linha[:10]) for r in files.history_rejects(spark, path).collect()] == [
+        ("campos", "2020-01-02"), ("data", "bad,Liga,2")]
+
+
+def test_lenient_history_dates_and_float_goals(spark, tmp_path):
+    text = ("Data;Campeonato;Temporada;Casa;Gols Casa;Gols Fora;Fora\n"
+            "2025/01/05;L;2025;A;2.0;1.0;B\n5/1/2025;L;2025;A;2;1.0;B\n5-1-2025;L;2025;A;2;1;B\n")
+    got = files.read_history_csv(spark, write(tmp_path / "h.csv", text)).collect()
+    assert {(r.data, r.gols_casa, r.gols_fora) for r in got} == {(datetime.date(2025, 1, 5), 2, 1)} and len(got) == 3
+
+
+def test_numbers_written_as_decimals(spark, tmp_path):
+    head = "id_jogo;temporada;campeonato;clube_gol;minutos;forma_gol;placar\n"
+    r = files.read_goals_csv(spark, write(tmp_path / "g.csv", head + "7.0;2025;L;A;45.0;head;1-0\n")).first()
+    assert (r.id_jogo, r.minutos) == (7, 45)
+
+
+def test_every_file_needs_the_same_header(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    write(folder / "a.csv", "id_jogo;temporada;campeonato;clube_gol;minutos;forma_gol;placar\n1;2025;L;A;4;h;1-0\n")
+    assert files.read_goals_csv(spark, str(folder)).count() == 1
+    write(folder / "b.csv", "temporada;id_jogo;campeonato;clube_gol;minutos;forma_gol;placar\n2025;9;L;A;4;h;1-0\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_goals_csv(spark, str(folder)).collect()
+
+
+def test_header_in_the_files_encoding(spark, tmp_path):
+    text = "Data;Competição;Temporada;Mandante;Gols Mandante;Gols Visitante;Visitante\n2020-01-01;Ação;2020;A;1;2;B\n"
+    got = files.read_history_csv(spark, write(tmp_path / "h.csv", text, "latin-1"), encoding="ISO-8859-1").first()
+    assert got.campeonato == "Ação"
+
+
+def test_surplus_fields_fail_where_no_line_may_be_lost(spark, tmp_path):
+    text = "Mandante,Visitante,Gol_Mandante,Gol_Visitante,Odd_1,Odd_X,Odd_2\nA,B,1.0,-,2,2,2\nA,B,1,1,2,2,2,9\n"
+    with pytest.raises(Exception, match="surplus"):
+        files.read_odds_csv(spark, write(tmp_path / "o.csv", text)).collect()
 
 
 def test_history_without_header_and_with_missing_column(spark, tmp_path):
@@ -151,12 +191,20 @@ def test_lineup_documents(spark):
            "away": {"players": [p(2), {"player": {"id": 3}}]}}
     rows_ = documents.flatten_lineups(doc_frame(spark, doc, {"home": {}}))
     got = rows(documents.widen(rows_, schemas.PLAYER_STATS), "player_id")
-    assert set(got) == {1, 2, 3}
+    assert set(got) == {1, 2, 3} and got[1].key_pass == 1
     r = got[1]
     assert (r.team, r.minutes_played, r.big_chance_created, r.rating) == ("H", 90, 2, 7.1)
     assert r.jersey_number is None and got[2].team == "V" and got[3].rating is None
 
 
+def test_lineup_with_one_metric_under_two_names(spark):
+    text = ('{"home": {"players": [{"player": {"id": 1}, "statistics": {"keyPass": 1, "key_pass": 2, "goals": "3.0"}}]}}')
+    df = spark.createDataFrame([(1, "H", "V", "2025", "L", text)],
+                               "id_jogo long, casa string, fora string, temporada string, campeonato string, doc string")
+    (r,) = documents.widen(documents.flatten_lineups(df), schemas.PLAYER_STATS).collect()
+    assert (r.key_pass, r.goals) == (2, 3)
+
+
 def test_incident_documents(spark):
     goal = {"incidentType": "goal", "homeScore": {"display": 1}, "awayScore": 0, "isHome": True,
             "time": 10, "bodyPart": "head"}
@@ -209,6 +257,37 @@ def test_append_counts_and_inserts_only_new_rows(spark, matches, tmp_path):
     assert spark.read.parquet(path).count() == len(MATCHES)
 
 
+def test_first_load_and_repeated_ids(spark, tmp_path):
+    path = str(tmp_path / "new")
+    rows_ = [match(1, "2025-01-01", "A", "B", 1, 0), match(1, None, "A", "B", 1, 0), match(2, "2025-01-01", "C", "D", 1, 0)]
+    df = spark.createDataFrame(rows_, schemas.MATCHES)
+    assert sinks.insert_new(df, path) == 2 and sinks.insert_new(df, path) == 0
+    got = rows(spark.read.parquet(path), "id_jogo")
+    assert set(got) == {1, 2} and got[1].data is not None  # the fuller copy is kept
+
+
+def test_zero_odds_are_blank_and_repeats_do_not_multiply(spark):
+    stored = spark.createDataFrame([match(1, "2025-01-01", "A", "B", 1, 0, odds=("0.00", "3.00", None))], schemas.MATCHES)
+    incoming = spark.createDataFrame([match(1, "2025-01-01", "A", "B", 1, 0, odds=("0.00", "0.00", "0.00")),
+                                      match(1, "2025-01-01", "A", "B", 1, 0, odds=("2.00", None, None))], schemas.MATCHES)
+    (r,) = sinks.fill_blanks(stored, incoming).collect()
+    assert (r.odd_casa, r.odd_empate, r.odd_fora) == (Decimal("2.00"), Decimal("3.00"), None)
+
+
+def test_changes_are_written_by_season(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = [match(1, "2025-01-01", "A", "B", 1, 0), match(2, "2024-01-01", "A", "B", 1, 0, temporada="2024")]
+    spark.createDataFrame(old, schemas.MATCHES).write.partitionBy("temporada").parquet(path)
+    new = spark.createDataFrame([match(1, "2025-01-01", "A", "B", 9, 9), match(3, "2025-01-02", "E", "F", 0, 0)], schemas.MATCHES)
+    before = {f.name for f in (tmp_path / "t" / "temporada=2024").iterdir()}
+    sinks.write_changed(new, path, "temporada")
+    got = rows(spark.read.schema(schemas.MATCHES).parquet(path), "id_jogo")
+    assert {k: r.gols_casa for k, r in got.items()} == {1: 9, 2: 1, 3: 0}
+    assert {f.name for f in (tmp_path / "t" / "temporada=2024").iterdir()} == before
+    with pytest.raises(ValueError, match="another temporada"):
+        sinks.write_changed(new.filter("id_jogo = 1").withColumn("temporada", F.lit("2024")), path, "temporada")
+
+
 def test_reports_and_goal_export(spark, tmp_path):
     df = spark.createDataFrame([(2, 5), (1, 9), (1, 3)], "id_jogo long, minutos int")
     sinks.save_reports({"a": df, "b": df}, str(tmp_path / "r"), "csv")
@@ -268,3 +347,40 @@ def test_replayed_batch_replaces_itself(spark, tmp_path):
     assert incremental.read_log(spark, log).count() == 1
     incremental.store_batch(batch, 1, log)
     assert incremental.read_log(spark, log).count() == 1
+
+
+def test_two_loaders_and_a_renewed_checkpoint_share_a_log(spark, tmp_path):
+    log = str(tmp_path / "log")
+    events = tmp_path / "events"
+    events.mkdir()
+    event = lambda i: {"id": i, "startTimestamp": 1741570200, "homeTeam": {"name": "A"}, "awayTeam": {"name": "B"}}
+    lines = [json.dumps({"evento": event(i), "temporada": "2025"}) for i in (1, 2)] + ['{"evento": {"id": 3', '{"evento": {}}']
+    write(events / "a.json", "\n".join(lines))
+    incremental.load_events(spark, str(events), log, str(tmp_path / "s1")).awaitTermination()
+    rows_ = spark.createDataFrame([match(9, "2025-01-01", "A", "B", 1, 0), match(2, "2025-01-01", "X", "Y", 1, 0)], schemas.MATCHES)
+    rows_.write.option("header", True).csv(str(tmp_path / "csv"))
+    incremental.load_match_csv(spark, str(tmp_path / "csv"), log, str(tmp_path / "s2")).awaitTermination()
+    incremental.load_match_csv(spark, str(tmp_path / "csv"), log, str(tmp_path / "s3")).awaitTermination()
+    got = rows(incremental.current_matches(incremental.read_log(spark, log)), "id_jogo")
+    assert set(got) == {1, 2, 9} and got[2].casa == "A" and got[2].odd_casa == Decimal("2.00")
+    assert sorted(r.linha for r in spark.read.parquet(incremental.rejected_dir(log)).collect()) == ['{"evento": {"id": 3', "{}"]
+    incremental.compact_log(spark, log, str(tmp_path / "small"))
+    small = incremental.current_matches(incremental.read_log(spark, str(tmp_path / "small")))
+    assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, got.values()), key=str)
+
+
+def test_the_fullest_copy_of_a_batch_wins(spark):
+    batch = spark.createDataFrame([match(1, None, "A", "B", None, None), match(1, "2025-01-01", "A", "B", 1, 0)], schemas.MATCHES)
+    (r,) = incremental.merge_batch(batch).collect()
+    assert (r.data, r.gols_casa) == (datetime.date(2025, 1, 1), 1)
+
+
+def test_lookups_read_only_the_batchs_seasons(spark, tmp_path):
+    log = str(tmp_path / "log")
+    incremental.create_log(spark, log)
+    for i, season in enumerate(("2024", "2025")):
+        incremental.store_batch(spark.createDataFrame(
+            [match(i, "2025-01-01", "A", "B", 1, 0, temporada=season)], schemas.MATCHES), i, log)
+    some = incremental._of_seasons(incremental.read_log(spark, log), incremental.read_log(spark, log).filter("temporada = '2025'"))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "temporada" in plan.split("PartitionFilters")[1] and some.count() == 1

@@ -76,12 +76,13 @@ def statistics_docs(spark: SparkSession, sf: str) -> DataFrame:
         F.to_json(F.struct(both.alias("statistics"))).alias("doc"))
 
 
-def lineup_docs(spark: SparkSession, sf: str) -> DataFrame:
+def lineup_docs(spark: SparkSession, sf: str, lines: DataFrame | None = None) -> DataFrame:
+    """Every statistics object has 'keyPass' under a second name first: the last value stays."""
     line = F.col("l_linenumber")
     qty = F.col("l_quantity").cast("int")
     stats = F.struct(
-        qty.alias("minutesPlayed"), (qty % 3).alias("goals"), (qty % 5).alias("bigChanceCreated"),
-        (qty % 7).alias("keyPass"),
+        F.concat(qty.cast("string"), F.lit(".0")).alias("minutesPlayed"), (qty % 3).alias("goals"),
+        (qty % 5).alias("bigChanceCreated"), F.lit(99).alias("key_pass"), (qty % 7).alias("keyPass"),
         F.struct((F.lit(50) + qty % 50).alias("original")).alias("ratingVersions"))
 
     def player(add):
@@ -98,7 +99,7 @@ def lineup_docs(spark: SparkSession, sf: str) -> DataFrame:
 
     home = F.struct(F.array(player(0), player(1)).alias("players"))
     away = F.struct(F.array(player(2)).alias("players"))
-    return views.table(spark, sf, "lineitem").select(
+    return (views.table(spark, sf, "lineitem") if lines is None else lines).select(
         F.col("l_orderkey").alias("id_jogo"), F.lit("Home FC").alias("casa"),
         F.lit("Away FC").alias("fora"), F.lit("2025").alias("temporada"),
         F.to_json(F.struct(home.alias("home"), away.alias("away"))).alias("doc"))

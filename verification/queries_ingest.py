@@ -96,7 +96,7 @@ def p11(spark, sf):
 @query("p13_numbers_from_text", """
 SELECT event_id, CASE WHEN k = 0 THEN CAST(event_id AS DOUBLE) WHEN k = 1 THEN event_id + 0.5
   WHEN k = 4 THEN 7.0 END AS numero,
-  CAST(CASE WHEN k = 0 THEN event_id WHEN k = 4 THEN 7 ELSE 0 END AS INTEGER) AS inteiro,
+  CAST(CASE WHEN k < 2 THEN event_id WHEN k = 4 THEN 7 ELSE 0 END AS INTEGER) AS inteiro,
   CASE WHEN k = 0 THEN CAST(event_id AS VARCHAR) WHEN k = 1 THEN event_id || '.5'
   WHEN k = 4 THEN ' 7 ' WHEN k = 5 THEN 'abc' END AS texto
 FROM (SELECT event_id, event_id % 6 AS k FROM events)""")
@@ -179,13 +179,13 @@ def p20(spark, sf):
         F.col("e.roundInfo.name"), F.col("e.roundInfo.round")).alias("rodada"))
 
 
-@query("p25_header_tokens", f"""
+@query("p25_header_tokens", """
 SELECT doc_id, length(t) AS tamanho, md5(t) AS resumo FROM (
-  SELECT doc_id, regexp_replace(regexp_replace(translate(lower(trim(text)),
-    '{fixed.ACCENTED}', '{fixed.UNACCENTED}'), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS t
+  SELECT doc_id, regexp_replace(regexp_replace(strip_accents(lower(trim(text || ' Őş Čž'))),
+    '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS t
   FROM documents)""")
 def p25(spark, sf):
-    token = text.header_token(F.col("text"))
+    token = text.header_token(F.concat("text", F.lit(" Őş Čž")))
     return views.table(spark, sf, "documents").select("doc_id", token.alias("t")).select(
         "doc_id", F.length("t").cast("bigint").alias("tamanho"), F.md5("t").alias("resumo"))
 
@@ -419,14 +419,16 @@ def parts(spark, sf):
 @query("k01_new_matches", with_(MATCHES, """
 SELECT id_jogo, casa, fora FROM matches WHERE data >= DATE '1999-01-01'"""))
 def k01(spark, sf):
+    """Every match is delivered twice, once without its clubs."""
     stored, incoming = parts(spark, sf)
-    return sinks.new_rows(incoming, stored).select("id_jogo", "casa", "fora")
+    bare = incoming.withColumns({c: F.lit(None).cast("string") for c in ("casa", "fora")})
+    return sinks.new_rows(incoming.unionByName(bare), stored).select("id_jogo", "casa", "fora")
 
 
 @query("k02_fill_blanks", with_(MATCHES, """
 SELECT id_jogo, CASE WHEN pais <> 'Mundo' THEN pais
     WHEN data >= DATE '1998-01-01' AND id_jogo % 2 = 0 THEN 'Brasil' ELSE '' END AS pais,
-  CAST(coalesce(odd_casa, CASE WHEN data >= DATE '1998-01-01' THEN 1.5 END) AS DOUBLE) AS odd_casa,
+  CAST(coalesce(odd_casa, CASE WHEN data >= DATE '1998-01-01' THEN 1.5 ELSE 0 END) AS DOUBLE) AS odd_casa,
   campeonato FROM matches WHERE data < DATE '1999-01-01'"""))
 def k02(spark, sf):
     stored, incoming = parts(spark, sf)
@@ -434,6 +436,10 @@ def k02(spark, sf):
     incoming = incoming.withColumns({
         "pais": F.when(F.col("id_jogo") % 2 == 0, "Brasil").otherwise(fixed.UNKNOWN_COUNTRY),
         "odd_casa": F.lit("1.5").cast("decimal(8,2)"), "campeonato": F.lit("Outro")})
+    # Stored odds of 0 are blank, incoming ones fill nothing, and repeated ids do not multiply rows.
+    stored = stored.withColumn("odd_casa", F.coalesce("odd_casa", F.lit(0).cast("decimal(8,2)")))
+    zero = incoming.withColumn("odd_casa", F.lit(0).cast("decimal(8,2)"))
+    incoming = incoming.unionByName(zero)
     return sinks.fill_blanks(stored, incoming).select(
         "id_jogo", "pais", dbl("odd_casa"), "campeonato")
 
@@ -470,8 +476,8 @@ SELECT count(*) AS linhas, count(*) AS gravadas,
 def k05(spark, sf):
     stored, incoming = parts(spark, sf)
     path = shared_dir(spark, "append")
-    first = sinks.append_counted(stored, path)
-    second = sinks.insert_new(incoming, path)
+    first = sinks.insert_new(stored, path)  # into a table that is not there yet
+    second = sinks.insert_new(incoming.unionByName(incoming), path)
     counts = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("linhas"))
     return counts.select("linhas", F.lit(first + second).cast("bigint").alias("gravadas"),
                          F.lit(second).cast("bigint").alias("novas"))
@@ -522,33 +528,83 @@ def _landed(spark, sf, where, odds):
 @query("x01_incremental_match_load", f"""
 SELECT e.*, CASE WHEN id_jogo % 3 = 1 THEN 'Desconhecido' WHEN id_jogo % 3 = 2 THEN 'Brasil' END AS pais,
   CASE WHEN NOT late THEN 1.5 ELSE 2.5 END::DOUBLE AS odd_casa,
-  CASE WHEN id_jogo % 2 = 0 THEN CASE WHEN NOT late THEN 1.5 ELSE 2.5 END END::DOUBLE AS odd_empate
+  CASE WHEN id_jogo % 2 = 0 THEN CASE WHEN NOT late THEN 1.5 ELSE 2.5 END END::DOUBLE AS odd_empate,
+  (SELECT count(*) FROM orders WHERE o_orderkey % 50 = 0) AS rejeitadas
 FROM ({EVENTS_SQL}) e JOIN (SELECT o_orderkey, o_orderdate >= TIMESTAMP '1999-01-01' AS late FROM orders)
   ON id_jogo = o_orderkey""")
 def x01(spark, sf):
-    """Two deliveries that overlap in 1998; the second run adds only what is new."""
-    landing, log, state = (shared_dir(spark, n) for n in ("landing", "log", "state"))
+    """Two sources into one log that overlap in 1998, the second with broken lines; then the
+    first again under a new checkpoint. Nothing stored is lost, nothing comes twice."""
+    log = shared_dir(spark, "log")
     clubs = docs.club_names(spark, sf)
     first = _landed(spark, sf, F.col("o_orderdate") < "1999-01-01", 1.5)
     second = _landed(spark, sf, F.col("o_orderdate") >= "1998-01-01", 2.5)
-    for delivery in (first, second):
-        delivery.write.mode("append").json(landing)
-        incremental.load_events(spark, landing, log, state, clubs).awaitTermination()
-    return incremental.current_matches(incremental.read_log(spark, log)).select(
+    broken = views.table(spark, sf, "orders").filter(F.col("o_orderkey") % 50 == 0).select(
+        F.concat(F.lit('{"evento": {"id": '), F.col("o_orderkey").cast("string")).alias("value"))
+    places = [shared_dir(spark, "landing") for _ in range(2)]
+    first.write.json(places[0])
+    second.write.json(places[1])
+    broken.write.mode("append").text(places[1])
+    for where in (places[0], places[1], places[0]):
+        incremental.load_events(spark, where, log, shared_dir(spark, "state"), clubs).awaitTermination()
+    rejected = spark.read.parquet(incremental.rejected_dir(log)).agg(F.count(F.lit(1)).alias("rejeitadas"))
+    return incremental.current_matches(incremental.read_log(spark, log)).crossJoin(F.broadcast(rejected)).select(
         "id_jogo", iso("data"), "hora", "campeonato", "rodada", "casa", "fora", "gols_casa",
-        "gols_fora", "pais", dbl("odd_casa"), dbl("odd_empate"))
+        "gols_fora", "pais", dbl("odd_casa"), dbl("odd_empate"), "rejeitadas")
 
 
 @query("x02_no_duplicates_across_loads", with_(MATCHES, """
 SELECT id_jogo, CAST(data AS VARCHAR) AS data, casa, fora, gols_casa,
   CAST(odd_casa AS DOUBLE) AS odd_casa FROM matches"""))
 def x02(spark, sf):
-    """The same CSV delivery landed twice, in separate loads and within one load."""
+    """The same CSV delivery landed twice, in separate loads and within one load, there with
+    copies that lack date and goals."""
     landing, log, state = (shared_dir(spark, n) for n in ("landing", "log", "state"))
     rows = views.matches(spark, sf).select(*[f.name for f in schemas.MATCHES.fields])
-    for times in (1, 2):
-        for _ in range(times):
-            rows.write.mode("append").option("header", True).csv(landing)
+    bare = rows.withColumns({"data": F.lit(None).cast("date"), "gols_casa": F.lit(None).cast("int")})
+    for delivery in (rows.unionByName(bare), rows):
+        delivery.write.mode("append").option("header", True).csv(landing)
         incremental.load_match_csv(spark, landing, log, state).awaitTermination()
     return incremental.current_matches(incremental.read_log(spark, log)).select(
         "id_jogo", iso("data"), "casa", "fora", "gols_casa", dbl("odd_casa"))
+
+
+def _twice(spark, load, documents_, schema):
+    """Load the documents, land them all again, and load under the same and a new checkpoint."""
+    landing, log, state = (shared_dir(spark, n) for n in ("landing", "log", "state"))
+    lines = documents_.withColumn("campeonato", F.lit("Copa")) if "campeonato" not in documents_.columns else documents_
+    for where in (state, state, shared_dir(spark, "state")):
+        lines.write.mode("append").json(landing)
+        load(spark, landing, log, where).awaitTermination()
+    return incremental.read_log(spark, log, schema)
+
+
+@query("x03_incremental_statistics", STATS_DOC_SQL)
+def x03(spark, sf):
+    rows = _twice(spark, incremental.load_statistics, docs.statistics_docs(spark, sf), incremental.STATISTICS)
+    return documents.widen(rows, schemas.TEAM_STATS).select(
+        "id_jogo", "periodo", "clube", "temporada", "ball_possession", "big_chances",
+        "fouled_in_final_third", "total_shots")
+
+
+@query("x04_incremental_lineups", """
+SELECT l_orderkey AS id_jogo, CASE WHEN a < 2 THEN 'Home FC' ELSE 'Away FC' END AS team,
+  l_partkey + a AS player_id, CAST(q AS INTEGER) AS minutes_played, CAST(q % 7 AS INTEGER) AS key_pass
+FROM (SELECT l_orderkey, max(l_partkey) AS l_partkey, CAST(max(l_quantity) AS BIGINT) AS q
+  FROM lineitem GROUP BY l_orderkey), (VALUES (0), (1), (2)) v(a)""")
+def x04(spark, sf):
+    lines = views.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        *[F.max(c).alias(c) for c in ("l_partkey", "l_linenumber", "l_quantity")])
+    one = docs.lineup_docs(spark, sf, lines)
+    return _twice(spark, incremental.load_lineups, one, schemas.PLAYER_STATS).select(
+        "id_jogo", "team", "player_id", "minutes_played", "key_pass")
+
+
+@query("x05_incremental_goals", """
+SELECT event_id AS id_jogo, CASE WHEN CASE ordem WHEN 1 THEN event_id % 3 = 0
+    ELSE event_id % 2 = 0 END THEN 'Home FC' ELSE 'Away FC' END AS clube_gol,
+  CAST(CASE ordem WHEN 1 THEN event_id % 90 ELSE event_id % 70 END AS INTEGER) AS minutos
+FROM events, (VALUES (1), (2)) v(ordem)""")
+def x05(spark, sf):
+    return _twice(spark, incremental.load_goals, docs.incident_docs(spark, sf), schemas.GOALS).select(
+        "id_jogo", "clube_gol", "minutos")

@@ -7,8 +7,6 @@ appearance. Column rules are written the same way in ``verification.oracle``.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.session import spread_small
-
 
 # Declared schemas: no job is spent on reading footers.
 SCHEMAS = {
@@ -28,18 +26,10 @@ SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
     "pages": "page_id BIGINT, url STRING, html STRING",
 }
-FACT_KEYS = {
-    "orders": ("o_orderkey",),
-    "lineitem": ("l_orderkey",),
-    "events": ("event_id",),
-    "documents": ("doc_id",),
-    "pages": ("page_id",),
-}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-    return spread_small(df, *FACT_KEYS[name]) if name in FACT_KEYS else df
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _bigint(c: Column) -> Column:
