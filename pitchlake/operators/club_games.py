@@ -119,21 +119,21 @@ def rank_all(
 ) -> DataFrame:
     """Position from 1 over the whole table, ordered by ``lead`` descending and then ``then``.
 
-    ``lead`` must have few distinct values (a two-decimal percentage has at most
-    10,001): rows are numbered inside each value and shifted by the number of rows
-    above it, so the table is never sorted in one task.
+    The table is sorted by ranges, so equal values of ``lead`` are split by the rest of the
+    order and no value is one task; a row's place is its place in its range plus the sizes of the
+    ranges before. The sorted copy is stored, since both parts must see the same ranges.
     """
-    above = df.groupBy(lead).agg(F.count(F.lit(1)).alias("_n"))
-    above = above.select(
-        lead,
-        (F.sum("_n").over(Window.orderBy(F.col(lead).desc())) - F.col("_n")).alias("_above"),
+    ordered = df.orderBy(F.col(lead).desc(), *then).withColumns(
+        {"_range": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}
     )
-    inside = Window.partitionBy(lead).orderBy(*then)
+    ordered = materialise(ordered, "ranked")
+    sizes = ordered.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_range", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_above"))
     return (
-        df.withColumn("_in", F.row_number().over(inside))
-        .join(above, lead)
-        .withColumn(rank, (F.col("_above") + F.col("_in")).cast("int"))
-        .drop("_in", "_above")
+        ordered.join(F.broadcast(sizes), "_range")  # a row for each task of the sort
+        .withColumn(rank, (F.col("_above") + F.col("_row") - F.col("_first") + 1).cast("int"))
+        .drop("_range", "_row", "_first", "_above")
     )
 
 

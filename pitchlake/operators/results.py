@@ -17,6 +17,7 @@ from pitchlake.functions.numeric import (
 from pitchlake.operators.club_games import (
     best, club_games, last_n, rank_all, top_per_group, worst,
 )
+from pitchlake.sources import tables
 
 HAUL = 4  # goals scored that make a game a "goleada"
 
@@ -192,6 +193,19 @@ def scorelines(
     return counts.withColumn("prob", pct(F.col("qtd"), F.col("_base"))).drop("_base")
 
 
+def duel_scorelines(
+    matches: DataFrame, a: str, b: str, k: int | None = None, last: int | None = None
+) -> DataFrame:
+    """Scorelines of two clubs at either venue, always with the goals of ``a`` first."""
+    at_a = F.col("casa") == a
+    turned = tables.matches_between(matches, a, b).withColumns({
+        "gols_casa": F.when(at_a, F.col("gols_casa")).otherwise(F.col("gols_fora")),
+        "gols_fora": F.when(at_a, F.col("gols_fora")).otherwise(F.col("gols_casa")),
+        "casa": F.lit(a), "fora": F.lit(b),
+    })
+    return scorelines(turned, ("casa", "fora"), k=k, last=last)
+
+
 def club_country(games: DataFrame) -> DataFrame:
     """Country of each club: the most frequent one, any other before 'Mundo'; ties by name."""
     counts = games.filter(F.col("pais").isNotNull()).groupBy("clube", "pais").agg(

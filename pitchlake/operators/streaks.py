@@ -23,15 +23,17 @@ def runs(
     games: DataFrame,
     kind: str = UNBEATEN,
     by: Sequence[str] = ("clube",),
-    block: Sequence[str] = ("data", "hora"),
+    block: Sequence[str] = ("mes",),
 ) -> DataFrame:
     """Per group: ``maior`` (longest run) and ``atual`` (run still going).
 
-    A club's timeline is cut into blocks that respect its order (one kick-off time
-    of one day). Each block is summarised on its own, so one club's games spread
-    over many tasks; only block summaries meet in the second window.
+    A club's timeline is cut into blocks that respect its order (calendar months; or
+    other columns of ``games``). Each block is summarised on its own, so one club's games
+    spread over many tasks; the second window has one row for each of a club's months.
     """
     by, block = list(by), list(block)
+    if block == ["mes"]:
+        games = games.withColumn("mes", F.trunc("data", "month"))
     inside = [c for c in CHRONOLOGICAL if c not in block]
     ok = F.when(_holds(kind), 1).otherwise(0)
 

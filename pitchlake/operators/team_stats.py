@@ -183,15 +183,17 @@ def faced(
     """
     games = club_games(matches)
     recent = games.select(
-        *by, F.col("clube").alias("clube_analise"), *CHRONOLOGICAL, "gols_marcados", "gols_sofridos"
+        *dict.fromkeys([*by, "temporada"]), F.col("clube").alias("clube_analise"), *CHRONOLOGICAL,
+        "gols_marcados", "gols_sofridos"
     )
     if n is not None:
         recent = materialise(last_n(recent, n, by), "recent-games")
     recent = recent.drop("clube", *(c for c in CHRONOLOGICAL if c != "id_jogo"))
-    stats = typed(team_stats.filter(F.col("periodo") == periodo).drop("temporada", "periodo"))
-    return stats.join(recent, "id_jogo").withColumn(
+    stats = typed(team_stats.filter(F.col("periodo") == periodo).drop("periodo"))
+    rows = stats.join(recent, ["id_jogo", "temporada"]).withColumn(
         "proprio", F.col("clube") == F.col("clube_analise")
     )
+    return rows if "temporada" in by else rows.drop("temporada")
 
 
 def _own(c) -> Column:

@@ -97,6 +97,7 @@ def duel_report(
         "placares_confronto": results.scorelines(
             at_home.filter(at_home["fora"] == fora), ("casa", "fora"), k=None
         ),
+        "placares_confronto_geral": results.duel_scorelines(own, casa, fora),
         "escalacao_provavel": lineup,
         "formacao": pl.formation(lineup),
         **_player_lists(recent_players, "jogadores"),

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from pitchlake.functions import fixed, labels
 
+#: Statistics join matches on both, so that a season filter on the matches prunes the
+#: statistics' season folders too.
+GAME = ["id_jogo", "temporada"]
 MATCH_CONTEXT = ("data", "hora", "campeonato", "pais", "casa", "fora")
 
 
@@ -56,7 +59,7 @@ def without_friendlies(df: DataFrame) -> DataFrame:
 
 
 def _context(matches: DataFrame) -> DataFrame:
-    return matches.select("id_jogo", *MATCH_CONTEXT)
+    return matches.select(*GAME, *MATCH_CONTEXT)
 
 
 def team_stats_of(
@@ -72,7 +75,7 @@ def team_stats_of(
         team_stats = team_stats.filter(F.col("clube").isin(list(clubs)))
         matches = matches_of(matches, clubs)
     club = F.col("clube")
-    return team_stats.join(_context(matches), "id_jogo").withColumns(
+    return team_stats.join(_context(matches), GAME).withColumns(
         {"mando": labels.side_of(club), "adversario": labels.opponent_of(club)}
     )
 
@@ -89,7 +92,7 @@ def player_stats_of(
     if teams is not None:
         played = played.filter(F.col("team").isin(list(teams)))
         matches = matches_of(matches, teams)
-    return played.join(_context(matches), "id_jogo").withColumn(
+    return played.join(_context(matches), GAME).withColumn(
         "mando", labels.side_of(F.col("team"))
     )
 
@@ -98,4 +101,4 @@ def team_stats_both_sides(
     team_stats: DataFrame, matches: DataFrame, clubs: Sequence[str]
 ) -> DataFrame:
     """Both sides' statistics of every match the clubs played."""
-    return team_stats.join(matches_of(matches, clubs).select("id_jogo"), "id_jogo", "left_semi")
+    return team_stats.join(matches_of(matches, clubs).select(*GAME), GAME, "left_semi")

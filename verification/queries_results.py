@@ -222,6 +222,16 @@ def a08_duel(spark, sf):
     return results.scorelines(views.matches(spark, sf), ("casa", "fora"), k=None)
 
 
+@query("a08_scorelines_duel_any_venue", with_(MATCHES, f"""
+SELECT casa, fora, placar, qtd, {pct('qtd', 'CAST(sum(qtd) OVER () AS BIGINT)')} AS prob FROM (
+  SELECT 'BRAZIL' AS casa, 'CANADA' AS fora, CASE WHEN casa = 'BRAZIL' THEN gols_casa || '-' || gols_fora
+    ELSE gols_fora || '-' || gols_casa END AS placar, count(*) AS qtd
+  FROM matches WHERE gols_casa IS NOT NULL AND gols_fora IS NOT NULL
+    AND ((casa = 'BRAZIL' AND fora = 'CANADA') OR (casa = 'CANADA' AND fora = 'BRAZIL')) GROUP BY 3)"""))
+def a08_duel_any(spark, sf):
+    return results.duel_scorelines(views.matches(spark, sf), "BRAZIL", "CANADA")
+
+
 # --- A9 / A10 / A11 / W8 ---------------------------------------------------------
 COUNTRY = GAMES + """,
 country AS (SELECT clube, pais FROM (
