@@ -189,8 +189,9 @@ def monthly_report(
     month = tables.matches_prev_month(matches, as_of)
     table = results.league_table(month)
     goals = results.competition_goals(month)
-    stats = tables.without_friendlies(tables.team_stats_of(team_stats, month))
-    players = tables.player_stats_of(player_stats, month)
+    stats = materialise(
+        tables.without_friendlies(tables.team_stats_of(team_stats, month)), "month-stats")
+    players = materialise(tables.player_stats_of(player_stats, month), "month-players")
     out = {
         "classificacao": table,
         "melhores_ataques": best(table, "gols_marcados", 10),
@@ -224,8 +225,10 @@ def competition_report(
     """Tables of one competition in one season."""
     scope = tables.matches_in(matches, temporada, campeonato, pais)
     games = club_games(scope)
-    stats = tables.team_stats_of(team_stats, scope, "ALL")
-    players = tables.player_stats_of(player_stats, scope)
+    stats = materialise(tables.team_stats_of(team_stats, scope, "ALL"), "scope-stats")
+    players = materialise(tables.player_stats_of(player_stats, scope), "scope-players")
+    unbeaten = materialise(streaks.runs(games, streaks.UNBEATEN), "runs")
+    winning = materialise(streaks.runs(games, streaks.WINNING), "runs")
     wins = results.club_counts(games)
     clean = results.clean_games(games)
     made = results.goals_table(games)
@@ -250,10 +253,10 @@ def competition_report(
         "gols_sofridos_media": results.extremes(conceded, "media"),
         "clean_sheets": results.extremes(clean, "clean_sheets"),
         "clean_goals": results.extremes(clean, "clean_goals"),
-        "invencibilidade": results.extremes(streaks.runs(games, streaks.UNBEATEN), "maior"),
-        "invencibilidade_atual": results.extremes(streaks.runs(games, streaks.UNBEATEN), "atual"),
-        "vitorias_seguidas": results.extremes(streaks.runs(games, streaks.WINNING), "maior"),
-        "vitorias_seguidas_atual": results.extremes(streaks.runs(games, streaks.WINNING), "atual"),
+        "invencibilidade": results.extremes(unbeaten, "maior"),
+        "invencibilidade_atual": results.extremes(unbeaten, "atual"),
+        "vitorias_seguidas": results.extremes(winning, "maior"),
+        "vitorias_seguidas_atual": results.extremes(winning, "atual"),
         "medias": ts.leaderboard(
             stats, ["ball_possession", "expected_goals", "big_chances", "goalkeeper_saves"],
             "mean", by=(),
