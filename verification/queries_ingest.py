@@ -200,13 +200,11 @@ def p32(spark, sf):
         labels.age_in_years(F.col("date_of_birth_timestamp"), as_of).alias("idade"))
 
 
-def _edges() -> str:
-    e = fixed.ODDS_BAND_EDGES
-    return " ".join(f"WHEN odd <= {hi} THEN {i}" for i, hi in enumerate(e[1:], start=1))
-
-
-@query("p33_odds_band", with_(GAMES, f"""
-SELECT id_jogo, clube, CAST(CASE WHEN odd >= 1.01 THEN CASE {_edges()} ELSE 11 END END AS INTEGER)
+@query("p33_odds_band", with_(GAMES, """
+SELECT id_jogo, clube, CAST(CASE WHEN odd >= 1.01 THEN CASE WHEN odd <= 1.50 THEN 1 WHEN odd <= 2.00 THEN 2
+  WHEN odd <= 2.50 THEN 3 WHEN odd <= 3.00 THEN 4 WHEN odd <= 5.00 THEN 5 WHEN odd <= 10.00 THEN 6
+  WHEN odd <= 20.00 THEN 7 WHEN odd <= 30.00 THEN 8 WHEN odd <= 40.00 THEN 9 WHEN odd <= 50.00 THEN 10
+  ELSE 11 END END AS INTEGER)
   AS ordem FROM games"""))
 def p33(spark, sf):
     return club_games(views.matches(spark, sf)).select(
