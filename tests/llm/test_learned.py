@@ -84,13 +84,13 @@ def test_quality_features_against_counting():
 
 def test_gradients():
     rng = np.random.default_rng(0)
-    classes = np.arange(20) % 7
+    classes = np.arange(20) + 10 * (np.arange(20) > 9)  # two groups, one with a gap
     w = {k: v.astype(np.float64) for k, v in lm_score.start(classes, 20).items()}
-    ids, target = rng.integers(0, 20, (3, 9)), rng.integers(0, 7, (3, 9))
+    ids, target = rng.integers(0, 20, (3, 9)), classes[rng.integers(0, 20, (3, 9))]
     target[0, -2:] = -1
     g = lm_score.gradient(w, ids, target)[1]
     for k in w:
-        at = (ids[0, 0], 3) if k == "emb" else (2,) * w[k].ndim
+        at = (ids[0, 0], 3) if k == "emb" else (1,) * w[k].ndim
         w[k][at] += 1e-5
         up = lm_score.gradient(w, ids, target)[0]
         w[k][at] -= 2e-5
@@ -112,8 +112,10 @@ def test_each_id_is_scored_once_with_its_overlap():
         for i in range(n[t]):
             start = 0 if i < lm_score.WINDOW else (i - back) // lm_score.STRIDE * lm_score.STRIDE
             before = np.concatenate([[1], own])[start:i + 1]
-            z = lm_score.forward(w, slot[before][None])[0][0, -1] @ w["out"] + w["bias"]
-            want = z[classes[own[i]]] - np.log(np.exp(z).sum()) + share[own[i]]
+            h = lm_score.forward(w, slot[before][None])[0][0, -1]
+            group, member = divmod(int(classes[own[i]]), lm_score.MEMBERS)
+            z, deep = h @ w["out"] + w["bias"], h @ w["deep"][group] + w["deep_bias"][group]
+            want = z[group] - np.log(np.exp(z).sum()) + deep[member] - np.log(np.exp(deep).sum()) + share[own[i]]
             assert abs(want - got[offsets[t] + i]) < 1e-3
 
 
@@ -161,3 +163,11 @@ def test_pieces_tables_may_overflow(monkeypatch):
     text = "some words here and some words there and more"
     assert c.encode(text) == c.encode(text)
     assert c.decode(np.frombuffer(c.encode(text), "<u4")) == text
+
+
+def test_scores_of_no_rows_and_of_no_training_text(docs, monkeypatch):
+    monkeypatch.setattr(lm_score, "STEPS", 2)
+    held = F.col("doc_id") > 0
+    assert lm_score.score(docs([]), held, tokenizer()).count() == 0
+    (r,) = lm_score.score(docs([(5, "a b")]), held, tokenizer()).collect()
+    assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (True, 3, 0, 0) and r.score < 0
