@@ -153,8 +153,11 @@ class Coder:
         ids.reverse()
         return ids
 
-    def encode(self, text: str) -> bytes:
-        """Ids of the whole text without begin and end, as little-endian 32-bit integers."""
+    def encode(self, text: str, keep: bool = True) -> bytes:
+        """Ids of the whole text without begin and end, as little-endian 32-bit integers.
+
+        ``keep`` false: its parts are not kept, as they will not come back.
+        """
         if not text:
             return b""
         known, out = self.parts, []
@@ -162,7 +165,7 @@ class Coder:
             ids = known.get(part)
             if ids is None:
                 ids = self.before.get(part) or pack(self.part_ids(part))
-                if len(part) <= PART:
+                if keep and len(part) <= PART:
                     if len(known) >= PARTS:
                         self.before, self.parts = known, {}
                         known = self.parts
