@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gc
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of frames that are gone.
+
+    It does so when the driver collects garbage; between the steps of an operator that is too
+    rare, and the files of all steps would lie on the executors' disks together.
+    """
+    for _ in range(2):  # what the first round frees on the driver frees the files in the second
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(1)
+
+
 def remainder(doc_id: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % n

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.llm import arrays
-from pitchlake.llm.common import stored
+from pitchlake.llm.common import release, stored
 
 WINDOW, ANCHOR = 50, 20
 #: Bytes of text whose hashes are made at once, and whose entries are sent together.
@@ -132,7 +132,9 @@ def smallest(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 # Entries travel as columns of bytes, one row for each bucket and batch: the documents they are in
 # (id steps and a checksum that parts rows with one id), how many entries each has, their places
-# as steps, their lengths, and the digests.
+# as steps, their lengths, and the digests. Of an anchor's digest 32 bits travel beside its
+# bucket: two anchors that meet by chance are told apart by their windows. A single window has
+# no anchor, as it is its own.
 SENT = "bucket int, docs binary, sums binary, counts binary, places binary, sizes binary, anchors binary, wholes binary"
 
 
@@ -145,7 +147,7 @@ def packed(bucket: int, doc, sums, start, end, anchor, whole) -> tuple:
     return (bucket, np.diff(doc[new], prepend=0).astype("<i8").tobytes(), sums[new].astype("<i4").tobytes(),
             np.diff(np.append(new, len(doc))).astype("<u4").tobytes(), steps.astype("<u4").tobytes(),
             (end - start).astype("<u4").tobytes(),
-            b"" if anchor is None else anchor[order].astype("<u8").tobytes(),
+            b"" if anchor is None else anchor[order].astype("<u4").tobytes(),
             b"" if whole is None else whole[order].astype("<u8").tobytes())
 
 
@@ -159,22 +161,24 @@ def unpacked(rows: list[tuple]) -> tuple[np.ndarray, ...]:
         run = np.cumsum(steps)
         start = run - np.repeat(run[first] - steps[first], count)
         parts.append((np.repeat(np.cumsum(np.frombuffer(docs, "<i8")), count), np.repeat(np.frombuffer(sums, "<i4"), count),
-                      start, start + np.frombuffer(sizes, "<u4"), np.frombuffer(anchors, "<u8"), np.frombuffer(wholes, "<u8")))
+                      start, start + np.frombuffer(sizes, "<u4"), np.frombuffer(anchors, "<u4"), np.frombuffer(wholes, "<u8")))
     return tuple(np.concatenate(c) for c in zip(*parts))
 
 
 def _sent(doc, sums, start, end, anchor, whole, buckets: int) -> Iterator[tuple]:
     """One batch's entries by bucket; equal segments of larger documents are found here already."""
     repeat = doc > smallest(whole, doc)
+    digit = whole if anchor is None else anchor
     if repeat.any():
-        yield packed(int(anchor[0] % np.uint64(buckets)), doc[repeat], sums[repeat], start[repeat], end[repeat], None, None)
-    doc, sums, start, end, anchor, whole = (x[~repeat] for x in (doc, sums, start, end, anchor, whole))
-    bucket = (anchor % np.uint64(buckets)).astype(np.int64)
+        yield packed(int(digit[0] % np.uint64(buckets)), doc[repeat], sums[repeat], start[repeat], end[repeat], None, None)
+    doc, sums, start, end, whole, digit = (x[~repeat] for x in (doc, sums, start, end, whole, digit))
+    rest = None if anchor is None else digit // np.uint64(buckets) & np.uint64(0xFFFFFFFF)
+    bucket = (digit % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(cut)):
         at = order[cut[b]:cut[b + 1]]
-        yield packed(int(b), doc[at], sums[at], start[at], end[at], anchor[at], whole[at])
+        yield packed(int(b), doc[at], sums[at], start[at], end[at], None if rest is None else rest[at], whole[at])
 
 
 def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -233,14 +237,15 @@ def _met(sent: DataFrame) -> DataFrame:
             doc, sums, start, end, anchor, whole = unpacked(rest)
             repeat = doc > smallest(whole, doc)
             out += _by_document(doc[repeat], sums[repeat], start[repeat], end[repeat], 1)
-            doc, sums, start, end, anchor, whole = (x[~repeat] for x in (doc, sums, start, end, anchor, whole))
-            order = np.lexsort((whole, anchor))
-            a, w = anchor[order], whole[order]
-            new = np.concatenate([[True], a[1:] != a[:-1]])
-            group = np.cumsum(new) - 1
-            kinds = np.bincount(group, weights=np.concatenate([[True], w[1:] != w[:-1]]) | new)
-            at = order[kinds[group] > 1]
-            out += _by_document(doc[at], sums[at], start[at], end[at], 0)
+            if len(anchor):
+                doc, sums, start, end, anchor, whole = (x[~repeat] for x in (doc, sums, start, end, anchor, whole))
+                order = np.lexsort((whole, anchor))
+                a, w = anchor[order], whole[order]
+                new = np.concatenate([[True], a[1:] != a[:-1]])
+                group = np.cumsum(new) - 1
+                kinds = np.bincount(group, weights=np.concatenate([[True], w[1:] != w[:-1]]) | new)
+                at = order[kinds[group] > 1]
+                out += _by_document(doc[at], sums[at], start[at], end[at], 0)
         if out:
             yield _table(out, SPANS)
 
@@ -292,8 +297,7 @@ def _windows(texts: DataFrame, unsure: DataFrame, buckets: int) -> DataFrame:
             digest = np.empty(len(one), np.uint64)
             for lo in range(0, len(one), PIECE):
                 digest[lo:lo + PIECE] = _digests(data, starts[one[lo:lo + PIECE]])
-            key = digest[group]
-            yield _table(list(_sent(docs, sums, places, places + WINDOW, key, key, buckets)), SENT)
+            yield _table(list(_sent(docs, sums, places, places + WINDOW, None, digest[group], buckets)), SENT)
 
         for batch in batches:
             for r in zip(*[c.to_pylist() for c in batch.columns]):
@@ -334,7 +338,9 @@ def deduplicated(docs: DataFrame, text: bool = False) -> DataFrame:
     size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(max(BUCKETS, 2 * size // (WINDOW - ANCHOR + 2) // ENTRIES))
     first = stored(_met(_dealt(known, buckets)), "segments")
+    release(docs.sparkSession)
     second = stored(_met(_windows(known, first.where("sure = 0"), buckets)), "windows")
+    release(docs.sparkSession)
     found = first.where("sure = 1").union(second.where("sure = 1")).groupBy("doc_id", "sum").agg(
         F.collect_list("spans").alias("spans"))
     out = texts.join(found, ["doc_id", "sum"], "left")
