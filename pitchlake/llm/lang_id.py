@@ -6,12 +6,15 @@ hashed to one of ``BUCKETS`` embeddings, a text is the mean of its embeddings, a
 softmax over the mean gives the language. Training is stochastic gradient descent in numpy on
 at most about ``MAX_ROWS`` labelled rows, dealt evenly over the languages; their whole texts
 are hashed on the executors and only counts reach the driver. A fifth of them is kept apart to
-calibrate: a temperature, and two bounds that reject a text as in no learned language, half the
-lowest score and half the lowest share of known subwords of the calibration rows that are
-predicted right. Wrong labels among these move neither.
+calibrate: a temperature, and two bounds that reject a text as in no learned language. Each starts
+from what all but ``QUANTILE`` of these rows reach, whatever their label. Too many subwords are
+unknown above the share the rows stay under plus ``UNSEEN``, plus ``SPREAD`` times the spread of such
+a count in a text of that length; labels have no part in it. A score is too low below ``LIFT`` of
+the way from chance to what the rows reach: wrong labels lower all scores, and the bound with them.
 
 Defined results: a null, empty or letterless text is ``und`` with score 0.0 and is rejected;
-with nothing to learn from every text is; ties go to the language first in the alphabet. Rows
+with nothing to learn from every text is; with fewer than five rows to learn from none is kept
+apart, and only letterless texts are rejected; ties go to the language first in the alphabet. Rows
 are never dropped, merged or looked up by id, so repeated rows and null ids come out as they
 came in; extra columns are ignored by ``predict`` and kept by ``accepted``.
 """
@@ -33,6 +36,8 @@ DIM = 16
 MAX_ROWS = 2000
 EPOCHS = 6
 RATE = 0.5
+#: Share of the calibration rows beyond a bound without its margin, and the margins.
+QUANTILE, UNSEEN, SPREAD, LIFT = 0.01, 0.03, 4.0, 0.1
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 SLICE = 1 << 20
 
@@ -45,6 +50,7 @@ class Model:
     bias: np.ndarray
     known: np.ndarray
     least_score: float
+    #: Before the spread of a text's length is taken off.
     least_known: float
 
 
@@ -149,13 +155,14 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Model
     loss = [-np.log(_softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in grid]
     heat = grid[int(np.argmin(loss))]
     score = _softmax(logits / heat)
-    right = score.argmax(axis=1) == truth
     best = score.max(axis=1)
     seen = np.array([n[known[at]].sum() / n.sum() for _, at, n in tests])
-    if not right.any():
-        right[:] = True
-    return Model(langs, (table / heat).astype(np.float32), bias / heat, known, 0.5 * float(best[right].min()),
-                 0.5 * float(seen[right].min()))
+    chance = 1 / len(langs)
+    least_score = chance + LIFT * (float(np.quantile(best, QUANTILE)) - chance)
+    least_known = float(np.quantile(seen, QUANTILE)) - UNSEEN
+    if not held:
+        least_score = least_known = 0.0
+    return Model(langs, (table / heat).astype(np.float32), bias / heat, known, least_score, least_known)
 
 
 def score(model: Model | None, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -197,7 +204,8 @@ def score(model: Model | None, texts: list[str | None]) -> tuple[np.ndarray, np.
     p = _softmax(sums / each[:, None] + model.bias)
     lang = np.where(some, p.argmax(axis=1), -1)
     best = np.where(some, p.max(axis=1), 0.0)
-    return lang, best, ~some | (best < model.least_score) | (known / each < model.least_known)
+    most = (1 - model.least_known) * count
+    return lang, best, ~some | (best < model.least_score) | (count - known > most + SPREAD * np.sqrt(most))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

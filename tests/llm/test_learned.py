@@ -42,6 +42,32 @@ def test_language_is_learnt_and_unknown_is_rejected(labelled):
     assert kept.columns == labelled.columns and kept.count() == 122
 
 
+WORDS = {
+    "en": "the of and to in is that it was for on are with as his they be at one have this from or had by hot word but what some",
+    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach",
+    "fr": "le de un être et à il avoir ne je son que se qui ce dans en du elle au pour pas plus par sur mais nous comme ou si",
+    "es": "el de que y a en un ser se no haber por con su para como estar tener le lo todo pero más hacer o poder decir este ir otro",
+    "it": "il di che è e la non un per in sono mi ho lo ma ha si con cosa le ti ci questo come qui bene sì della gli anche perché",
+    "fi": "ja on ei se että hän oli mutta kun niin ovat joka myös kuin sitä nyt jos vain tämä olla mitä minä hyvä kaikki sinä mukaan",
+}
+
+
+@pytest.mark.parametrize("wrong", [0.0, 0.2])
+def test_language_rejects_latin_script_that_was_not_learnt_and_keeps_clean_rows(wrong):
+    rng = random.Random(8)
+
+    def text(lang, n=60):
+        return " ".join(rng.choice(WORDS[lang].split()) for _ in range(n))
+
+    learnt = ["en", "de", "fr", "es"]
+    rows = [(rng.choice(learnt) if rng.random() < wrong else lang, text(lang)) for lang in learnt * 100]
+    model = lang_id.fit([(lang, *f) for (lang, _), f in zip(rows, lang_id.features([t for _, t in rows]))])
+    for lang in WORDS:
+        for n in (12, 60, 300):
+            rejected = lang_id.score(model, [text(lang, n) for _ in range(60)])[2]
+            assert rejected.mean() > 0.9 if lang not in learnt else not rejected.any(), (lang, n)
+
+
 def test_language_slices_lose_no_subword(monkeypatch):
     text = "Abc dé fgh " * 20
     whole = lang_id.features([text])[0]
