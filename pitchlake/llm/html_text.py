@@ -1,21 +1,23 @@
-"""Main text of web pages: marked-up structure, and a suffix array over each host's pages.
+"""Main text of web pages: a suffix array over each host's pages, checked against the markup.
 
-A page is cut into blocks of text in one pass over its tags. Blocks in elements that mark
-themselves as menus, headers, footers, sidebars, notices, adverts, forms or comments go. What
-lies in the article, or in the main element where there is no article, stays whole. On a page
-that marks neither, what is left is open, and the host's other pages decide: their open token
-streams are laid end to end, a suffix array ordered through ``DEPTH`` tokens shows the
-substrings that come back, and those on at least ``PAGES`` pages of different content and
-``SHARE`` of the host's are boilerplate. Open blocks of which they cover ``COVER`` go, and what
-is left of the page's blocks stays in order.
+A page is cut into blocks of text in one pass over its tags. The token streams of all blocks of
+all pages of a host, menus and articles alike, are laid end to end; a suffix array ordered through
+``DEPTH`` tokens shows the substrings that come back, and those on at least ``PAGES`` pages of
+different content are boilerplate. Blocks of which they cover ``COVER`` go. The markup is the exact
+check that follows: what lies in the article, or in the main element where there is no article,
+comes back whole, and what lies outside goes; elements that mark themselves as menus, headers,
+footers, sidebars, notices, adverts, forms or comments go even where nothing repeats them. On a page
+that marks neither, the host's repetition decides on all that is left.
 
 A host's pages are dealt into shards of about ``SHARD`` pages. Each shard's array is built in a
-task and counts, for every group of suffixes equal through that depth, the pages it is on; the
-counts of a host's shards are added up by group, so no task gets a whole host.
+task and counts, for every group of suffixes equal through that depth, the pages it is on. Where a
+host has several shards, the counts are dealt by group into four buckets for each shard and added up
+there, and each shard gets back the repeated groups that it holds, so no task gets a whole host.
 
 Defined results: a null or empty page has the empty text; a page without a readable host shares
 one nameless host; pages of equal content count once as evidence, and each repeated row gets
-its own result. A link's null id or url is carried along; extra columns are ignored.
+its own result. A link's null id or url is carried along; extra columns are ignored. Groups are
+told apart by 64 bits.
 """
 
 from __future__ import annotations
@@ -29,9 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitchlake.llm import arrays
 from pitchlake.llm.common import stored
 
-DEPTH, PAGES, SHARE, COVER, SHARD = 8, 3, 0.1, 0.8, 2000
+DEPTH, PAGES, COVER, SHARD = 8, 3, 0.8, 2000
 
 #: Elements by their part in a page.
 RAW = set("script style noscript template textarea title iframe xmp noembed noframes plaintext".split())
@@ -73,7 +76,7 @@ def _is_chrome(tag: str, attributes: str, inside: bool) -> bool:
 
 
 def blocks(page: str) -> list[tuple[int, str]]:
-    """(zone, text) of the blocks: 0 outside, 1 in a main element, 2 in an article; none is marked as chrome."""
+    """(zone, text) of the blocks: -1 marked as chrome, 0 outside, 1 in a main element, 2 in an article."""
     out: list[tuple[int, str]] = []
     text: list[str] = []
     stack: list[tuple[str, bool, int]] = []  # open elements: tag, chrome by itself, zone
@@ -83,26 +86,24 @@ def blocks(page: str) -> list[tuple[int, str]]:
         whole = " ".join(html.unescape("".join(text)).split())
         text.clear()
         if whole:
-            out.append((zone, whole))
+            out.append((-1 if chrome else zone, whole))
 
     n = len(page)
     while at < n:
         m = _TAG.search(page, at)
-        if not chrome:
-            text.append(page[at:m.start() if m else n])
+        text.append(page[at:m.start() if m else n])
         if not m:
             break
         at = m.end()
         end, tag = m.group(1), m.group(2)
         if end:
             end = end.lower()
-            if end in BLOCK and not chrome:
+            if end in BLOCK:
                 close()
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == end:
                     if zone or chrome or any(x[1] or x[2] for x in stack[k:]):
-                        if not chrome:
-                            close()
+                        close()
                         chrome -= sum(x[1] for x in stack[k:])
                         zone = stack[k][2]
                     del stack[k:]
@@ -118,19 +119,18 @@ def blocks(page: str) -> list[tuple[int, str]]:
                 break
             stop = re.compile(rf"(?i)</{tag}(?=[\s/>])[^>]*>").search(page, at)
             at = stop.end() if stop else n
-            if not chrome:
-                text.append(" " if tag in ("textarea", "iframe") else "")
+            text.append(" " if tag in ("textarea", "iframe") else "")
             continue
         if tag == "br" or tag in ("td", "th", "img"):
-            if not chrome:
-                text.append(" ")
-        elif tag in BLOCK and not chrome:
+            text.append(" ")
+        elif tag in BLOCK:
             close()
         if tag in VOID or m.group(3).endswith("/") and tag in ("path", "use", "circle", "rect"):
             continue
         if tag in ("article", "main", "body") and chrome and all(
                 not x[1] or x[0] in ("head", "nav", "header", "footer", "aside", "menu") for x in stack):
             if not any(x[0] == "article" for x in stack):  # the element before was never closed
+                close()
                 chrome, zone = 0, 0
                 stack.clear()
         mine = _is_chrome(tag, m.group(3), zone == 2)
@@ -141,19 +141,26 @@ def blocks(page: str) -> list[tuple[int, str]]:
         if not chrome and tag in ("article", "main"):
             close()
             zone = 2 if tag == "article" else max(zone, 1)
-    if not chrome:
-        close()
+    close()
     return out
 
 
-def read(page: str | None) -> tuple[str | None, list[str]]:
-    """Main text where the markup decides, else None and the open blocks."""
-    found = blocks(page) if page else []
+def chosen(found: list[tuple[int, str]], covered: list[bool]) -> str:
+    """Main text from a page's blocks and whether repeated substrings cover each."""
     for zone in (2, 1):
         own = [t for z, t in found if z == zone]
         if own:
-            return "\n".join(own), []
-    return (None, [t for _, t in found]) if found else ("", [])
+            return "\n".join(own)
+    return "\n".join(t for (z, t), c in zip(found, covered) if z == 0 and not c)
+
+
+def read(page: str | None) -> tuple[str | None, list[str]]:
+    """Main text where the markup alone decides, else None and the open blocks."""
+    found = blocks(page) if page else []
+    if any(z > 0 for z, _ in found):
+        return chosen(found, []), []
+    rest = [t for z, t in found if z == 0]
+    return (None, rest) if rest else ("", [])
 
 
 def suffix_groups(tokens: np.ndarray, ends: np.ndarray, depth: int = DEPTH) -> np.ndarray:
@@ -176,81 +183,101 @@ def suffix_groups(tokens: np.ndarray, ends: np.ndarray, depth: int = DEPTH) -> n
     return rank
 
 
-def _stream(parts: list[str]) -> list[str]:
-    return [w for p in parts for w in p.split()]
+class Shard:
+    """The pages of one shard laid end to end; rows of equal content, which are neighbours, are one page."""
+
+    def __init__(self, rows: list[dict]):
+        self.rows = rows
+        parts = [p for r in rows for p in r["parts"]]
+        words, of = arrays.word_hashes(*arrays.flat(pa.array(parts, pa.string())), lower=False)
+        self.cuts = of  # where each block's words start
+        self.first = np.concatenate([[0], np.cumsum([len(r["parts"]) for r in rows])]).astype(np.int64)
+        ends = of[self.first]
+        self.words, self.row = words, np.repeat(np.arange(len(rows)), np.diff(ends))
+        digest = np.array([r["digest"] for r in rows])
+        self.page = np.cumsum(np.diff(digest, prepend=digest[:1]) != 0)[self.row]
+        self.keys, self.at = arrays.shingle_hashes(words, ends, DEPTH)
+        self.end = ends[1:][self.row]
+
+    def groups(self) -> tuple[np.ndarray, np.ndarray]:
+        """Key of each group of suffixes and the number of pages it is on."""
+        if not len(self.at):
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        group = suffix_groups(self.words, self.end)[self.at]
+        both = np.unique(group * (int(self.page.max()) + 1) + self.page[self.at]) // (int(self.page.max()) + 1)
+        ids, count = np.unique(both, return_counts=True)
+        key = np.zeros(int(ids.max()) + 1, np.uint64)
+        key[group] = self.keys
+        return key[ids], count
+
+    def texts(self, common: np.ndarray) -> list[str]:
+        """Each row's main text, with the keys of repeated groups."""
+        steps = np.zeros(len(self.words) + 1, np.int64)
+        hit = self.at[np.isin(self.keys, common)]
+        np.add.at(steps, hit, 1)
+        np.add.at(steps, hit + DEPTH, -1)
+        total = np.concatenate([[0], np.cumsum(np.cumsum(steps[:-1]) > 0)])[self.cuts]
+        covered = (np.diff(total) >= COVER * np.diff(self.cuts)).tolist()
+        return [chosen(list(zip(r["zones"], r["parts"])), covered[a:b])
+                for r, a, b in zip(self.rows, self.first[:-1].tolist(), self.first[1:].tolist())]
+
+
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[dict], np.ndarray]]:
+    """Rows of each shard, and the keys that were sent to it."""
+    now, hold, keys = None, [], b""
+    for batch in batches:
+        for r in batch.to_pylist():
+            if (r["host"], r["shard"]) != now:
+                if hold:
+                    yield hold, np.frombuffer(keys, "<u8")
+                now, hold, keys = (r["host"], r["shard"]), [], b""
+            if r.get("keys") is not None:
+                keys += r["keys"]
+            else:
+                hold.append(r)
+    if hold:
+        yield hold, np.frombuffer(keys, "<u8")
 
 
-def _digest(words: list[str]) -> str:
-    import hashlib
+def _told(rows: list[dict], texts: list[str], kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r["page_id"] for r in rows], kind), pa.array([r["url"] for r in rows], pa.string()), pa.array(texts, pa.string())],
+        ["page_id", "url", "text"])
 
-    return hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per shard and bucket, the keys of the groups and the pages each is on."""
+    for rows, _ in _shards(batches):
+        keys, pages = Shard(rows).groups()
+        bucket = (keys % np.uint64(4 * rows[0]["shards"])).astype(np.int64)
+        each = [(b, np.flatnonzero(bucket == b)) for b in np.unique(bucket).tolist()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([rows[0]["host"]] * len(each), pa.string()), pa.array([rows[0]["shard"]] * len(each), pa.int64()),
+             pa.array([b for b, _ in each], pa.int64()), arrays.dense([keys[at] for _, at in each], "<u8"),
+             arrays.dense([np.minimum(pages[at], PAGES) for _, at in each], "<u2")], ["host", "shard", "bucket", "keys", "pages"])
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per shard of a host: digest of each group of suffixes and the number of pages it is on."""
 
-    def told(host: str, pages: list[list[str]]) -> pa.RecordBatch:
-        streams = [s for s in pages if len(s) >= DEPTH]
-        words = [w for s in streams for w in s]
-        number: dict[str, int] = {}
-        tokens = np.array([number.setdefault(w, len(number)) for w in words], np.int64)
-        length = np.array([len(s) for s in streams], np.int64)
-        page = np.repeat(np.arange(len(streams)), length)
-        ends = np.repeat(np.cumsum(length), length)
-        group = suffix_groups(tokens, ends)
-        at = np.flatnonzero(group >= 0)
-        both = np.unique(np.stack([group[at], page[at]]), axis=1)[0] if len(at) else np.zeros(0, np.int64)
-        ids, count = np.unique(both, return_counts=True)
-        first = np.zeros(len(group) + 1, np.int64)
-        first[group[at][::-1]] = at[::-1]
-        keys = [_digest(words[i:i + DEPTH]) for i in first[ids].tolist()]
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per bucket of a host, for each shard those of its groups that are on enough pages of the host."""
+
+    def done(hold: list[dict]) -> pa.RecordBatch:
+        keys = [np.frombuffer(r["keys"], "<u8") for r in hold]
+        every, place = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(place, weights=np.concatenate([np.frombuffer(r["pages"], "<u2") for r in hold]))
+        common = every[total >= PAGES]
         return pa.RecordBatch.from_arrays(
-            [pa.array([host] * len(keys), pa.string()), pa.array(keys, pa.string()), pa.array(count, pa.int64())],
-            ["host", "key", "pages"])
+            [pa.array([r["host"] for r in hold], pa.string()), pa.array([r["shard"] for r in hold], pa.int64()),
+             arrays.dense([k[np.isin(k, common)] for k in keys], "<u8")], ["host", "shard", "keys"])
 
-    now, hold = None, []
+    hold: list[dict] = []
     for batch in batches:
-        for host, shard, parts in zip(*[c.to_pylist() for c in batch.columns]):
-            if hold and (host, shard) != now:
-                yield told(now[0], hold)
+        for r in batch.to_pylist():
+            if hold and (r["host"], r["bucket"]) != (hold[0]["host"], hold[0]["bucket"]):
+                yield done(hold)
                 hold = []
-            now = (host, shard)
-            hold.append(_stream(parts))
+            hold.append(r)
     if hold:
-        yield told(now[0], hold)
-
-
-def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digest and place of every suffix of each page that is deep enough."""
-    for batch in batches:
-        rows, hosts, keys, places = [], [], [], []
-        for row, host, parts in zip(*[c.to_pylist() for c in batch.columns]):
-            words = _stream(parts)
-            for i in range(len(words) - DEPTH + 1):
-                rows.append(row)
-                hosts.append(host)
-                keys.append(_digest(words[i:i + DEPTH]))
-                places.append(i)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int64()), pa.array(hosts, pa.string()), pa.array(keys, pa.string()), pa.array(places, pa.int32())],
-            ["row", "host", "key", "place"])
-
-
-def unique_blocks(parts: list[str], places: list[int] | None) -> str:
-    """The blocks that repeated substrings do not cover, joined."""
-    n = sum(len(p.split()) for p in parts)
-    steps = np.zeros(n + 1, np.int64)
-    for i in places or ():
-        steps[i] += 1
-        steps[min(n, i + DEPTH)] -= 1
-    covered = np.cumsum(steps[:n]) > 0
-    kept, at = [], 0
-    for p in parts:
-        size = len(p.split())
-        if covered[at:at + size].sum() < COVER * size:
-            kept.append(p)
-        at += size
-    return "\n".join(kept)
+        yield done(hold)
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -259,34 +286,42 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [read(p) for p in batch.column(3).to_pylist()]
+            got = [blocks(p) if p else [] for p in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array([t for t, _ in got], pa.string()), pa.array([p for _, p in got], pa.list_(pa.string()))],
-                ["page_id", "url", "host", "text", "parts"])
+                [*batch.columns[:3], pa.array([[t for _, t in g] for g in got], pa.list_(pa.string())),
+                 pa.array([[z for z, _ in g] for g in got], pa.list_(pa.int32()))],
+                ["page_id", "url", "host", "parts", "zones"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    read_ = pages.select("page_id", "url", host.alias("host"), "html").mapInArrow(
-        cut, f"page_id {kind}, url string, host string, text string, parts array<string>")
-    known = stored(read_.withColumn("row", F.monotonically_increasing_id()), "pages")
-    out = known.where("text is not null").select("page_id", "url", "text")
-    undecided = known.where("text is null")
-    hosts = stored(undecided.groupBy("host").agg(F.countDistinct("parts").alias("n")), "hosts")
-    shards = undecided.select("host", "parts").distinct().join(hosts, "host").select(
-        "host", F.pmod(F.xxhash64("parts"), F.ceil(F.col("n") / SHARD)).alias("shard"), "parts")
-    groups = shards.repartition("host", "shard").sortWithinPartitions("host", "shard").mapInArrow(
-        _repeated, "host string, key string, pages long")
-    common = groups.groupBy("host", "key").agg(F.sum("pages").alias("pages")).join(hosts, "host").where(
-        (F.col("pages") >= PAGES) & (F.col("pages") >= SHARE * F.col("n"))).select("host", "key")
-    common = stored(common, "common")
-    places = undecided.select("row", "host", "parts").mapInArrow(
-        _suffixes, "row long, host string, key string, place int").join(common, ["host", "key"]).groupBy("row").agg(
-        F.collect_list("place").alias("places"))
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text = [unique_blocks(p, q) for p, q in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(text, pa.string())], ["page_id", "url", "text"])
-
-    rest = undecided.join(places, "row", "left").select("page_id", "url", "parts", "places").mapInArrow(
-        keep, f"page_id {kind}, url string, text string")
-    return out.union(rest).withColumn("n_chars", F.length("text").cast("long"))
+    # Read twice: the blocks of all pages are never stored beside their shuffle.
+    known = pages.select("page_id", "url", host.alias("host"), "html").mapInArrow(
+        cut, f"page_id {kind}, url string, host string, parts array<string>, zones array<int>").withColumn(
+        "digest", F.xxhash64("parts"))
+    hosts = stored(known.groupBy("host").agg(F.ceil(F.countDistinct("digest") / SHARD).alias("shards")), "hosts")
+    dealt = known.join(hosts, "host").withColumn("shard", F.pmod(F.xxhash64("digest"), F.col("shards")))
+    names = ["host", "shard", "digest", "shards", "page_id", "url", "parts", "zones"]
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, _ in _shards(batches):
+            shard = Shard(rows)
+            keys, count = shard.groups()
+            yield _told(rows, shard.texts(keys[count >= PAGES]), arrow)
+
+    def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, keys in _shards(batches):
+            yield _told(rows, Shard(rows).texts(keys), arrow)
+
+    arrow = pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()
+    result = f"page_id {kind}, url string, text string"
+    one = dealt.where("shards = 1").select(names)
+    out = one.repartition("host", "shard").sortWithinPartitions("host", "shard", "digest").mapInArrow(whole, result)
+    if hosts.where("shards > 1").head(1):
+        many = dealt.where("shards > 1").select(names)
+        groups = many.repartition("host", "shard").sortWithinPartitions("host", "shard", "digest").mapInArrow(
+            _counted, "host string, shard long, bucket long, keys binary, pages binary")
+        sent = groups.repartition("host", "bucket").sortWithinPartitions("host", "bucket").mapInArrow(
+            _added, "host string, shard long, keys binary")
+        both = many.unionByName(sent, allowMissingColumns=True)
+        out = out.union(both.repartition("host", "shard").sortWithinPartitions(
+            "host", "shard", F.col("keys").isNull(), "digest").mapInArrow(parted, result))
+    return out.withColumn("n_chars", F.length("text").cast("long"))

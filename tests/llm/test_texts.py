@@ -119,6 +119,29 @@ def test_open_pages_lose_what_their_host_repeats(spark, docs):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+@pytest.mark.parametrize("shard", [250, 7])
+def test_all_blocks_of_a_host_are_evidence_and_articles_stay_whole(spark, docs, monkeypatch, shard):
+    docs([])
+    monkeypatch.setattr(html_text, "SHARD", shard)
+    rng = random.Random(5)
+    body = lambda: " ".join(f"u{rng.randint(0, 10**6)}" for _ in range(30))
+    menu = "Home News Sport Weather Shop Travel More Search Contact"
+    rare = "This page was moved here from the old site of ours"
+    same = body()
+    own = [body() for _ in range(60)]
+    rows = [(i, f"http://a.example/{i}", f"<nav>{menu}</nav><article><p>{own[i]}</p><p>{same}</p></article>") for i in range(40)]
+    rows += [(i, f"http://a.example/{i}", f"<p>{menu}</p><p>{own[i]}</p>" + f"<p>{rare}</p>" * (i < 43)) for i in range(40, 60)]
+    rows += [(60, "http://a.example/60", f"<p>{menu}</p>"), (61, "http://b.example/", f"<p>{menu}</p>"), (62, None, None)]
+    rows += [(63 + i, f"http://c.example/{i}", f"<nav>{menu}</nav><article>{own[i]}</article>") for i in range(3)]
+    rows += [(66, "http://c.example/3", f"<p>{menu}</p><p>{own[3]}</p>")]  # the only page of its host that marks nothing
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = {r.page_id: r.text for r in html_text.main_text(df).collect()}
+    assert len(text) == 67 and [text[63 + i] for i in range(4)] == own[:4]
+    for i in range(60):
+        assert text[i] == (f"{own[i]}\n{same}" if i < 40 else own[i]), i
+    assert (text[60], text[61], text[62]) == ("", menu, "")
+
+
 def test_suffix_groups():
     import numpy as np
 
