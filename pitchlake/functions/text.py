@@ -113,23 +113,29 @@ def metric_column(label: Column) -> Column:
 
 def snake_case(key: Column) -> Column:
     """'bigChanceCreated' -> 'big_chance_created'."""
-    return F.lower(F.regexp_replace(key, "(?<!^)(?=[A-Z])", "_"))
+    small = F.lower(key)
+    return F.when(key == small, key).otherwise(F.lower(F.regexp_replace(key, "(?<!^)(?=[A-Z])", "_")))
 
 
 @functools.cache
 def _accents() -> tuple[str, str]:
-    """Letters of the Latin blocks that decompose into a plain letter and marks, and these letters."""
+    """Letters of the Latin blocks that decompose into a plain letter and marks, and these letters.
+
+    The combining marks come last and have no counterpart, so ``translate`` deletes them.
+    """
     pairs = {}
     for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
         base = unicodedata.normalize("NFD", chr(code))[0]
         if base != chr(code) and base.isascii():
             pairs[chr(code)] = base
-    return "".join(pairs), "".join(pairs.values())
+    marks = "".join(map(chr, range(0x300, 0x370)))
+    return "".join(pairs) + marks, "".join(pairs.values())
 
 
 def strip_accents(c: Column) -> Column:
     """Letters without their marks, composed or written with combining ones."""
-    return F.translate(F.regexp_replace(c, "[\u0300-\u036f]", ""), *_accents())
+    ascii_only = F.length(c) == F.octet_length(c)
+    return F.when(ascii_only, c).otherwise(F.translate(c, *_accents()))
 
 
 def header_token(c: Column) -> Column:

@@ -27,28 +27,40 @@ def local_session(name: str = "pitchlake", cpus: str = "8", **conf: str) -> Spar
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Adaptive settings the operators count on; safe to set on a running session.
+    """Settings the operators count on; safe to set on a running session.
 
-    Hot keys in sort-merge joins are split even where that costs one more shuffle.
+    Hot keys in sort-merge joins are split even where that costs one more shuffle; where a
+    map is built from repeated keys, the last value stays.
     """
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     return spark
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """New folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Where that is unset, a session of one JVM sets a folder of its own; any other must set it.
+    Where that is unset, a session of one JVM uses a folder of its own; any other must set it.
     """
+    return f"{_own_folder(spark, _base(spark))}/{purpose}-{uuid.uuid4().hex}"
+
+
+#: Folder of this process where the session names none (the setting is fixed once a session runs).
+_fallback: str | None = None
+
+
+def _base(spark: SparkSession) -> str:
+    global _fallback
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="pitchlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{_own_folder(spark, base)}/{purpose}-{uuid.uuid4().hex}"
+    if base:
+        return base
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    if _fallback is None:
+        _fallback = tempfile.mkdtemp(prefix="pitchlake-")
+    return _fallback
 
 
 def _own_folder(spark: SparkSession, base: str) -> str:
@@ -57,7 +69,7 @@ def _own_folder(spark: SparkSession, base: str) -> str:
 
 def clear_shared(spark: SparkSession) -> None:
     """Remove every intermediate copy of this application; frames that read one end with it."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _fallback
     if base:
         path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark, base))
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,7 +4,8 @@ Each function takes a frame with the document text in ``doc`` (and the match
 context it needs) and stays inside the JVM: ``from_json``, array functions and
 ``explode``; no document is ever grouped with another. The parsed arrays go through
 ``posexplode_outer`` and a filter, because a plain explode makes Spark add a
-not-empty test that parses every document twice.
+not-empty test that parses every document twice. Repeated metrics are left to the map
+builder (``session.configure`` lets the last value of a key win), so no array is searched.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pitchlake import schemas
 from pitchlake.functions import text
 from pitchlake.operators import naming
+from pitchlake.session import configure
 
 RATING_KEY = "ratingVersions"
 
@@ -52,16 +54,6 @@ def score(c: Column) -> Column:
     return F.coalesce(c["normaltime"], c["current"], F.lit(0))
 
 
-def _last_of_each_key(entries: Column) -> Column:
-    """Entries whose key does not come again later in the array."""
-
-    def is_last(entry: Column, i: Column) -> Column:
-        later = F.slice(entries, i + 2, F.size(entries))
-        return ~F.exists(later, lambda x: x["key"] == entry["key"])
-
-    return F.filter(entries, is_last)
-
-
 def _side_map(entries: Column, side: str) -> Column:
     return F.map_from_entries(
         F.transform(entries, lambda x: F.struct(x["key"].alias("key"), x[side].alias("value")))
@@ -73,6 +65,7 @@ def flatten_team_stats(docs: DataFrame) -> DataFrame:
 
     A period without groups gives no rows; of a repeated metric the last value stays.
     """
+    configure(docs.sparkSession)
     context = ["id_jogo", "casa", "fora", "temporada"]
     parsed = docs.select(*context, F.from_json("doc", schemas.STATISTICS_DOC)["statistics"].alias("s"))
     periods = parsed.select(
@@ -90,7 +83,7 @@ def flatten_team_stats(docs: DataFrame) -> DataFrame:
     )
     rows = periods.filter(F.size("col.groups") > 0).select(
         *context, F.col("col.period").alias("periodo"), entries.alias("items")
-    ).withColumn("items", _last_of_each_key(F.col("items")))
+    )
     sides = F.array(
         F.struct(F.col("casa").alias("clube"), _side_map(F.col("items"), "home").alias("metricas")),
         F.struct(F.col("fora").alias("clube"), _side_map(F.col("items"), "away").alias("metricas")),
@@ -127,7 +120,11 @@ def _with_team(side: str, team: str) -> Column:
 
 
 def flatten_lineups(docs: DataFrame) -> DataFrame:
-    """(id_jogo, casa, fora, temporada, doc) -> one row per player with a metric map."""
+    """(id_jogo, casa, fora, temporada, doc) -> one row per player with a metric map.
+
+    Of two keys with one name the last value stays.
+    """
+    configure(docs.sparkSession)
     parsed = docs.select(
         "id_jogo", "casa", "fora", "temporada", F.from_json("doc", schemas.LINEUPS_DOC).alias("d")
     )
@@ -135,11 +132,8 @@ def flatten_lineups(docs: DataFrame) -> DataFrame:
     rows = parsed.select("id_jogo", "temporada", F.explode(tagged).alias("t")).select(
         "id_jogo", "temporada", "t.team", "t.p.*"
     )
-    entries = F.transform(
-        F.filter(F.map_entries("statistics"), lambda x: x["key"] != RATING_KEY),
-        lambda x: F.struct(text.snake_case(x["key"]).alias("key"), x["value"].alias("value")),
-    )
-    metrics = F.map_from_entries(_last_of_each_key(entries))
+    stats = F.map_filter("statistics", lambda k, v: k != RATING_KEY)
+    metrics = F.transform_keys(stats, lambda k, v: text.snake_case(k))
     rating = F.coalesce(
         F.try_element_at("statistics", F.lit("rating")),
         F.get_json_object(F.try_element_at("statistics", F.lit(RATING_KEY)), "$.original"),

@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import MATCHES, match, rows
+from builders import MATCHES, match, rows
 from pitchlake import schemas
 from pitchlake.operators import naming, sinks
 from pitchlake.sources import documents, files

@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import match
+from builders import match
 from pitchlake import schemas
 from pitchlake.operators import club_games as cg
 from pitchlake.operators import streaks

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import match, rows
+from builders import match, rows
 from pitchlake import schemas
 from pitchlake.functions import fixed
 from pitchlake.operators import club_games as cg

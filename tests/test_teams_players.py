@@ -3,7 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import match, rows
+from builders import match, rows
 from pitchlake import schemas
 from pitchlake.functions import labels
 from pitchlake.operators import players as pl

@@ -39,6 +39,11 @@ def event_struct():
     )
 
 
+def landed(df: DataFrame) -> DataFrame:
+    """The rows dealt over all cores, as documents land in many files and not in one row group."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def event_docs(spark: SparkSession, sf: str) -> DataFrame:
     return views.table(spark, sf, "orders").select(F.to_json(event_struct()).alias("doc"))
 
@@ -70,7 +75,7 @@ def statistics_docs(spark: SparkSession, sf: str) -> DataFrame:
 
     first, second = period("1ST", 1), period("2ND", 2)
     both = F.when(key % 7 == 0, F.array(first)).otherwise(F.array(first, second))
-    return views.table(spark, sf, "orders").select(
+    return landed(views.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")).select(
         key.alias("id_jogo"), F.lit("Home FC").alias("casa"), F.lit("Away FC").alias("fora"),
         F.year("o_orderdate").cast("string").alias("temporada"),
         F.to_json(F.struct(both.alias("statistics"))).alias("doc"))
@@ -99,7 +104,8 @@ def lineup_docs(spark: SparkSession, sf: str, lines: DataFrame | None = None) ->
 
     home = F.struct(F.array(player(0), player(1)).alias("players"))
     away = F.struct(F.array(player(2)).alias("players"))
-    return (views.table(spark, sf, "lineitem") if lines is None else lines).select(
+    lines = views.table(spark, sf, "lineitem") if lines is None else lines
+    return landed(lines.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")).select(
         F.col("l_orderkey").alias("id_jogo"), F.lit("Home FC").alias("casa"),
         F.lit("Away FC").alias("fora"), F.lit("2025").alias("temporada"),
         F.to_json(F.struct(home.alias("home"), away.alias("away"))).alias("doc"))
