@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pitchlake.llm import decontaminate, embed_dedup, html_text, lang_id, lm_score, pieces, pii, quality, simhash, suffix_dedup
+from pitchlake.llm import (
+    align, decontaminate, embed_dedup, html_text, lang_id, lm_score, pieces, pii, quality, simhash, suffix_dedup, topk_search, whitening,
+)
 from pitchlake.llm.common import prepare, remainder, table
 
 MODEL = "piece_bpe_32k.model"
+BYTES = "byte_bpe_50k.json"
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -38,10 +41,10 @@ def op2_quality(spark, sf_dir):
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def tokenizer() -> str:
+def tokenizer(name: str = MODEL) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(MODEL)
+    return public_tokenizers.path(name)
 
 
 @query
@@ -84,3 +87,18 @@ def op6_html_text(spark, sf_dir):
 @query
 def op8_lm_score(spark, sf_dir):
     return lm_score.score(table(spark, sf_dir, "documents"), _held(5, 1), tokenizer())
+
+
+@query
+def op11_embedding_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    return align.align(table(spark, sf_dir, "documents"), tokenizer(BYTES), tokenizer())
+
+
+@query
+def op13_topk_search(spark, sf_dir):
+    return topk_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % topk_search.EVERY == 0)
