@@ -11,7 +11,7 @@ UNBEATEN = "invicto"
 WINNING = "vitoria"
 
 
-def _holds(kind: str) -> Column:
+def holds(kind: str) -> Column:
     if kind == UNBEATEN:
         return F.col("gols_marcados") >= F.col("gols_sofridos")
     if kind == WINNING:
@@ -35,7 +35,7 @@ def runs(
     if block == ["mes"]:
         games = games.withColumn("mes", F.trunc("data", "month"))
     inside = [c for c in CHRONOLOGICAL if c not in block]
-    ok = F.when(_holds(kind), 1).otherwise(0)
+    ok = F.when(holds(kind), 1).otherwise(0)
 
     in_block = Window.partitionBy(*by, *block).orderBy(*inside).rowsBetween(
         Window.unboundedPreceding, Window.currentRow

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pitchlake import schemas
 from pitchlake.operators import sinks
 from pitchlake.sources import documents
+from pitchlake.streaming import keyed
 
 SEASON = "temporada"
 FOLDERS = ("ordem", "carga", "batch_id")
@@ -127,32 +128,24 @@ def store_batch(batch: DataFrame, batch_id: int, log_dir: str, carga: str = "man
     spark = batch.sparkSession
     good = _reject(batch, F.col("id_jogo").isNull(), f"{rejected_dir(log_dir)}/carga={carga}/batch_id={batch_id}")
     unique = merge_batch(sinks.align(good, schemas.MATCHES)).persist()
-    log = read_log(spark, log_dir)
-    folder = _folder(log, log_dir, carga, batch_id)
-    # Only the matches of this batch, in the folders of its seasons, are looked up.
-    others = _of_seasons(log, unique).filter((F.col("carga") != carga) | (F.col("batch_id") != batch_id))
-    stored = current_matches(others.join(unique.select("id_jogo"), "id_jogo", "left_semi"))
-    useful_rows(unique, stored).write.mode("overwrite").partitionBy(SEASON).parquet(folder)
-    unique.unpersist()
-
-
-def store_new(
+    try:
+        log = read_log(spark, log_dir)
+        folder = _folder(log, log_dir, carga, batch_id)
+        # Only the matches of this batch, in the folders of its seasons, are looked up.
+        others = _of_seasons(log, unique).filter((F.col("carga") != carga) | (F.col("batch_id") != batch_id))
+        stored = current_matches(others.join(unique.select("id_jogo"), "id_jogo", "left_semi"))
+        useful_rows(unique, stored).write.mode("overwrite").partitionBy(SEASON).parquet(folder)
+    finally:
+        unique.unpersist()
+
+
+def store_first(
     batch: DataFrame, batch_id: int, log_dir: str, carga: str, schema: T.StructType,
     flatten: Callable[[DataFrame], DataFrame],
 ) -> None:
-    """Write the rows of those documents whose match the log does not have yet.
-
-    Of several documents of a match in one batch the longest counts.
-    """
-    spark = batch.sparkSession
-    good = _reject(batch, F.col("id_jogo").isNull() | F.col("doc").isNull(),
-                   f"{rejected_dir(log_dir)}/carga={carga}/batch_id={batch_id}").drop(BROKEN)
-    log = read_log(spark, log_dir, schema)
-    folder = _folder(log, log_dir, carga, batch_id)
-    others = _of_seasons(log, good).filter((F.col("carga") != carga) | (F.col("batch_id") != batch_id))
-    one = sinks.one_per_key(good, ["id_jogo"], [F.length("doc").desc()])
-    new = one.join(others.select("id_jogo"), "id_jogo", "left_anti").select(good.columns)
-    sinks.align(flatten(new), schema).write.mode("overwrite").partitionBy(SEASON).parquet(folder)
+    """Write the rows of documents that keyed state let through; the log is not read."""
+    folder = f"{log_dir}/ordem={batch_id}/carga={carga}/batch_id={batch_id}"
+    sinks.align(flatten(batch), schema).write.mode("overwrite").partitionBy(SEASON).parquet(folder)
 
 
 def compact_log(spark: SparkSession, log_dir: str, to: str, schema: T.StructType = schemas.MATCHES) -> None:
@@ -202,10 +195,19 @@ def load_match_csv(
 
 
 def _load_documents(spark, landing, log_dir, checkpoint, files_per_batch, schema, flatten) -> StreamingQuery:
+    """Documents of matches that the log does not have: the rest of a line never decides that."""
     create_log(spark, log_dir, schema)
-    docs = _json(spark, landing, files_per_batch,
-                 "id_jogo BIGINT, casa STRING, fora STRING, temporada STRING, campeonato STRING, doc STRING", "doc")
-    return _start(docs, checkpoint, lambda df, i, carga: store_new(df, i, log_dir, carga, schema, flatten))
+    lines = _json(spark, landing, files_per_batch,
+                  "id_jogo BIGINT, casa STRING, fora STRING, temporada STRING, campeonato STRING, doc STRING", "doc")
+    bad = F.col("id_jogo").isNull() | F.col("doc").isNull()
+    known = read_log(spark, log_dir, schema).filter(F.col("id_jogo").isNotNull())
+    first = keyed.first_deliveries(lines.filter(~bad).drop(BROKEN), "id_jogo", "doc", known)
+    rejected = _start(
+        lines.filter(bad).select(F.coalesce(BROKEN, F.to_json(F.struct(*lines.drop(BROKEN).columns))).alias("linha")), f"{checkpoint.rstrip('/')}/rejeitados",
+        lambda df, i, carga: df.write.mode("overwrite").parquet(f"{rejected_dir(log_dir)}/carga={carga}/batch_id={i}"))
+    rejected.awaitTermination()
+    return _start(first, f"{checkpoint.rstrip('/')}/linhas",
+                  lambda df, i, carga: store_first(df, i, log_dir, carga, schema, flatten))
 
 
 def load_statistics(spark: SparkSession, landing: str, log_dir: str, checkpoint: str,
