@@ -31,12 +31,12 @@ from pyspark.sql import functions as F
 from pitchlake.llm import vectors
 
 FACTOR, K, EVERY = 256, 5, 50
-LEVELS = 64
+LEVELS = 32
 #: Rows of a shard at most, and of one where there are few (so that all cores search).
-SHARD, LEAST, SHARDS = 65_536, 2048, 64
+SHARD, LEAST, SHARDS = 65_536, 8192, 64
 #: Shares of the postings after which possible members are counted, and the part of all rows
 #: (one in so many) that is rather scored exactly than processed on.
-CHECKS, FEW = (0.3, 0.4, 0.5, 0.6, 0.7, 0.85, 1.0), 8
+CHECKS, FEW = (0.4, 0.5, 0.65, 0.8, 1.0), 6
 _LONG = (1 << 63) - 1
 
 
@@ -53,18 +53,26 @@ class Index:
         above = self.x.astype(np.float64) - self.low
         level = np.minimum((above / np.where(width > 0, width, 1)).astype(np.int64), LEVELS - 1)
         key = level + np.arange(dim) * LEVELS
-        self.rows = np.concatenate([np.argsort(level[:, d], kind="stable") for d in range(dim)]) if dim else np.zeros(0, np.int64)
+        by_level = [np.argsort(level[:, d], kind="stable") for d in range(dim)]
+        self.rows = np.concatenate(by_level) if dim else np.zeros(0, np.int64)
         self.size = np.bincount(key.ravel(), minlength=dim * LEVELS)
-        self.start = np.concatenate([[0], np.cumsum(self.size)[:-1]]) if dim else np.zeros(0, np.int64)
         # The least and most above the lowest entry that each segment holds.
-        self.least, self.most = np.full(dim * LEVELS, np.inf), np.zeros(dim * LEVELS)
-        np.minimum.at(self.least, key.ravel(), above.ravel())
-        np.maximum.at(self.most, key.ravel(), above.ravel())
+        least, most = np.full(dim * LEVELS, np.inf), np.zeros(dim * LEVELS)
+        np.minimum.at(least, key.ravel(), above.ravel())
+        np.maximum.at(most, key.ravel(), above.ravel())
         self.range = high.astype(np.float64) - self.low
-        self.top = vectors.largest(self.x)
+        #: What a segment adds at most above the floor, read from the top level and from the lowest.
+        self.up, self.down = most, np.where(self.size > 0, np.repeat(self.range, LEVELS) - least, 0)
+        self.each_up, self.each_down = (np.repeat(g, self.size) for g in (self.up, self.down))
+
+        top = vectors.largest(self.x)
+        self.doubles = self.x.astype(np.float64) if top < 1 << 20 else None
+        self.fits = vectors.EXACT // max(1, top * dim)
 
     def exact(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Scores as whole numbers."""
+        if self.doubles is not None and vectors.largest(q) < self.fits:
+            return (self.doubles[rows] @ q.astype(np.float64)).astype(np.int64)
         return vectors.product(self.x[rows], q[:, None])[:, 0]
 
     def _best(self, rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,47 +91,41 @@ class Index:
             best = self._best(rows, self.exact(rows, q), k)
             return self.ids[best[0]], best[1], 0
         weight = np.abs(q).astype(np.float64)
-        down = np.repeat(q < 0, LEVELS)
+        negative = q < 0
         # Impact of a segment: the most it can add above the floor of its dimension.
-        gain = np.where(down, np.repeat(self.range, LEVELS) - self.least, self.most)
-        held = self.size > 0
-        impact = np.where(held, np.repeat(weight, LEVELS) * np.where(held, gain, 0), -1.0)
-        use = np.flatnonzero(held & (np.repeat(weight, LEVELS) > 0))
+        impact = np.repeat(weight, LEVELS) * np.where(np.repeat(negative, LEVELS), self.down, self.up)
+        use = np.flatnonzero((self.size > 0) & (np.repeat(weight, LEVELS) > 0))
         use = use[np.argsort(-impact[use], kind="stable")]
-        # In each dimension impacts fall in level order, so the next of each is its highest left.
-        floor = float((np.where(q < 0, self.low + self.range, self.low) * q.astype(np.float64)).sum())
-        slack = 1e-9 * float((weight * (self.range + np.abs(self.low))).sum()) + 1e-9
-        ends = np.cumsum(self.size[use])
-        stops = np.unique((np.searchsorted(ends, ends[-1] * np.array(CHECKS), "left") + 1).clip(max=len(use)))
-        acc = np.zeros(n)
-        missing = np.zeros(n)  # impacts already passed in the dimensions a row was found in
-        theta, done = -np.inf, 0
+        dims, ends = use // LEVELS, np.cumsum(self.size[use])
+        floor = float((np.where(negative, self.low + self.range, self.low) * q.astype(np.float64)).sum())
+        most = impact.reshape(dim, LEVELS).max(axis=1)
+        # One sum holds a row's impacts and, in whole steps, the dimensions it was found in.
+        step = float(2 ** np.ceil(np.log2(most.sum() + 1) + 1))
+        slack = 1e-9 * (float((weight * (self.range + np.abs(self.low))).sum()) + 1)
+        acc, theta, passed = np.zeros(n), -np.inf, np.zeros(dim, np.int64)
         best: tuple = (np.zeros(0, np.int64), np.zeros(0))
-        dims = use // LEVELS
-        for stop in stops:
-            part = use[done:stop]
-            lens = self.size[part]
-            pos = np.repeat(self.start[part] - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
-            found = self.rows[pos]
-            acc += np.bincount(found, np.repeat(impact[part], lens), n)
+        done = 0
+        for stop in np.unique((np.searchsorted(ends, ends[-1] * np.array(CHECKS), "left") + 1).clip(max=len(use))):
             done = int(stop)
-            # The highest impact left in each dimension, and for each row those of its found dimensions.
-            left = np.zeros(dim)
-            rest = use[done:]
-            np.maximum.at(left, dims[done:], impact[rest])
-            total = float(left.sum())
-            seen = use[:done]
-            lens = self.size[seen]
-            if total > 0:
-                pos = np.repeat(self.start[seen] - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
-                missing = np.bincount(self.rows[pos], np.repeat(left[dims[:done]], lens), n)
-                bound = acc + (total - missing) + floor
-            else:
-                bound = acc + floor
+            # A dimension's impacts fall in the order of its levels: what was processed of it is one range.
+            to = np.bincount(dims[:done], self.size[use[:done]], dim).astype(np.int64)
+            found, gains = [], []
+            for d in np.flatnonzero(to > passed).tolist():
+                x, y = d * n + int(passed[d]), d * n + int(to[d])
+                if not negative[d]:
+                    x, y = (2 * d + 1) * n - y, (2 * d + 1) * n - x
+                found.append(self.rows[x:y])
+                gains.append((self.each_down if negative[d] else self.each_up)[x:y] * weight[d] + step)
+            acc += np.bincount(np.concatenate(found), np.concatenate(gains), n)
+            passed = to
+            # Where a dimension is begun, a row it was not found in adds at most the next impact.
+            seen = np.floor(acc / step)
+            begun = passed > 0
+            tau = float(impact[use[done]]) if done < len(use) else 0.0
+            bound = floor + (acc - seen * step) + float(most[~begun].sum()) + (int(begun.sum()) - seen) * tau
             bound[mine] = -np.inf
             lead = np.argpartition(-bound, k - 1)[:k]
-            scores = self.exact(lead, q)
-            theta = max(theta, float(min(scores)))
+            theta = max(theta, float(min(self.exact(lead, q))))
             possible = np.flatnonzero(bound >= theta - slack)
             if len(possible) <= max(k, n // FEW) or done == len(use):
                 best = self._best(possible, self.exact(possible, q), k)
