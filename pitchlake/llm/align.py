@@ -43,13 +43,18 @@ from pitchlake.llm.common import stored
 #: A blank between two characters that no version of Unicode counts as white space.
 BLANK = re.compile("(?<=[^\\s\\u180e\\u200b\\ufeff]) (?=[^\\s\\u180e\\u200b\\ufeff])")
 #: Longest part that is kept, parts and windows that a worker keeps, most tokens of a kept window.
-PART, PARTS, WINDOWS, WINDOW = 64, 250_000, 250_000, 48
-#: Pairs and documents of a block at most.
-PAIRS, DOCS = 1_000_000, 50_000
+PART, PARTS, WINDOWS, WINDOW = 64, 150_000, 400_000, 48
+#: Pairs, documents, and links of different windows that a block is closed after.
+PAIRS, DOCS, LINKS = 1_000_000, 50_000, 8_000_000
 TEXTS = 64
 _SHIFT = 32
 
 
+def _outer(c: str) -> bool:
+    """A character beside which a blank need not start a token."""
+    return c.isspace() or c in "\u180e\u200b\ufeff"
+
+
 def byte_of_letter() -> dict[str, int]:
     """Bytes by the letters that byte-level vocabularies write for them.
 
@@ -98,28 +103,50 @@ class Tokens:
         self.a_blank = np.array([x[:1] == b" " for x in self.a_bytes])
         self.b_blank = np.array([x[:1] == b" " for x in self.b_bytes])
         self.parts: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.before: dict[str, tuple[bytes, bytes, bool]] = {}  # the parts kept before these
 
-    def _coded(self, found: list[str]) -> list[tuple[bytes, bytes, bool]]:
+    def _coded(self, found: list[str]) -> dict[str, tuple[bytes, bytes, bool]]:
         """A's and B's ids of blank plus part, and whether their bytes are just these."""
-        left = self.a.encode_batch_fast([" " + p for p in found], add_special_tokens=False)
-        right = self.b.encode(found, num_threads=1)
-        out = []
-        for part, x, y in zip(found, left, right):
-            whole = (" " + part).encode()
-            x = x.ids
-            same = b"".join([self.a_bytes[i] for i in x]) == whole and b"".join([self.b_bytes[i] for i in y]) == whole
-            out.append((np.array(x, np.int32).tobytes(), np.array(y, np.int32).tobytes(), same))
+        joint = [p for p in found if not (_outer(p[0]) or _outer(p[-1]) or "▁" in p)]
+        out = self._joint(joint)
+        for part in found:
+            if part not in out:
+                a, b = self.a.encode(" " + part, add_special_tokens=False).ids, self.b.encode(part)
+                whole = (" " + part).encode()
+                same = all(b"".join([t[i] for i in ids]) == whole for ids, t in ((a, self.a_bytes), (b, self.b_bytes)))
+                out[part] = (np.array(a, np.int32).tobytes(), np.array(b, np.int32).tobytes(), same)
         return out
 
+    def _joint(self, found: list[str]) -> dict[str, tuple[bytes, bytes, bool]]:
+        """The same for parts encoded as one text, cut where both sides' tokens end with a part; else none."""
+        if not found:
+            return {}
+        text = " ".join(found)
+        whole = (" " + text).encode()
+        ends = np.cumsum([1 + len(p.encode()) for p in found])
+        sides = []
+        for ids, table, size in ((self.a.encode(" " + text, add_special_tokens=False).ids, self.a_bytes, self.a_size),
+                                 (self.b.encode(text), self.b_bytes, self.b_size)):
+            if b"".join([table[i] for i in ids]) != whole:
+                return {}
+            ids = np.array(ids, np.int32)
+            sizes = np.cumsum(size[ids])
+            at = np.searchsorted(sizes, ends)
+            if (sizes[at] != ends).any():
+                return {}
+            raw, cuts = ids.tobytes(), (4 * (at + 1)).tolist()
+            sides.append([raw[i:j] for i, j in zip([0, *cuts], cuts)])
+        return {p: (x, y, True) for p, x, y in zip(found, *sides)}
+
     def ids(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """A's and B's ids of each text; none where joined bytes differ from blank plus text."""
         cut = [BLANK.split(t) if t else [] for t in texts]
-        known = self.parts
-        new = list({p for c in cut for p in c if p not in known})
-        once = dict(zip(new, self._coded(new))) if new else {}
+        known, before = self.parts, self.before
+        new = list({p for c in cut for p in c if p not in known and p not in before})
+        once = self._coded(new) if new else {}
         out = []
         for text, c in zip(texts, cut):
-            both = [known.get(p) or once[p] for p in c]
+            both = [known.get(p) or before.get(p) or once[p] for p in c]
             a = np.frombuffer(b"".join([x[0] for x in both]), np.int32)
             b = np.frombuffer(b"".join([x[1] for x in both]), np.int32)
             if not all([x[2] for x in both]):  # judged on the whole text
@@ -128,31 +155,29 @@ class Tokens:
                         b"".join([self.b_bytes[i] for i in b.tolist()]) != whole:
                     a = b = np.zeros(0, np.int32)
             out.append((a, b))
-        if len(known) + len(once) > PARTS:
-            known.clear()
-        known.update((p, x) for p, x in once.items() if len(p) <= PART)
+        if len(known) > PARTS:
+            self.before, self.parts = known, {}
+        self.parts.update((p, x) for p, x in once.items() if len(p) <= PART)
         return out
 
 
-def aligned(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]]:
-    """Groups and links of two token lists that cover the same bytes."""
-    groups, links = [], []
-    left: list[int] = []
-    right: list[int] = []
-    i = j = 0
-    while i < len(a):
-        links.append((a[i], b[j]))
-        x, y = a_ends[i], b_ends[j]
-        if x <= y:
-            left.append(a[i])
-            i += 1
-        if y <= x:
-            right.append(b[j])
-            j += 1
-        if x == y:
-            groups.append((left, right))
-            left, right = [], []
-    return groups, links
+class _Grown:
+    """An array that grows by doubling."""
+
+    def __init__(self):
+        self.room, self.used = np.zeros(1024, np.int64), 0
+
+    def add(self, more: np.ndarray) -> None:
+        need = self.used + len(more)
+        if need > len(self.room):
+            self.room = np.concatenate([self.room, np.zeros(max(need, len(self.room)), np.int64)])
+        self.room[self.used:need] = more
+        self.used = need
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indexes of all ranges in a row."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
 class Windows:
@@ -160,60 +185,94 @@ class Windows:
 
     def __init__(self, tokens: Tokens):
         self.t = tokens
+        n, m = len(tokens.a_bytes), len(tokens.b_bytes)
+        # How an id is written, by whether it is the last of its side in a group.
+        self.written = [f"{i}{e}" for i in range(n) for e in ",|"] + [f"{i}{e}" for i in range(m) for e in ",;"]
+        self.b_first = 2 * n
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[int, int] = {}  # pair -> its number in the block
-        self.kept: dict[tuple[bytes, bytes], int] = {}
+        self.kept: dict[bytes, int] = {}
         self.groups: list[str] = []
-        self.n_groups: list[int] = []
-        self.pairs: list[np.ndarray] = []
-        self.flat: tuple | None = None
+        self.n_groups, self.pairs, self.starts, self.sizes = _Grown(), _Grown(), _Grown(), _Grown()
 
-    def _made(self, a: np.ndarray, b: np.ndarray) -> int:
-        groups, links = aligned(a.tolist(), np.cumsum(self.t.a_size[a]).tolist(), b.tolist(), np.cumsum(self.t.b_size[b]).tolist())
-        number = self.number
-        self.groups.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups))
-        self.n_groups.append(len(groups))
-        self.pairs.append(np.array([number.setdefault((x << _SHIFT) | y, len(number)) for x, y in links], np.int64))
-        self.flat = None
-        return len(self.groups) - 1
-
-    def anchors(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Token indexes in A and in B at which windows start, and the ends of both."""
+    def _made(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> None:
+        """Align windows that lie in a row, and append them.
+
+        Both sides' ends together cut the bytes into stretches; each lies in one token of A and
+        one of B, which it links. A group ends where both end.
+        """
         a_ends, b_ends = np.cumsum(self.t.a_size[a]), np.cumsum(self.t.b_size[b])
-        x = np.flatnonzero(self.t.a_blank[a[1:]]) + 1
-        y = np.flatnonzero(self.t.b_blank[b[1:]]) + 1
-        # Verified: the tokens before both end at the same byte.
-        _, i, j = np.intersect1d(a_ends[x - 1], b_ends[y - 1], assume_unique=True, return_indices=True)
-        return np.concatenate([[0], x[i], [len(a)]]), np.concatenate([[0], y[j], [len(b)]])
-
-    def of(self, a: np.ndarray, b: np.ndarray) -> list[int]:
-        """The windows of one document."""
-        at, bt = self.anchors(a, b)
-        raw_a, raw_b = a.tobytes(), b.tobytes()
-        at4, bt4 = (at * 4).tolist(), (bt * 4).tolist()
-        keys = [(raw_a[i:j], raw_b[k:m]) for i, j, k, m in zip(at4, at4[1:], bt4, bt4[1:])]
+        ends = np.union1d(a_ends, b_ends)
+        i, j = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+        shared = (a_ends[i] == ends) & (b_ends[j] == ends)
+        at = np.searchsorted(a_ends[np.cumsum(n_a) - 1], ends)
+        codes, inverse = np.unique((a[i].astype(np.int64) << _SHIFT) | b[j], return_inverse=True)
+        number = self.number
+        numbers = np.array([number.setdefault(c, len(number)) for c in codes.tolist()], np.int64)
+        sizes = np.bincount(at, minlength=len(n_a))
+        self.starts.add(self.pairs.used + np.cumsum(sizes) - sizes)
+        self.sizes.add(sizes)
+        self.pairs.add(numbers[inverse])
+        self.n_groups.add(np.bincount(at[shared], minlength=len(n_a)))
+        cuts = ends[shared]
+        ga, gb = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        last = lambda g: np.append(g[1:] != g[:-1], True)
+        order = np.argsort(np.concatenate([2 * ga, 2 * gb + 1]), kind="stable")
+        codes = np.concatenate([2 * a + last(ga), self.b_first + 2 * b + last(gb)])[order]
+        written = self.written
+        text = [written[c] for c in codes.tolist()]
+        to = np.cumsum(n_a + n_b).tolist()
+        self.groups.extend(["".join(text[x:y]) for x, y in zip([0, *to], to)])
+
+    def anchors(self, a: np.ndarray, b: np.ndarray, a_first: np.ndarray, b_first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token indexes in A and in B at which windows start, for texts in a row that start at the given tokens."""
+        sa, sb = self.t.a_size[a], self.t.b_size[b]
+        a_starts, b_starts = np.cumsum(sa) - sa, np.cumsum(sb) - sb
+        x, y = self.t.a_blank[a], self.t.b_blank[b]
+        x[a_first] = y[b_first] = True
+        x, y = np.flatnonzero(x), np.flatnonzero(y)
+        # Verified: both start at the same byte, so the tokens before both end there.
+        _, i, j = np.intersect1d(a_starts[x], b_starts[y], assume_unique=True, return_indices=True)
+        return x[i], y[j]
+
+    def of(self, ids: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """The windows of documents in a row, and how many each document has."""
+        n_a, n_b = (np.array([len(d[k]) for d in ids], np.int64) for k in (0, 1))
+        if not n_a.sum():
+            return np.zeros(0, np.int64), np.zeros(len(ids), np.int64)
+        a, b = (np.concatenate([d[k] for d in ids]).astype(np.int64) for k in (0, 1))
+        some = n_a > 0
+        first = (np.cumsum(n_a) - n_a)[some]
+        at, bt = self.anchors(a, b, first, (np.cumsum(n_b) - n_b)[some])
+        counts = np.zeros(len(ids), np.int64)
+        counts[some] = np.diff(np.append(np.searchsorted(at, first), len(at)))
+        n_a, n_b = np.diff(np.append(at, len(a))), np.diff(np.append(bt, len(b)))
+        # A window's ids, those of A and then those of B, lie together: they are its key.
+        which = np.arange(len(at))
+        order = np.argsort(np.concatenate([np.repeat(which, n_a), np.repeat(which, n_b)]), kind="stable")
+        raw = np.concatenate([a, b | 1 << 20])[order].astype(np.int32).tobytes()
+        cuts = (4 * np.append(at + bt, len(a) + len(b))).tolist()
+        keys = [raw[i:j] for i, j in zip(cuts, cuts[1:])]
         kept = self.kept
         out = list(map(kept.get, keys))
-        if None in out:
-            for n, w in enumerate(out):
-                if w is None:
-                    w = kept.get(keys[n])
-                    if w is None:
-                        x, y = a[at[n]:at[n + 1]], b[bt[n]:bt[n + 1]]
-                        w = self._made(x, y)
-                        if len(x) + len(y) <= WINDOW:
-                            kept[keys[n]] = w
-                    out[n] = w
-        return out
-
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Pair numbers of all windows in a row, where each begins, and how many it has."""
-        if self.flat is None:
-            sizes = np.array([len(p) for p in self.pairs], np.int64)
-            self.flat = (np.concatenate(self.pairs), np.cumsum(sizes) - sizes, sizes)
-        return self.flat
+        new: dict[bytes, int] = {}
+        for k, w in enumerate(out):
+            if w is None:
+                new.setdefault(keys[k], k)
+        if new:
+            base = len(self.groups)
+            k = np.fromiter(new.values(), np.int64, len(new))
+            self._made(a[_ranges(at[k], n_a[k])], n_a[k], b[_ranges(bt[k], n_b[k])], n_b[k])
+            made = dict(zip(new, range(base, base + len(new))))
+            out = [made[key] if w is None else w for key, w in zip(keys, out)]
+            kept.update((key, w) for key, w in made.items() if len(key) <= 4 * WINDOW)
+        return np.array(out, np.int64), counts
+
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Pair numbers of all windows in a row, where each begins, how many it has, and its groups."""
+        return self.pairs.room, self.starts.room, self.sizes.room, self.n_groups.room
 
 
 _worker: tuple | None = None
@@ -273,17 +332,20 @@ def _blocks(docs: DataFrame, files: Files, id_column: str) -> DataFrame:
             for at in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(at, TEXTS)
                 ids = tokens.ids([t or "" for t in part.column(1).to_pylist()])
-                found = [windows.of(a, b) if len(a) else [] for a, b in ids]
-                sizes = np.array([len(w) for w in found])
-                flat = np.fromiter((w for f in found for w in f), np.int64, int(sizes.sum()))
-                n = len(found)
-                links, packed = np.zeros(n, np.int64), [b""] * n
+                flat, sizes = windows.of(ids)
+                n = len(ids)
+                links, n_groups, packed, text = np.zeros(n, np.int64), np.zeros(n, np.int64), [b""] * n, [""] * n
                 if len(flat):
-                    numbers, starts, lens = windows.tables()
-                    lens, starts = lens[flat], starts[flat]
-                    pos = np.repeat(starts - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
-                    doc = np.repeat(np.repeat(np.arange(n), sizes), lens)
+                    numbers, starts, lens, groups = windows.tables()
+                    of_doc = np.repeat(np.arange(n), sizes)
+                    n_groups = np.bincount(of_doc, groups[flat], n).astype(np.int64)
+                    lens = lens[flat]
+                    pos = _ranges(starts[flat], lens)
+                    doc = np.repeat(of_doc, lens)
                     links = np.bincount(doc, minlength=n)
+                    own_text = windows.groups
+                    ends = np.cumsum(sizes)
+                    text = ["".join([own_text[w] for w in flat[i:j].tolist()])[:-1] for i, j in zip(ends - sizes, ends)]
                     total = len(windows.number)
                     pairs, times = np.unique(doc * total + numbers[pos], return_counts=True)
                     doc, pairs = pairs // total, pairs % total
@@ -292,15 +354,14 @@ def _blocks(docs: DataFrame, files: Files, id_column: str) -> DataFrame:
                     counts += np.bincount(pairs, minlength=len(counts))  # each pair once a document
                     ends = np.searchsorted(doc, np.arange(n + 1))
                     packed = [_packed(pairs[i:j], times[i:j]) if j > i else b"" for i, j in zip(ends, ends[1:])]
-                text, groups = windows.groups, windows.n_groups
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(n, own, np.int64)), part.column(0),
                     pa.array([len(a) for a, _ in ids], pa.int64()), pa.array([len(b) for _, b in ids], pa.int64()),
-                    pa.array([sum([groups[w] for w in f]) for f in found], pa.int64()), pa.array(links, pa.int64()),
-                    pa.array([hashlib.sha256(";".join([text[w] for w in f]).encode()).hexdigest() if f else "" for f in found], pa.string()),
+                    pa.array(n_groups), pa.array(links, pa.int64()),
+                    pa.array([hashlib.sha256(t.encode()).hexdigest() if t else "" for t in text], pa.string()),
                     pa.array(packed, pa.binary()), *[pa.nulls(n, pa.list_(pa.int32()))] * 3, pa.nulls(n, pa.list_(pa.int64()))], names)
                 held += n
-                if held >= DOCS or len(windows.number) >= PAIRS or len(windows.groups) >= WINDOWS:
+                if held >= DOCS or len(windows.number) >= PAIRS or len(windows.groups) >= WINDOWS or windows.pairs.used >= LINKS:
                     yield table()
                     windows.clear()
                     counts, held, own = np.zeros(0, np.int64), 0, own + 1

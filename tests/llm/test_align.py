@@ -100,13 +100,16 @@ def test_anchors_only_where_both_ends_meet():
     tokens = align.Tokens(align.load(tokenizer(BYTES), tokenizer()))
     windows = align.Windows(tokens)
     (a, b), = tokens.ids(["some words, unbelievable ones"])
-    at, bt = windows.anchors(a, b)
+    zero = [0]
+    at, bt = windows.anchors(a, b, zero, zero)
     ends = lambda size, ids, i: int(size[ids[:i]].sum())
-    assert len(at) == 5  # one for each word, and the end
+    assert len(at) == 4  # one for each word
     for i, j in zip(at, bt):
         assert ends(tokens.a_size, a, i) == ends(tokens.b_size, b, j)
-    first = windows.of(a, b)
-    assert windows.of(a, b) == first and len(windows.groups) == len(set(first))  # kept by ids
+    first = windows.of([(a, b)])[0].tolist()
+    made = len(windows.groups)
+    again, sizes = windows.of([(a, b), (a[:0], b[:0]), (a, b)])
+    assert again.tolist() == 2 * first and sizes.tolist() == [4, 0, 4] and len(windows.groups) == made  # kept by ids
 
 
 def test_registered_query(spark, docs):
