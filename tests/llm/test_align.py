@@ -49,7 +49,17 @@ def plain(texts):
             docs.append(None)
             continue
         sa, sb = spans(ab), spans(bb)
-        links = [(x, y) for x, (p, q) in zip(a, sa) for y, (r, s) in zip(b, sb) if p < s and r < q]
+        links, low = [], 0
+        for x, (p, q) in zip(a, sa):
+            while sb[low][1] <= p:
+                low += 1
+            for y, (r, s) in zip(b[low:low + 400], sb[low:low + 400]):
+                if r >= q:
+                    break
+                if p < s:
+                    links.append((x, y))
+            else:
+                assert low + 400 >= len(sb)
         cuts = sorted({e for _, e in sa} & {e for _, e in sb})
         groups, start = [], 0
         for cut in cuts:
