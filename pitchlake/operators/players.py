@@ -7,7 +7,7 @@ team), so namesakes and players who moved stay apart.
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchlake.functions import labels
@@ -83,6 +83,38 @@ def leaders(
     return top_per_group(table, k, per, order, "posicao")
 
 
+OVERALL = "Geral"
+
+
+def leader_lists(
+    players: DataFrame, metrics: Sequence[str], k: int = 10, by: Sequence[str] = (),
+    key: Sequence[str] = ("player_id", "name"),
+) -> DataFrame:
+    """Top k of every metric, overall and by position, from one pass over the rows.
+
+    Grouping sets total a player at each position and over all of them in one Expand and one
+    shuffle, whose map side adds up first; ``grouping_id`` tells the lists apart, so a position
+    that is missing is no list of its own. ``lista`` is the position or 'Geral'; ties go by
+    name and id.
+    """
+    by, key = list(by), list(key)
+    named = players.filter(F.col("name").isNotNull() & F.col("position").isNotNull())
+    used = named.select(*by, *key, "position", *[
+        (labels.goal_involvement() if m == "participacao" else F.col(m)).alias(m) for m in metrics])
+    sums = used.groupingSets([[*by, *key, "position"], [*by, *key]], *by, *key, "position").agg(
+        F.grouping_id().alias("_set"), *[measure_of(m).alias(m) for m in metrics])
+    lists = sums.select(
+        *by, *key, F.when(F.col("_set") == 0, F.col("position")).otherwise(OVERALL).alias("lista"),
+        F.explode(F.create_map(*[x for m in metrics for x in (F.lit(m), F.col(m).cast("double"))])).alias("metrica", "valor"))
+    order = [F.col("valor").desc_nulls_last(), F.col("name"), F.col("player_id")]
+    return top_per_group(lists.filter(F.col("valor") > 0), k, [*by, "metrica", "lista"], order, "posicao")
+
+
+def measure_of(metric: str) -> Column:
+    """Sum of a column that holds the metric."""
+    return total(F.col(metric)) if metric == "participacao" else measure(metric)
+
+
 def with_teams(players: DataFrame, metric: str, extra: Sequence[str] = ()) -> DataFrame:
     """Total of a metric per player over all teams, with the team names as 'A, B'."""
     named = players.filter(F.col("name").isNotNull() & F.col("position").isNotNull())
@@ -166,6 +198,64 @@ def squad_age_and_value(
     )
 
 
+def score_timeline(goals: DataFrame, matches: DataFrame, whistle: int = 90) -> DataFrame:
+    """(id_jogo, casa, fora, inicio, fim, gols_casa, gols_fora): the score between its changes.
+
+    Goals of one minute change it together, so no interval is empty. The first begins at 0, the
+    last ends at the whistle or, after goals in added time, one minute after the last of them.
+    Played matches without goals have one interval. Goals of neither club, without a minute or
+    before 0 change nothing. Only a match's own changes meet in a window.
+    """
+    games = matches.select("id_jogo", "casa", "fora")
+    scored = goals.filter("minutos >= 0").select("id_jogo", "clube_gol", "minutos").join(
+        games, "id_jogo").filter(F.col("clube_gol").isin(F.col("casa"), F.col("fora")))
+    at_home = F.when(F.col("clube_gol") == F.col("casa"), 1).otherwise(0)
+    changes = scored.select("id_jogo", F.col("minutos").alias("inicio"), at_home.alias("c"), (1 - at_home).alias("f"))
+    starts = games.select("id_jogo", F.lit(0).alias("inicio"), F.lit(0).alias("c"), F.lit(0).alias("f"))
+    minutes = changes.unionByName(starts).groupBy("id_jogo", "inicio").agg(F.sum("c").alias("c"), F.sum("f").alias("f"))
+    w = Window.partitionBy("id_jogo").orderBy("inicio")
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.coalesce(F.lead("inicio").over(w), F.greatest(F.lit(whistle), F.col("inicio") + 1))
+    spans = minutes.select("id_jogo", "inicio", end.cast("int").alias("fim"), F.sum("c").over(so_far).alias("gols_casa"),
+                           F.sum("f").over(so_far).alias("gols_fora"))
+    return spans.join(games, "id_jogo").select(
+        "id_jogo", "casa", "fora", "inicio", "fim", F.col("gols_casa").cast("int").alias("gols_casa"),
+        F.col("gols_fora").cast("int").alias("gols_fora"))
+
+
+STATES = {"vencendo": 1, "empatando": 0, "perdendo": -1}
+
+
+def _state(own: Column, other: Column) -> Column:
+    return F.when(own > other, "vencendo").when(own < other, "perdendo").otherwise("empatando")
+
+
+def minutes_by_state(timeline: DataFrame) -> DataFrame:
+    """(clube, jogos, minutos, vencendo, empatando, perdendo): minutes led, level and behind."""
+    side = lambda club, own, other: F.struct(F.col(club).alias("clube"), _state(F.col(own), F.col(other)).alias("estado"))
+    sides = timeline.select("id_jogo", (F.col("fim") - F.col("inicio")).alias("m"), F.explode(F.array(
+        side("casa", "gols_casa", "gols_fora"), side("fora", "gols_fora", "gols_casa"))).alias("s"))
+    per_game = sides.groupBy(F.col("s.clube").alias("clube"), "id_jogo").agg(
+        F.sum("m").alias("m"), *[F.sum(F.when(F.col("s.estado") == s, F.col("m")).otherwise(0)).alias(s) for s in STATES])
+    return per_game.groupBy("clube").agg(
+        F.count(F.lit(1)).alias("jogos"), F.sum("m").alias("minutos"), *[F.sum(s).alias(s) for s in STATES])
+
+
+def at_score(events: DataFrame, timeline: DataFrame, minute: str = "minutos", club: str | None = None) -> DataFrame:
+    """Events with the score in whose interval their minute lies, and the state of their club.
+
+    A range join inside the equi join on the match id: only a match's few intervals are compared. A
+    goal lies at the start of the interval it makes; subtract a minute for the score before it.
+    """
+    spans = timeline.select("id_jogo", "inicio", "fim", "casa", "fora", "gols_casa", "gols_fora")
+    inside = (events["id_jogo"] == spans["id_jogo"]) & (events[minute] >= spans["inicio"]) & (events[minute] < spans["fim"])
+    found = events.join(spans, inside).drop(spans["id_jogo"])
+    if club is None:
+        return found
+    home, own, other = F.col(club) == F.col("casa"), F.col("gols_casa"), F.col("gols_fora")
+    return found.withColumn("estado", F.when(home, _state(own, other)).when(F.col(club) == F.col("fora"), _state(other, own)))
+
+
 def goals_by_interval(
     goals: DataFrame, minutes: int = 15, by: Sequence[str] = ("clube_gol",)
 ) -> DataFrame:

@@ -113,23 +113,47 @@ def write_changed(
 ) -> None:
     """Apply ``change(stored, incoming, key)`` to a partitioned Parquet table in place.
 
-    Only the partitions of the incoming rows are read and written again, through a copy in the
-    shared folder, so a failed run leaves the table as it was. A stored row never moves to
-    another partition: a key that comes with another one is an error.
+    Only the partitions of the incoming rows, and those their keys are stored in now, are read and
+    written again, through a copy in the shared folder, so a run that fails before the last
+    write leaves the table as it was. A row whose key comes with another partition moves
+    there; a partition that loses its last row is removed.
     """
     spark = incoming.sparkSession
     stored = spark.read.schema(incoming.schema).parquet(path)
-    moved = stored.select(*key, F.col(partition).alias("_old")).join(
-        incoming.select(*key, partition), list(key)).filter(~F.col("_old").eqNullSafe(F.col(partition)))
-    if not moved.isEmpty():
-        raise ValueError(f"incoming keys are stored under another {partition}")
-    touched = [r[0] for r in incoming.select(partition).distinct().collect()]
+    own = incoming.select(partition).union(
+        stored.join(incoming.select(*key), list(key), "left_semi").select(partition)).distinct()
+    touched = [r[0] for r in own.collect()]  # names of partitions
     inside = F.col(partition).isin([t for t in touched if t is not None])
     if None in touched:
         inside = F.col(partition).isNull() | F.coalesce(inside, F.lit(False))
     result = materialise(change(stored.filter(inside), incoming, key), "changed")
     result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         partition).parquet(path)
+    left = {r[0] for r in result.select(partition).distinct().collect()}
+    for value in set(touched) - left:
+        _drop_partition(spark, path, partition, value)
+
+
+def _drop_partition(spark, path: str, partition: str, value) -> None:
+    """Remove the folders of one value of a partitioned table."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    escaped = "__HIVE_DEFAULT_PARTITION__" if value is None else \
+        jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))
+    fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{partition}={escaped}"), True)
+
+
+def store_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str = "id_jogo") -> DataFrame:
+    """Write a table hashed and sorted by the match id, and read it back.
+
+    Tables with the same number of buckets join on the id without a shuffle or a sort: matches,
+    team and player statistics are stored once like this and joined by every report. Rows are
+    dealt by the id before the write, so there is one file for each bucket.
+    """
+    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option(
+        "path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
 
 
 def align(

@@ -284,8 +284,14 @@ def test_changes_are_written_by_season(spark, tmp_path):
     got = rows(spark.read.schema(schemas.MATCHES).parquet(path), "id_jogo")
     assert {k: r.gols_casa for k, r in got.items()} == {1: 9, 2: 1, 3: 0}
     assert {f.name for f in (tmp_path / "t" / "temporada=2024").iterdir()} == before
-    with pytest.raises(ValueError, match="another temporada"):
-        sinks.write_changed(new.filter("id_jogo = 1").withColumn("temporada", F.lit("2024")), path, "temporada")
+    moved = new.withColumns({"temporada": F.when(F.col("id_jogo") == 1, "2023/24"), "gols_casa": F.lit(5)})
+    sinks.write_changed(moved, path, "temporada")
+    got = rows(spark.read.schema(schemas.MATCHES).parquet(path), "id_jogo")
+    assert {k: (r.temporada, r.gols_casa) for k, r in got.items()} == {1: ("2023/24", 5), 2: ("2024", 1), 3: (None, 5)}
+    assert not (tmp_path / "t" / "temporada=2025").exists()  # its last rows moved away
+    sinks.write_changed(new.filter("id_jogo = 1"), path, "temporada")
+    assert sorted(f.name for f in (tmp_path / "t").iterdir() if f.is_dir()) == [
+        "temporada=2024", "temporada=2025", "temporada=__HIVE_DEFAULT_PARTITION__"]
 
 
 def test_reports_and_goal_export(spark, tmp_path):
