@@ -5,10 +5,12 @@ numbers after a plus. Around marks and digits a text is cut into regions of over
 candidates, which are runs of digit groups and address shapes in every boundary they may have.
 A region's segmentations into candidates and single characters form a semi-Markov CRF:
 features describe a whole span (its groups, digits, checks, marks and both neighbours), and
-a dynamic programme over the bounded candidates picks boundaries and kinds together. The
-weights are fitted in numpy by stochastic gradient ascent of the likelihood on regions of at most
-about ``MAX_ROWS`` texts, labelled by the grammar; regions the grammar says nothing about and
-that have eight digits or more are left out as undecided.
+a dynamic programme over the bounded candidates picks boundaries and kinds together; a candidate
+has at most 19 digits, and only boundaries of candidates are places of the programme, so its work
+grows with the candidates. The weights are fitted in numpy by stochastic gradient ascent of
+the likelihood on the regions of about ``MAX_ROWS`` texts, picked by hash and, beyond
+``MAX_REGIONS`` regions, those of the smallest hash; they are labelled by the grammar. Regions the
+grammar says nothing about and that have eight digits or more are left out as undecided.
 
 The result is every base span, and each span of the best segmentation that has a posterior of
 at least ``SURE`` and touches no base span.
@@ -20,7 +22,10 @@ with null ids, come out as they came in; extra columns are ignored by ``find`` a
 
 from __future__ import annotations
 
+import ast
+import bisect
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -30,11 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ["email", "ip", "card", "phone"]
-MAX_ROWS = 3000
+#: Texts that the field learns from, about, and regions of these at most; both are picked by hash.
+MAX_ROWS, MAX_REGIONS = 3000, 24_000
 EPOCHS, RATE, DECAY = 4, 0.1, 1e-4
 SURE = 0.95
-#: Most digit groups in a candidate, and most characters of one.
-GROUPS, LONGEST = 6, 64
+#: Most digits in a candidate.
+MOST = 19
 
 _SOME = re.compile(r"[0-9@]")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -44,7 +50,7 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _RUN = re.compile(r"[+(]{0,2}[0-9]++(?:[ ().\-]{1,2}[0-9]++)*+")
 _DIGITS = re.compile(r"[0-9]++")
-_LOOSE = re.compile(r"[\w.%+-]{1,40}+ ?@ ?[\w-]++(?:\.[\w-]++)*+")
+_HOST = re.compile(r" ?[\w-]++(?:\.[\w-]++)*+")
 
 
 def digits(text: str) -> str:
@@ -86,28 +92,50 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Loose address shapes: a mark with a name before and a host after it, a blank allowed at each side.
+
+    Names are walked back from the mark and never into the shape before, so a text is read once.
+    """
+    at, last = text.find("@"), 0
+    while at >= 0:
+        end = at - 1 if at - 1 > last and text[at - 1] == " " else at
+        start = end
+        while start > last and (text[start - 1] in ".%+-_" or text[start - 1].isalnum()):
+            start -= 1
+        host = _HOST.match(text, at + 1) if start < end else None
+        if host:
+            last = host.end()
+            yield start, last
+        else:
+            last = max(last, at + 1)
+        at = text.find("@", max(at + 1, last))
+
+
 def candidates(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of all candidates, with every boundary a run of digit groups can have."""
     out = set()
-    for m in _LOOSE.finditer(text):
-        if m.end() - m.start() <= 4 * LONGEST:
-            out.add((0, *m.span()))
-            dot = text.rfind(".", m.start(), m.end())
-            if dot > text.find("@", m.start(), m.end()):
-                out.add((0, m.start(), dot))
+    for start, end in _addresses(text):
+        out.add((0, start, end))
+        dot = text.rfind(".", start, end)
+        if dot > text.find("@", start, end):
+            out.add((0, start, dot))
     for m in _RUN.finditer(text):
         groups = [g.span() for g in _DIGITS.finditer(text, m.start(), m.end())]
         for i, (start, _) in enumerate(groups):
-            n, lead = 0, start
+            n, lead, dots, reach = 0, start, 0, start
             while lead > m.start() and text[lead - 1] in "+(" and start - lead < 2:
                 lead -= 1
-            for a, end in groups[i:i + GROUPS]:
+            for k in range(i, min(i + MOST, len(groups))):
+                a, end = groups[k]
                 n += end - a
-                if end - lead > LONGEST or n > 19:
+                if n > MOST:
                     break
+                dots += text.count(".", reach, a)
+                reach = a
                 if n >= 13:
                     out.add((2, start, end))
-                if n >= 4 and text.count(".", start, end) == 3:
+                if n >= 4 and dots == 3:
                     out.add((1, start, end))
                 if 7 <= n <= 15:
                     out.add((3, lead, end))
@@ -158,38 +186,55 @@ def features(text: str, c: tuple[int, int, int]) -> list[int]:
     return [kind * FEATURES + i for i in f]
 
 
-def lattice(text: str, start: int, end: int, group, weights: np.ndarray):
-    """Scores of candidates, log sums forward and backward, and the best segmentation."""
-    size = end - start
-    score = [float(weights[features(text, c)].sum()) for c in group]
-    ending: dict[int, list[int]] = {}
-    starting: dict[int, list[int]] = {}
-    for i, c in enumerate(group):
-        ending.setdefault(c[2] - start, []).append(i)
-        starting.setdefault(c[1] - start, []).append(i)
-    fore, best, back = [0.0] * (size + 1), [0.0] * (size + 1), [-1] * (size + 1)
-    for e in range(1, size + 1):
-        fore[e], best[e] = fore[e - 1], best[e - 1]
-        for i in ending.get(e, ()):
-            s = group[i][1] - start
-            fore[e] = np.logaddexp(fore[e], fore[s] + score[i])
-            if best[s] + score[i] > best[e]:
-                best[e], back[e] = best[s] + score[i], i
-    rear = [0.0] * (size + 1)
-    for s in range(size - 1, -1, -1):
-        rear[s] = rear[s + 1]
-        for i in starting.get(s, ()):
-            rear[s] = np.logaddexp(rear[s], rear[group[i][2] - start] + score[i])
-    sure = [float(np.exp(fore[c[1] - start] + score[i] + rear[c[2] - start] - fore[size])) for i, c in enumerate(group)]
-    chosen, e = [], size
+def _plus(a: float, b: float) -> float:
+    """log(exp(a) + exp(b))."""
+    return a + math.log1p(math.exp(b - a)) if a >= b else b + math.log1p(math.exp(a - b))
+
+
+def sums(places: list[tuple[int, int]], score: list[float]) -> tuple[list[float], list[float], list[tuple[int, int]], list[int]]:
+    """Log sums of all segmentations up to and from each boundary, the candidates' boundaries by
+    number, and the best segmentation.
+
+    Between boundaries lie single characters, which score zero, so only boundaries are places.
+    """
+    number = {p: k for k, p in enumerate(sorted({p for place in places for p in place}))}
+    at = [(number[s], number[e]) for s, e in places]
+    size = len(number)
+    ending: list[list[int]] = [[] for _ in range(size)]
+    starting: list[list[int]] = [[] for _ in range(size)]
+    for i, (s, e) in enumerate(at):
+        ending[e].append(i)
+        starting[s].append(i)
+    fore, best, back, rear = [0.0] * size, [0.0] * size, [-1] * size, [0.0] * size
+    for e in range(1, size):
+        f, top = fore[e - 1], best[e - 1]
+        for i in ending[e]:
+            s = at[i][0]
+            f = _plus(f, fore[s] + score[i])
+            if best[s] + score[i] > top:
+                top, back[e] = best[s] + score[i], i
+        fore[e], best[e] = f, top
+    for s in range(size - 2, -1, -1):
+        r = rear[s + 1]
+        for i in starting[s]:
+            r = _plus(r, rear[at[i][1]] + score[i])
+        rear[s] = r
+    chosen, e = [], size - 1
     while e > 0:
-        i = back[e]
-        if i >= 0:
-            chosen.append(i)
-            e = group[i][1] - start
+        if back[e] >= 0:
+            chosen.append(back[e])
+            e = at[back[e]][0]
         else:
             e -= 1
-    return sure, chosen
+    return fore, rear, at, chosen
+
+
+def lattice(text: str, start: int, end: int, group, weights: np.ndarray):
+    """Posterior of each candidate, and the best segmentation."""
+    score = [float(weights[features(text, c)].sum()) for c in group]
+    fore, rear, at, chosen = sums([(c[1] - start, c[2] - start) for c in group], score)
+    whole = fore[-1]
+    return [math.exp(fore[s] + x + rear[e] - whole) for (s, e), x in zip(at, score)], chosen
 
 
 def spans(text: str | None, weights: np.ndarray | None) -> tuple[list, list]:
@@ -218,13 +263,17 @@ def spans(text: str | None, weights: np.ndarray | None) -> tuple[list, list]:
 
 def examples(text: str) -> Iterator[tuple[list[list[int]], list[tuple[int, int]], list[int]]]:
     """(features of candidates, their places in the region, indices of the right ones)."""
-    base = base_spans(text)
+    base = sorted(base_spans(text), key=lambda b: (b[1], -b[2]))
+    starts = [b[1] for b in base]
+    longest = max((b[2] - b[1] for b in base), default=0)
     for start, end, group in regions(text):
-        own = [b for b in base if b[1] < end and b[2] > start]
+        near = base[bisect.bisect_left(starts, start - longest):bisect.bisect_left(starts, end)]
+        own = [b for b in near if b[2] > start]
+        index = {c: i for i, c in enumerate(group)}
         gold, last = [], -1
-        for b in sorted(own, key=lambda b: (b[1], -b[2])):
-            if b in group and b[1] >= last:
-                gold.append(group.index(b))
+        for b in own:
+            if b in index and b[1] >= last:
+                gold.append(index[b])
                 last = b[2]
         if len(gold) != len(own) or (not own and len(digits(text[start:end])) >= 8):
             continue
@@ -239,31 +288,25 @@ def fit(data: list, seed: int = 5) -> np.ndarray | None:
     w = np.zeros(WIDTH)
     w[::FEATURES] = -2.0
     for epoch in range(EPOCHS):
+        rate = RATE / (1 + epoch)
         for k in rng.permutation(len(data)):
             feats, places, gold = data[k]
-            score = [w[f].sum() for f in feats]
-            size = max(e for _, e in places)
-            fore, rear = np.zeros(size + 1), np.zeros(size + 1)
-            for e in range(1, size + 1):
-                fore[e] = fore[e - 1]
-                for i, (s, t) in enumerate(places):
-                    if t == e:
-                        fore[e] = np.logaddexp(fore[e], fore[s] + score[i])
-            for s in range(size - 1, -1, -1):
-                rear[s] = rear[s + 1]
-                for i, (a, t) in enumerate(places):
-                    if a == s:
-                        rear[s] = np.logaddexp(rear[s], rear[t] + score[i])
-            rate = RATE / (1 + epoch)
-            for i, (s, t) in enumerate(places):
-                step = (i in gold) - np.exp(fore[s] + score[i] + rear[t] - fore[size])
+            score = [float(w[f].sum()) for f in feats]
+            fore, rear, at, _ = sums(places, score)
+            right = set(gold)
+            for i, (s, e) in enumerate(at):
+                step = (i in right) - math.exp(fore[s] + score[i] + rear[e] - fore[-1])
                 if abs(step) > 1e-4:
                     w[feats[i]] += rate * (step - DECAY * w[feats[i]])
     return w
 
 
-def train(docs: DataFrame, max_rows: int = MAX_ROWS) -> np.ndarray | None:
-    """Weights from regions of at most about ``max_rows`` texts, picked by the hash of the text."""
+def train(docs: DataFrame, max_rows: int = MAX_ROWS, max_regions: int = MAX_REGIONS) -> np.ndarray | None:
+    """Weights from all regions of about ``max_rows`` texts, picked by the hash of the text.
+
+    Beyond ``max_regions`` regions those of the smallest hash (of text and place) are taken,
+    so neither the order nor the partitions of the rows play a part.
+    """
     some = docs.where(F.col("text").rlike("[0-9]{3}|@")).select("text")
     total = some.count()
     if not total:
@@ -272,14 +315,19 @@ def train(docs: DataFrame, max_rows: int = MAX_ROWS) -> np.ndarray | None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [repr(x) for t in batch.column(0).to_pylist() for x in list(examples(t))[:4]]
-            yield pa.RecordBatch.from_arrays([pa.array(got, pa.string())], ["x"])
-
-    picked = some.where(F.pmod(F.xxhash64("text"), F.lit(span)) < int(span * min(1.0, max_rows / total)))
-    rows = picked.mapInArrow(run, "x string").limit(2 * max_rows).collect()
-    import ast
-
-    return fit([ast.literal_eval(x) for x in sorted(r["x"] for r in rows)])
+            for text, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                got = [repr(x) for x in examples(text)]
+                for at in range(0, len(got), 4096):
+                    part = got[at:at + 4096]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([h] * len(part), pa.int64()), pa.array(range(at, at + len(part)), pa.int64()), pa.array(part, pa.string())],
+                        ["h", "i", "x"])
+
+    picked = some.select("text", F.xxhash64("text").alias("h")).where(
+        F.pmod("h", F.lit(span)) < int(span * min(1.0, max_rows / total)))
+    regions_ = picked.mapInArrow(run, "h long, i long, x string")
+    rows = regions_.orderBy(F.xxhash64("h", "i"), "x").limit(max_regions).collect()  # at most max_regions
+    return fit([ast.literal_eval(r["x"]) for r in rows])
 
 
 def _said(found: list[tuple[int, int, int]]) -> str:

@@ -1,9 +1,11 @@
 """Page texts, personal data and the pipeline."""
 
 import hashlib
+import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
 from pitchlake.llm import html_text, pii
@@ -176,3 +178,35 @@ def test_pipeline_against_its_parts(spark, tmp_path, docs):
         words = " ".join(re.findall(r"[^\W_]+", t.lower()))
         assert not any(" ".join(b) in words for b in bench)
         assert not [s for s in plain_base(t) if s[0] in (0, 2, 3)]
+
+
+def test_every_region_counts_and_long_tables_fit_fast(docs):
+    import time
+
+    numbers = " ".join(str(10 ** 6 + 37 * i) for i in range(13_000))  # some 100 KB
+    text = "host 10.1.2.3 " + numbers
+    start = time.time()
+    found = list(pii.examples(text))
+    assert pii.fit(found) is not None and time.time() - start < 20
+    # The right segmentation is found among all, however many groups a candidate has.
+    card = "4 5 3 2 0 1 5 1 1 2 8 3 0 3 6 6"
+    assert (2, 0, len(card)) in pii.candidates(card)
+    name = "a" * 60 + "@example.org"
+    assert (0, 0, len(name)) in pii.candidates(name)
+
+
+def test_weights_do_not_depend_on_partitions(docs):
+    rows = [(i, f"mail user{i}@example.com host 10.0.0.{i % 250} call +49 30 {1234560 + i} card 4532015112830366 and {i} {i + 1}") for i in range(60)]
+    one, many = (pii.train(docs(rows).repartition(n), max_regions=50) for n in (1, 9))
+    assert one is not None and np.array_equal(one, many)
+
+
+def test_sums_equal_all_segmentations():
+    places = [(0, 3), (2, 5), (3, 5), (6, 9), (0, 9)]
+    score = [0.5, 1.5, -0.3, 0.2, 1.0]
+    fore, rear, at, chosen = pii.sums(places, score)
+    sets = [c for k in range(len(places) + 1) for c in itertools.combinations(range(len(places)), k)
+            if all(places[i][1] <= places[j][0] or places[j][1] <= places[i][0] for i, j in itertools.combinations(c, 2))]
+    values = [sum(score[i] for i in c) for c in sets]
+    assert abs(fore[-1] - np.log(np.exp(values).sum())) < 1e-12 and abs(rear[0] - fore[-1]) < 1e-12
+    assert sorted(chosen) == sorted(sets[int(np.argmax(values))])
