@@ -13,7 +13,8 @@ these, and the vector with the smallest id stands for its group.
 
 Defined results: vectors that are null, zero or hold null or non-finite components, and those
 with a null label or id, link with nothing and are kept (a null id has a null component);
-vectors of different lengths never link; equal vectors link, repeated rows too.
+vectors of different lengths never link; equal vectors link, repeated rows too. Different vectors
+of one vec_id are apart, and link like any others.
 """
 
 from __future__ import annotations
@@ -200,15 +201,19 @@ def near_duplicates(table: DataFrame, least: float = LEAST) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
     every = rows(table)
     usable = F.col("vec").isNotNull() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
+    # Nodes are numbered on their stored rows: vectors that share a vec_id stay apart.
     nodes = stored(every.where(usable).groupBy("label", "vec").agg(
-        F.min("vec_id").cast("long").alias("node"), F.count("*").alias("copies")), "vectors")
-    found = stored(links(nodes, least), "links")
+        F.min("vec_id").cast("long").alias("least"), F.count("*").alias("copies")).withColumn(
+        "node", F.monotonically_increasing_id()), "vectors")
+    found = stored(links(nodes.drop("least"), least), "links")
     counts = found.where("n is not null").groupBy("node").agg(F.sum("n").alias("n"))
     groups = stars(found.where("root is not null").select(F.col("node").alias("a"), F.col("root").alias("b")))
-    result = stored(
+    rooted = stored(
         nodes.join(counts, "node", "left").join(groups, nodes.node == groups.u, "left").select(
             "label", "vec", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("v", "node").alias("component_id")), "result")
+            "least", F.coalesce("v", "node").alias("root")), "rooted")
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    result = stored(rooted.join(named, "root").select("label", "vec", "n_links", "component_id"), "result")
     own = every.where(usable).join(result, ["label", "vec"])
     alone = every.where(~usable).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").cast("long").alias("component_id"))
