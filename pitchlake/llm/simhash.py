@@ -13,8 +13,9 @@ a task of their own, so a task never gets more than two chunks. Tasks return at
 for each node, to the smallest of its component there; components.stars joins these.
 
 Defined results: a null or empty text has fingerprint zero and is linked like any other; a null
-id is linked with nothing and has a null component; rows that repeat an id share a component
-if their fingerprints are linked. Extra columns are ignored.
+id is linked with nothing and has a null component; rows that repeat an id are in one group only
+if their fingerprints are linked, though groups may then be called by the same id. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchlake.llm import arrays
 from pitchlake.llm.common import stored
@@ -221,16 +223,27 @@ def _bits(block: int):
     return F.shiftrightunsigned(F.col("fp"), at).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
 
 
+def _groups(docs: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all rows, and (fp, first): for each fingerprint the first row of its group.
+
+    Nodes are fingerprints, so rows that repeat an id share a group only if their texts do. A
+    row is named by its id and the hash of its text.
+    """
+    named = docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("doc_id"), "text")
+    prints = stored(fingerprints(named).select("doc_id.doc_id", "doc_id.h", "fp"), "fingerprints")
+    nodes = stored(prints.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(
+        F.min(F.struct("doc_id", "fp", "h")).alias("own")), "nodes")
+    found = stars(links(nodes.select(F.col("fp").alias("node"), "fp"), radius))
+    rooted = stored(nodes.join(found, nodes.fp == found.u, "left").select("fp", "own", F.coalesce("v", "fp").alias("root")), "rooted")
+    first = rooted.groupBy("root").agg(F.min("own").alias("first"))
+    return prints, stored(rooted.join(first, "root").select("fp", "first"), "groups")
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id) of every row."""
-    prints = stored(fingerprints(docs), "fingerprints")
-    nodes = stored(prints.where(F.col("doc_id").isNotNull()).groupBy("fp")
-                   .agg(F.min("doc_id").cast("long").alias("node")), "nodes")
-    found = stars(links(nodes, radius))
-    groups = stored(nodes.join(found, nodes.node == found.u, "left")
-                    .select("fp", F.coalesce("v", "node").alias("component_id")), "groups")
+    prints, groups = _groups(docs, radius)
     return prints.join(groups, "fp", "left").select(
-        "doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+        "doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("first.doc_id").cast("long")).alias("component_id"))
 
 
 def hexadecimal(fp: str):
@@ -241,9 +254,17 @@ def hexadecimal(fp: str):
 def representatives(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One document of each group: that with the smallest id; rows with a null id all stay.
 
-    Of rows that repeat the smallest id one stays.
+    Of rows that repeat this id within the group one stays: by fingerprint, hash of the text, and then the
+    content of its other columns, so the same row under any partitioning.
     """
-    found = near_duplicates(docs, radius)
-    keep = stored(found.where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    alone = docs.where(F.col("doc_id").isNull())
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).union(alone)
+    _, groups = _groups(docs, radius)
+    keep = groups.select("first.doc_id", F.col("first.h").alias(_HASH)).distinct()
+    plain = [f.name for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    place = Window.partitionBy("doc_id", _HASH).orderBy(F.xxhash64(*plain), *plain)
+    chosen = docs.withColumn(_HASH, F.xxhash64("text")).join(keep, ["doc_id", _HASH], "left_semi")
+    first = chosen.withColumn(_PLACE, F.row_number().over(place)).where(F.col(_PLACE) == 1)
+    return first.select(docs.columns).union(docs.where(F.col("doc_id").isNull()))
+
+
+#: Names of columns that documents will not have.
+_HASH, _PLACE = "__text_hash", "__place"

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from pitchlake.llm import decontaminate, embed_dedup, simhash, suffix_dedup
 from pitchlake.llm.components import stars
@@ -191,3 +192,25 @@ def test_reordered_and_edited_passages_are_caught(spark, docs, monkeypatch):
         assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 4, 13, 14, 15] and kept.columns == df.columns
     assert decontaminate.contaminated(docs(rows), bench.limit(0)).count() == 0
     assert decontaminate.clean(docs([]), bench).count() == 0
+
+
+def test_repeated_ids_with_different_texts_stay_apart(spark, docs):
+    words = [f"w{i}" for i in range(400)]
+    a, b, c = " ".join(words[:100]), " ".join(words[100:220]), " ".join(words[220:])
+    rows = [(1, a), (1, b), (2, c), (2, c), (3, a), (None, a)]
+    groups = {(r.doc_id, r.fp): r.component_id for r in simhash.near_duplicates(docs(rows)).collect()}
+    assert len(groups) == 5 and groups[None, next(f for i, f in groups if i is None)] is None
+    kept = [sorted((r.doc_id, r.text, r.n_chars) for r in simhash.representatives(docs(rows, extra=True).repartition(n)).collect() if r.doc_id)
+            for n in (1, 5)]
+    assert kept[0] == kept[1] == [(1, a, len(a)), (1, b, len(b)), (2, c, len(c))]
+    other = docs([(7, a, "xx"), (7, a, "aa"), (7, a, "mm")])  # one text, other columns differ: the same row stays
+    assert len({simhash.representatives(other.repartition(n)).first().lang for n in (1, 2, 3)}) == 1
+
+
+def test_repeated_vector_ids_stay_apart(spark, docs):
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 0.01], 0), (3, [0.01, 1.0], 0), (4, [-1.0, 0.0], 0), (4, [-1.0, 0.01], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    df = df.select("*", *[F.lit(1).alias(x) for x in ("node", "vec", "n", "u", "v", "least", "root", "home", "copies")])
+    got = sorted(tuple(r)[:3] for r in embed_dedup.near_duplicates(df).collect())
+    assert got == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 1, 4), (4, 1, 4)]
+    assert embed_dedup.near_duplicates(df.limit(0)).count() == 0
