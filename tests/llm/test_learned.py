@@ -197,3 +197,93 @@ def test_scores_of_no_rows_and_of_no_training_text(docs, monkeypatch):
     assert lm_score.score(docs([]), held, tokenizer()).count() == 0
     (r,) = lm_score.score(docs([(5, "a b")]), held, tokenizer()).collect()
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (True, 3, 0, 0) and r.score < 0
+
+
+def test_hidden_states_of_scoring_equal_those_of_training():
+    rng = np.random.default_rng(8)
+    classes, _, slot = lm_score.class_table(rng.integers(0, 50, 300).astype(float))
+    w = lm_score.start(classes)
+    ids = rng.integers(0, 200, (5, 17))
+    assert np.abs(lm_score.hidden(w, ids) - lm_score.forward(w, ids)[0]).max() < 1e-5
+
+
+def test_score_recomputed_word_by_word(docs, monkeypatch):
+    """Every token's probability, mixed with its share, one window and one id at a time."""
+    kept = {}
+
+    def untrained(w, windows, classes, slot):
+        rng = np.random.default_rng(1)
+        kept["w"] = {k: (x + rng.normal(0, 0.2, x.shape)).astype(np.float32) for k, x in w.items()}
+        return kept["w"]
+
+    monkeypatch.setattr(lm_score, "fit", untrained)
+    rng = random.Random(9)
+    rows = [(i, prose(rng, "aa", rng.randint(0, 70))) for i in range(25)] + [(90, "x▁y z " * 9), (91, None), (92, "same same"), (93, "same same")]
+    held = F.col("doc_id") % 5 == 1
+    got = {r.doc_id: r.score for r in lm_score.score(docs(rows).repartition(3), held, tokenizer()).collect()}
+    coder = pieces.Coder(pieces.load(tokenizer()))
+    v = coder.v
+    lower = {i: [w.decode() for w in (t or "").encode().lower().split()] for i, t in rows}
+    ids_of = {w: np.frombuffer(coder.encode(w, keep=False), "<u4").tolist() for x in lower.values() for w in x}
+    train = [i for i, _ in rows if i % 5 != 1]
+    count, sub = {}, np.zeros(len(v.pieces))
+    for i in train:
+        for w in lower[i]:
+            count[w] = count.get(w, 0) + 1
+            np.add.at(sub, ids_of[w], 1)
+    sub[v.eos] += len(train)
+    total = sum(count.values()) + len(train)
+    classes, share, slot = lm_score.class_table(sub)
+    w_ = kept["w"]
+    back = lm_score.WINDOW - lm_score.STRIDE
+    for i, words in lower.items():
+        stream = [x for w in words for x in ids_of[w]] + [v.eos]
+        p = []
+        for k, target in enumerate(stream):
+            start = 0 if k < lm_score.WINDOW else (k - back) // lm_score.STRIDE * lm_score.STRIDE
+            assert k < lm_score.WINDOW or k - start >= lm_score.WINDOW / 2  # half a window of context
+            before = np.array([v.bos, *stream])[start:k + 1]
+            h = lm_score.forward(w_, slot[before][None])[0][0, -1]
+            group, member = divmod(int(classes[target]), lm_score.MEMBERS)
+            p.append(lm_score.log_softmax(h @ w_["out"] + w_["bias"])[group]
+                     + lm_score.log_softmax(h @ w_["deep"][group] + w_["deep_bias"][group])[member] + share[target])
+        at, whole = 0, 0.0
+        for size, n in [(len(ids_of[w]), count.get(w, 0)) for w in words] + [(1, len(train))]:
+            own = np.exp(np.float64(sum(p[at:at + size])))
+            whole += np.log10((1 - lm_score.MIXED) * own + lm_score.MIXED * n / total)
+            at += size
+        assert abs(got[i] - whole) < 1e-3 * max(1, len(stream) / 10), i
+
+
+def test_attention_gains_on_held_out_texts_over_the_model_without(monkeypatch):
+    """An id that follows from the one three before: no model of the last id alone can know it."""
+    rng = np.random.default_rng(4)
+    n = 60
+    classes = np.arange(n)
+    seqs = np.empty((500, lm_score.WINDOW + 1), np.int64)
+    seqs[:, :3] = rng.integers(0, 12, (500, 3))
+    for k in range(3, lm_score.WINDOW + 1):
+        seqs[:, k] = (seqs[:, k - 3] + 5) % 12
+    loss = {}
+    for name, mask in (("with", lm_score._MASK), ("without", np.where(np.eye(lm_score.WINDOW) > 0, 0, -1e9).astype(np.float32))):
+        monkeypatch.setattr(lm_score, "_MASK", mask)
+        w = lm_score.start(classes, n)
+        lm_score.adam(w, seqs[:400], classes, np.arange(n), 30, 0.02, 3)
+        loss[name] = lm_score.gradient(w, seqs[400:, :-1], seqs[400:, 1:])[0]
+    assert loss["with"] < loss["without"] - 0.5
+
+
+def test_every_training_text_is_learnt_from_and_the_share_grows(docs, spark):
+    rng = random.Random(3)
+    rows = [(i, prose(rng, "aa", rng.choice([0, 1, 30, 900]))) for i in range(80)]
+    vocabulary = pieces.load(tokenizer())
+    shared = spark.sparkContext.broadcast((vocabulary, open(tokenizer(), "rb").read()))
+    counts = []
+    for part in (rows[:40], rows):
+        counts.append(lm_score.training_windows(docs(part), shared).count())
+        assert counts[-1] >= len(part)
+    assert counts[1] > 1.5 * counts[0]
+    windows = lm_score.training_windows(docs(rows), shared)
+    classes, _, slot = lm_score.class_table(np.ones(len(vocabulary.pieces)))
+    lm = lm_score.fit(lm_score.start(classes), windows, classes, slot)
+    assert all(np.isfinite(x).all() for x in lm.values())
