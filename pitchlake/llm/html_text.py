@@ -4,10 +4,13 @@ A page is cut into blocks of text in one pass over its tags. The token streams o
 all pages of a host, menus and articles alike, are laid end to end; a suffix array ordered through
 ``DEPTH`` tokens shows the substrings that come back, and those on at least ``PAGES`` pages of
 different content are boilerplate. Blocks of which they cover ``COVER`` go. The markup is the exact
-check that follows: what lies in the article, or in the main element where there is no article,
-comes back whole, and what lies outside goes; elements that mark themselves as menus, headers,
-footers, sidebars, notices, adverts, forms or comments go even where nothing repeats them. On a page
-that marks neither, the host's repetition decides on all that is left.
+check that follows: what lies in the article comes back whole, or what lies in the main element
+where that holds more text outside its articles than in them, and the rest goes; elements that
+mark themselves as menus, headers, footers, sidebars, notices, adverts, forms or comments, by
+their tag or by a whole class name of known boilerplate, go even where nothing repeats them. The
+host's repetition decides where the markup is in doubt: on elements whose class may as well name a
+part of the article (``DOUBTFUL``), and on all that is left of a page that marks neither. A
+button within a sentence is a word of it; one that stands alone is a form's.
 
 A host's pages are dealt into shards of about ``SHARD`` pages. Each shard's array is built in a
 task and counts, for every group of suffixes equal through that depth, the pages it is on. Where a
@@ -35,6 +38,8 @@ from pitchlake.llm import arrays
 from pitchlake.llm.common import stored
 
 DEPTH, PAGES, COVER, SHARD = 8, 3, 0.8, 2000
+#: Added to the zone of a block in doubt.
+UNSURE = 10
 
 #: Elements by their part in a page.
 RAW = set("script style noscript template textarea title iframe xmp noembed noframes plaintext".split())
@@ -42,70 +47,108 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 BLOCK = set("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre
     search section select summary table tbody tfoot thead tr ul""".split())
-CHROME = set("nav header footer aside form dialog menu search select button svg object canvas audio video head".split())
-#: Words in class, id or role that name what is no article.
+CHROME = set("nav header footer aside form dialog menu search select svg object canvas audio video head".split())
+#: Of these, those that lie within a line.
+INLINE = set("select svg object canvas audio video".split())
+#: Class names, ids and roles of what is no article.
 NAMES = set("""ad ads advert adverts advertisement adsense sponsor sponsored promo promoted banner nav navbar navigation menu
     breadcrumb breadcrumbs sidebar aside footer masthead cookie cookies consent gdpr notice notices popup modal overlay
     newsletter subscribe subscription signup login share sharing social comment comments disqus replies reply respond
-    related recommended pagination pager search widget widgets complementary contentinfo dialog alert form toolbar""".split())
+    pagination pager complementary contentinfo dialog toolbar""".split())
+#: Names that may be of either kind; the host's repetition decides.
+DOUBTFUL = set("related recommended search widget widgets alert form".split())
+#: What such a name may be joined with and still name boilerplate.
+JOINED = set("""site page main top bottom left right header head foot list lists bar box block area section container wrapper
+    wrap inner outer panel link links item items button buttons icon icons form unit slot zone module thread count toggle
+    primary secondary global mobile desktop policy message text title""".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|</([a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)"
     r"""|<([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)(?:>|\Z)""", re.S)
 _NAMED = re.compile(r"""(?i)(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-_WORD = re.compile(r"[a-z0-9]+")
+_PART = re.compile(r"[-_]+")
 
 
-def _is_chrome(tag: str, attributes: str, inside: bool) -> bool:
+def _kind(name: str) -> int:
+    """What a whole class name, id or role says: 0 nothing, 1 boilerplate, 2 in doubt."""
+    if name in NAMES:
+        return 1
+    if name in DOUBTFUL:
+        return 2
+    parts = _PART.split(name)
+    if len(parts) > 1 and all(p in NAMES or p in DOUBTFUL or p in JOINED or p.isdigit() for p in parts):
+        return 1 if any(p in NAMES for p in parts) else 2 if any(p in DOUBTFUL for p in parts) else 0
+    return 0
+
+
+def _is_chrome(tag: str, attributes: str, inside: bool) -> int:
+    """0 for an element of the page's text, 1 for boilerplate by its markup, 2 for one in doubt."""
     if tag in CHROME and not (inside and tag == "header"):
-        return True
-    if not attributes:
-        return False
-    for name, value in _NAMED.findall(attributes):
+        return 1
+    doubt = 0
+    for name, value in _NAMED.findall(attributes) if attributes else ():
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return 1
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
-        elif name != "aria-hidden" and tag not in ("html", "body", "main", "article") and NAMES & set(_WORD.findall(value)):
-            return True
-        elif tag == "article" and name in ("class", "role") and {"comment", "comments"} & set(_WORD.findall(value)):
-            return True
-    return False
+                return 1
+        elif name == "aria-hidden":
+            continue
+        elif tag == "article":
+            if name in ("class", "role") and {"comment", "comments"} & set(_PART.split(value.replace(" ", "-"))):
+                return 1
+        elif tag not in ("html", "body", "main"):
+            kinds = {_kind(v) for v in value.split()}
+            if 1 in kinds:
+                return 1
+            doubt = max(doubt, *kinds, 0) if kinds else doubt
+    return doubt
 
 
 def blocks(page: str) -> list[tuple[int, str]]:
-    """(zone, text) of the blocks: -1 marked as chrome, 0 outside, 1 in a main element, 2 in an article."""
+    """(zone, text) of the blocks: -1 marked as chrome, 0 outside, 1 in a main element, 2 in an article;
+    ``UNSURE`` more within an element in doubt."""
     out: list[tuple[int, str]] = []
     text: list[str] = []
-    stack: list[tuple[str, bool, int]] = []  # open elements: tag, chrome by itself, zone
-    chrome, zone, at = 0, 0, 0
+    lone: list[str] = []  # what of the block lies in buttons
+    stack: list[tuple[str, int, int]] = []  # open elements: tag, what it is by itself, zone
+    chrome, zone, at, doubt, buttons = 0, 0, 0, 0, 0
 
     def close() -> None:
         whole = " ".join(html.unescape("".join(text)).split())
+        form = " ".join(html.unescape("".join(lone)).split())
         text.clear()
-        if whole:
-            out.append((-1 if chrome else zone, whole))
+        lone.clear()
+        if whole and whole != form:
+            out.append((-1 if chrome else zone + UNSURE * (doubt > 0), whole))
 
-    n = len(page)
+    n, inline, held = len(page), 0, 0  # where an element within the line began, and whether one is open
     while at < n:
         m = _TAG.search(page, at)
-        text.append(page[at:m.start() if m else n])
+        piece = page[at:m.start() if m else n]
+        text.append(piece)
+        if buttons:
+            lone.append(piece)
         if not m:
             break
         at = m.end()
         end, tag = m.group(1), m.group(2)
         if end:
             end = end.lower()
-            if end in BLOCK:
+            if end in BLOCK and not held:
                 close()
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == end:
-                    if zone or chrome or any(x[1] or x[2] for x in stack[k:]):
+                    buttons -= sum(x[0] == "button" for x in stack[k:])
+                    if held and any(x[1] and x[0] in INLINE for x in stack[k:]):
+                        text[inline:] = [" "]  # what the element within the line held
+                        chrome, held = chrome - 1, 0
+                    if any(x[1] and x[0] not in INLINE for x in stack[k:]) or zone != stack[k][2] or end in BLOCK:
                         close()
-                        chrome -= sum(x[1] for x in stack[k:])
-                        zone = stack[k][2]
+                    chrome -= sum(x[1] == 1 and x[0] not in INLINE for x in stack[k:])
+                    doubt -= sum(x[1] == 2 for x in stack[k:])
+                    zone = stack[k][2]
                     del stack[k:]
                     break
                 if stack[k][0] in ("article", "main") and end not in ("body", "html", "article", "main"):
@@ -123,7 +166,7 @@ def blocks(page: str) -> list[tuple[int, str]]:
             continue
         if tag == "br" or tag in ("td", "th", "img"):
             text.append(" ")
-        elif tag in BLOCK:
+        elif tag in BLOCK and not held:
             close()
         if tag in VOID or m.group(3).endswith("/") and tag in ("path", "use", "circle", "rect"):
             continue
@@ -131,35 +174,49 @@ def blocks(page: str) -> list[tuple[int, str]]:
                 not x[1] or x[0] in ("head", "nav", "header", "footer", "aside", "menu") for x in stack):
             if not any(x[0] == "article" for x in stack):  # the element before was never closed
                 close()
-                chrome, zone = 0, 0
+                chrome, zone, doubt, buttons, held = 0, 0, 0, 0, 0
                 stack.clear()
         mine = _is_chrome(tag, m.group(3), zone == 2)
         if mine and not chrome:
-            close()
+            if tag in INLINE:
+                inline, held = len(text), 1
+            else:
+                close()
+        elif mine and (held or tag in INLINE):
+            mine = 0  # inside what goes anyway
         stack.append((tag, mine, zone))
-        chrome += mine
+        chrome += mine == 1
+        doubt += mine == 2
+        buttons += tag == "button"
         if not chrome and tag in ("article", "main"):
             close()
             zone = 2 if tag == "article" else max(zone, 1)
+    if held:
+        del text[inline:]
+        chrome -= 1
     close()
     return out
 
 
 def chosen(found: list[tuple[int, str]], covered: list[bool]) -> str:
     """Main text from a page's blocks and whether repeated substrings cover each."""
-    for zone in (2, 1):
-        own = [t for z, t in found if z == zone]
-        if own:
-            return "\n".join(own)
-    return "\n".join(t for (z, t), c in zip(found, covered) if z == 0 and not c)
+    size = [sum(len(t) for z, t in found if z == zone) for zone in (0, 1, 2)]
+    least = 2 if size[2] and size[2] >= size[1] else 1 if size[1] or size[2] else 0
+    own = [(z, t, c) for (z, t), c in zip(found, covered) if z >= 0 and z % UNSURE >= least]
+    return "\n".join(t for z, t, c in own if not c or (least and z < UNSURE))
+
+
+def decided(found: list[tuple[int, str]], covered: list[bool]) -> bool:
+    """Whether the host's repetition changes the page's text."""
+    return chosen(found, covered) != chosen(found, [False] * len(found))
 
 
 def read(page: str | None) -> tuple[str | None, list[str]]:
     """Main text where the markup alone decides, else None and the open blocks."""
     found = blocks(page) if page else []
-    if any(z > 0 for z, _ in found):
-        return chosen(found, []), []
-    rest = [t for z, t in found if z == 0]
+    if any(0 < z < UNSURE for z, _ in found) and all(z < UNSURE for z, _ in found):
+        return chosen(found, [False] * len(found)), []
+    rest = [t for z, t in found if z >= 0]
     return (None, rest) if rest else ("", [])
 
 

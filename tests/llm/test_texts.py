@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pitchlake.llm import html_text, pii
 
@@ -210,3 +211,62 @@ def test_sums_equal_all_segmentations():
     values = [sum(score[i] for i in c) for c in sets]
     assert abs(fore[-1] - np.log(np.exp(values).sum())) < 1e-12 and abs(rear[0] - fore[-1]) < 1e-12
     assert sorted(chosen) == sorted(sets[int(np.argmax(values))])
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<main><h1>T</h1><p>body text here</p><article class=card>teaser</article></main>", "T\nbody text here\nteaser"),
+    ("<article><div class='post ad-free'><p>kept</p></div></article>", "kept"),
+    ("<article><section class='related-work'><h2>Related work</h2><p>text</p></section></article>", "Related work\ntext"),
+    ("<article><p>press <button>Start</button> to begin</p><button>Subscribe</button></article>", "press Start to begin"),
+    ("<article><p>a<svg><text>no</text></svg> b</p><div class='site-footer'>no</div><div class='cookie-notice'>no</div></article>", "a b"),
+    ("<article><p>one <select><option>x</option></select> two</p><div class='comment-list'>no</div></article>", "one two"),
+    ("<main><p>small</p><article>the article holds the bulk of it</article></main>", "the article holds the bulk of it"),
+])
+def test_markup_drops_nothing_else(page, want):
+    assert html_text.read(page)[0] == want
+
+
+def test_the_host_decides_where_the_markup_is_in_doubt(spark, docs):
+    docs([])
+    rng = random.Random(6)
+    body = lambda: " ".join(f"u{rng.randint(0, 10**6)}" for _ in range(30))
+    same = "Read more of our stories in the archive of this fine paper today"
+    rows, want = [], {}
+    for i in range(6):
+        own, alert = body(), body()
+        rows.append((i, f"http://a.example/{i}", f"<article><p>{own}</p><p class='alert'>{alert}</p><div class=related>{same}</div></article>"))
+        want[i] = f"{own}\n{alert}"
+    rows.append((9, "http://b.example/", f"<article><p>x</p><div class=related>{same}</div></article>"))  # once on its host
+    want[9] = f"x\n{same}"
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    df = df.select("*", *[F.lit(1).alias(n) for n in (
+        "host", "parts", "keys", "shard", "digest", "zones", "shards", "text")])
+    got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
+    assert got == want
+    found = html_text.blocks(rows[0][2])
+    assert html_text.decided(found, [False, False, True]) and not html_text.decided(found, [True, False, False])
+    assert html_text.main_text(df.limit(0)).count() == 0
+
+
+def test_cover_equals_brute_force():
+    """Groups of the array, their pages and the covered blocks, against all windows one by one."""
+    rng = random.Random(2)
+    for _ in range(4):
+        pages = [[" ".join(rng.choice("ab") for _ in range(rng.randint(0, 14))) for _ in range(rng.randint(0, 3))] for _ in range(7)]
+        rows = [{"parts": p, "zones": [0] * len(p), "digest": i, "shards": 1} for i, p in enumerate(pages)]
+        shard = html_text.Shard(rows)
+        keys, count = shard.groups()
+        got = shard.texts(keys[count >= html_text.PAGES])
+        tokens = [" ".join(p).split() for p in pages]
+        d = html_text.DEPTH
+        windows = [{tuple(t[k:k + d]) for k in range(len(t) - d + 1)} for t in tokens]
+        often = {w for s in windows for w in s if sum(w in o for o in windows) >= html_text.PAGES}
+        for i, (parts, t) in enumerate(zip(pages, tokens)):
+            hit = {j for k in range(len(t) - d + 1) if tuple(t[k:k + d]) in often for j in range(k, k + d)}
+            at, kept = 0, []
+            for part in parts:
+                n = len(part.split())
+                if sum(j in hit for j in range(at, at + n)) < html_text.COVER * n:
+                    kept.append(part)
+                at += n
+            assert got[i] == "\n".join(kept)
