@@ -144,7 +144,7 @@ def blocks(page: str) -> list[tuple[int, str]]:
                     if held and any(x[1] and x[0] in INLINE for x in stack[k:]):
                         text[inline:] = [" "]  # what the element within the line held
                         chrome, held = chrome - 1, 0
-                    if any(x[1] and x[0] not in INLINE for x in stack[k:]) or zone != stack[k][2] or end in BLOCK:
+                    if any(x[1] and x[0] not in INLINE for x in stack[k:]) or (end in BLOCK or zone != stack[k][2]) and not held:
                         close()
                     chrome -= sum(x[1] == 1 and x[0] not in INLINE for x in stack[k:])
                     doubt -= sum(x[1] == 2 for x in stack[k:])
