@@ -46,7 +46,7 @@ RAW = set("script style noscript template textarea title iframe xmp noembed nofr
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = set("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre
-    search section select summary table tbody tfoot thead tr ul""".split())
+    search section summary table tbody tfoot thead tr ul""".split())
 CHROME = set("nav header footer aside form dialog menu search select svg object canvas audio video head".split())
 #: Of these, those that lie within a line.
 INLINE = set("select svg object canvas audio video".split())
