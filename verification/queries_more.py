@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pitchlake.operators import naming, sinks
 from pitchlake.operators import players as pl
 from pitchlake.session import shared_dir
-from pitchlake.sources import tables
+from pitchlake.sources import mixed, tables
 from verification import views
 from verification.oracle_views import GOALS, MATCHES, PLAYERS, STATS
 from verification.queries_players import rows
@@ -173,3 +173,40 @@ def k10(spark, sf):
         "temporada": F.when(season == "1996", "96").otherwise("1995/1996"), "gols_casa": F.lit(7)})
     sinks.write_changed(new, path, "temporada")
     return spark.read.schema("id_jogo BIGINT, gols_casa INT, temporada STRING").parquet(path)
+
+
+# --- files of different layouts in one folder ----------------------------------------------
+@query("s20_history_of_three_layouts", with_(MATCHES, """
+SELECT id_jogo % 3 AS layout, CASE WHEN id_jogo % 20 = 0 THEN 'data' WHEN id_jogo % 21 = 0 THEN 'campos' END AS motivo,
+  CASE WHEN ok THEN CAST(data AS VARCHAR) END AS data, CASE WHEN ok THEN campeonato END AS campeonato,
+  CASE WHEN ok THEN temporada END AS temporada, CASE WHEN ok THEN casa END AS casa,
+  CASE WHEN ok THEN coalesce(gols_casa, 0) END AS gols_casa, CASE WHEN ok THEN coalesce(gols_fora, 0) END AS gols_fora,
+  CASE WHEN ok THEN fora || CASE WHEN id_jogo % 3 = 0 THEN ', FC' ELSE '' END END AS fora
+FROM (SELECT *, id_jogo % 20 <> 0 AND id_jogo % 21 <> 0 AS ok FROM matches)"""))
+def s20(spark, sf):
+    """One read of a folder with commas and quotes, semicolons and other words in another order, and no header."""
+    m = views.matches(spark, sf)
+    k = F.col("id_jogo")
+    goals = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("gols_casa", "gols_fora")}
+    path = shared_dir(spark, "layouts")
+
+    def part(i, date, order, names, sep, header):
+        day = F.when(k % 20 == 0, "someday").otherwise(date)
+        away = F.concat("fora", F.lit(", FC")) if i == 0 else F.col("fora")
+        own = {"data": day, "campeonato": F.col("campeonato"), "temporada": F.col("temporada"), "casa": F.col("casa"),
+               "fora": F.when((k % 21 == 0) & (k % 20 != 0), F.concat(away, F.lit(f"{sep}x{sep}y"))).otherwise(
+                   F.concat(F.lit('"'), away, F.lit('"')) if i == 0 else away), **goals}
+        rows_ = m.filter(k % 3 == i).select(F.concat_ws(sep, *[own[c] for c in order]).alias("value"))
+        line = spark.createDataFrame([(sep.join(names),)], "value STRING") if header else None
+        # The header goes before the rows of its only file.
+        both = rows_ if line is None else line.withColumn("o", F.lit(0)).unionByName(rows_.withColumn("o", F.lit(1))).coalesce(1).sortWithinPartitions("o").drop("o")
+        both.write.text(f"{path}/{i}")
+
+    plain = ["data", "campeonato", "temporada", "casa", "gols_casa", "gols_fora", "fora"]
+    part(0, F.date_format("data", "yyyy-MM-dd"), plain, ["Data", "Torneio", "Temporada", "Mandante", "Gols Mandante", "Gols Visitante", "Visitante"], ",", True)
+    part(1, F.date_format("data", "dd/MM/yyyy"), ["temporada", "casa", "gols_casa", "gols_fora", "data", "campeonato", "fora"],
+         ["Season", "Home", "Home Goals", "Gols Away", "Date", "Competição", "Away"], ";", True)
+    part(2, F.date_format("data", "yyyy/MM/dd"), plain, [], "|", False)
+    got = mixed.read_mixed_history(spark, f"{path}/*")
+    layout = F.regexp_extract("arquivo", "/([0-2])/part-", 1).cast("bigint")
+    return got.select(layout.alias("layout"), "motivo", F.col("data").cast("string").alias("data"), *[c for c in plain if c != "data"])
