@@ -8,7 +8,7 @@ The share of the item's words that lie in tiles is its coverage: it is the same
 order the document has the passages. From ``COVERAGE`` on the document holds the item.
 
 The benchmark is a stated query set: it is read in slices of at most ``SLICE_WORDS`` words,
-each is sent to all tasks, and the documents are scanned once for each slice.
+each is sent to all tasks (a bounded broadcast), and the documents are scanned once for each slice.
 
 Defined results: null or empty texts and items of fewer than ``LEAST`` words match nothing; an
 item repeated in the benchmark is reported under each of its ids; repeated documents are
@@ -32,6 +32,8 @@ from pitchlake.llm import arrays
 LEAST = 5
 COVERAGE = 0.5
 SLICE_WORDS = 1_000_000
+#: Pairs of equal seeds that are looked at together.
+PAIRS = 1 << 20
 
 #: Bytes that part words: all of ASCII but letters and digits.
 _APART = np.zeros(256, bool)
@@ -77,61 +79,86 @@ def items(ids: list, texts: list[str | None]) -> Items:
     return Items(ids, words, offsets, seeds[order], at[order], there)
 
 
-def tiles(p: np.ndarray, q: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int]]:
-    """(text word, item word, length) of the tiles, from the pairs of places where seeds are equal.
+def runs(keys: tuple[np.ndarray, ...], p: np.ndarray, q: np.ndarray, n: np.ndarray) -> tuple:
+    """Runs of seeds joined with those that go on on the same diagonal: (keys, p, q, n), in order.
 
-    Longest first; among equals the first in the item, then in the text.
+    ``n`` seeds start at text word ``p`` and item word ``q``; keys are the row and the item.
     """
-    order = np.lexsort((p, p - q))
-    p, q = p[order], q[order]
-    new = np.concatenate([[True], (np.diff(p) != 1) | (np.diff(q) != 1)])
+    order = np.lexsort((p, p - q, *keys[::-1]))
+    keys, p, q, n = tuple(k[order] for k in keys), p[order], q[order], n[order]
+    new = np.ones(len(p), bool)
+    new[1:] = (p[1:] != p[:-1] + n[:-1]) | (np.diff(p - q) != 0)
+    for k in keys:
+        new[1:] |= np.diff(k) != 0
     first = np.flatnonzero(new)
-    length = np.diff(np.concatenate([first, [len(p)]])) + least - 1
-    heap = [(-int(n), int(q[i]), int(p[i])) for n, i in zip(length, first)]
+    return tuple(k[first] for k in keys), p[first], q[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def tiled(p: np.ndarray, q: np.ndarray, length: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int]]:
+    """(text word, item word, length) of the tiles, from maximal matches of ``length`` words.
+
+    Longest first; among equals the first in the item, then in the text.
+    """
+    heap = [(-n, b, a) for n, b, a in zip(length.tolist(), q.tolist(), p.tolist())]
     heapq.heapify(heap)
-    text, item, out = set(), set(), []
-    while heap:
+    base, foot = int(p.min()), int(q.min())
+    text = np.zeros(int((p + length).max()) - base, bool)
+    item = np.zeros(int((q + length).max()) - foot, bool)
+    out, left = [], len(item)
+    while heap and left >= least:
         n, b, a = heapq.heappop(heap)
         n = -n
-        free, start, whole = [], None, True
-        for k in range(n + 1):
-            if k < n and a + k not in text and b + k not in item:
-                start = k if start is None else start
-            else:
-                whole &= k == n
-                if start is not None and k - start >= least:
-                    free.append((start, k - start))
-                start = None
-        if whole:
+        own, other = text[a - base:a - base + n], item[b - foot:b - foot + n]
+        marked = np.flatnonzero(own | other)
+        if not len(marked):
             out.append((a, b, n))
-            text.update(range(a, a + n))
-            item.update(range(b, b + n))
-        else:
-            for k, m in free:
-                heapq.heappush(heap, (-m, b + k, a + k))
+            own[:] = other[:] = True
+            left -= n
+            continue
+        cuts = np.concatenate([[-1], marked, [n]])
+        for k in np.flatnonzero(np.diff(cuts) > least).tolist():  # free stretches of ``least`` or more
+            start, size = int(cuts[k]) + 1, int(cuts[k + 1] - cuts[k]) - 1
+            heapq.heappush(heap, (-size, b + start, a + start))
     return out
 
 
+def tiles(p: np.ndarray, q: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int]]:
+    """The tiles from the pairs of places where seeds are equal."""
+    _, p, q, n = runs((), p, q, np.ones(len(p), np.int64))
+    return tiled(p, q, n + least - 1, least)
+
+
 def matches(column: pa.Array, own: Items) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
-    """(row, item, tiles) of every pair that shares a seed."""
+    """(row, item, tiles) of every pair that shares a seed.
+
+    Seed pairs are made for about ``PAIRS`` at a time and kept as runs along their diagonals, so a
+    word that a long text and an item repeat costs a run for each diagonal, not for each pair.
+    """
     words, offsets = word_hashes(column)
     h, at = arrays.shingle_hashes(words, offsets, LEAST)
     maybe = np.flatnonzero(own.there[(h >> np.uint64(64 - _TOP)).astype(np.int64)])
     lo = np.searchsorted(own.seeds, h[maybe])
     hi = np.searchsorted(own.seeds, h[maybe], "right")
-    many = hi - lo
-    if not many.sum():
+    some = hi > lo
+    maybe, lo, many = maybe[some], lo[some], (hi - lo)[some]
+    if not len(many):
         return
-    place = np.repeat(at[maybe], many)
-    seed = np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-    theirs = own.at[seed]
-    row = np.searchsorted(offsets, place, "right") - 1
-    item = np.searchsorted(own.offsets, theirs, "right") - 1
-    order = np.lexsort((item, row))
-    row, item, place, theirs = row[order], item[order], place[order], theirs[order]
+    total = np.cumsum(many)
+    found, x = [], 0
+    while x < len(many):
+        y = max(x + 1, int(np.searchsorted(total, (total[x - 1] if x else 0) + PAIRS, "right")))
+        m = many[x:y]
+        place = np.repeat(at[maybe[x:y]], m)
+        theirs = own.at[np.repeat(lo[x:y] - (np.cumsum(m) - m), m) + np.arange(m.sum())]
+        row = np.searchsorted(offsets, place, "right") - 1
+        item = np.searchsorted(own.offsets, theirs, "right") - 1
+        found.append(runs((row, item), place, theirs, np.ones(len(place), np.int64)))
+        x = y
+    (row, item), p, q, n = runs(
+        tuple(np.concatenate([f[0][k] for f in found]) for k in (0, 1)), *[np.concatenate([f[k] for f in found]) for k in (1, 2, 3)])
     cut = np.flatnonzero(np.concatenate([[True], (np.diff(row) != 0) | (np.diff(item) != 0), [True]]))
     for a, b in zip(cut[:-1], cut[1:]):
-        yield int(row[a]), int(item[a]), tiles(place[a:b] - offsets[row[a]], theirs[a:b] - own.offsets[item[a]])
+        yield int(row[a]), int(item[a]), tiled(p[a:b] - offsets[row[a]], q[a:b] - own.offsets[item[a]], n[a:b] + LEAST - 1)
 
 
 def _slices(benchmark: DataFrame) -> Iterator[Items]:

@@ -162,13 +162,61 @@ def test_radix_groups_are_equal_windows():
         assert np.array_equal(group == group[a], [text[b:b + 11] == text[a:a + 11] for b in starts])
 
 
+def plain_tiles(text, item, least):
+    """Mark the longest unmarked match again and again, comparing every two places."""
+    out, a, b = [], [False] * len(text), [False] * len(item)
+    while True:
+        best = None
+        for j in range(len(item)):
+            for i in range(len(text)):
+                n = 0
+                while i + n < len(text) and j + n < len(item) and text[i + n] == item[j + n] and not a[i + n] and not b[j + n]:
+                    n += 1
+                if n >= least and (best is None or (-n, j, i) < best):
+                    best = (-n, j, i)
+        if best is None:
+            return out
+        n, j, i = -best[0], best[1], best[2]
+        out.append((i, j, n))
+        a[i:i + n] = [True] * n
+        b[j:j + n] = [True] * n
+
+
 def test_tiles_are_greedy_and_apart():
     p = np.array([0, 1, 2, 10, 11])
     q = np.array([5, 6, 7, 0, 1])
-    assert decontaminate.tiles(p, q) == [(0, 5, 7), (10, 0, 6)] or decontaminate.tiles(p, q)[0] == (0, 5, 7)
+    # The seeds at 10 and 11 reach item word 5, which the longer tile has: five words stay.
+    assert decontaminate.tiles(p, q) == [(0, 5, 7), (10, 0, 5)]
     assert decontaminate.tiles(np.array([0, 20]), np.array([0, 0])) == [(0, 0, 5)]  # the item's words are marked once
 
 
+@pytest.mark.parametrize("pairs", [1 << 20, 7])
+def test_tiles_equal_brute_force(monkeypatch, pairs):
+    monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+    rng = random.Random(8)
+    for _ in range(60):
+        letters = rng.choice(["a", "ab", "abcd"])
+        text, item = ([rng.choice(letters) for _ in range(rng.randint(0, n))] for n in (40, 25))
+        import pyarrow as pa
+
+        own = decontaminate.items([0], [" ".join(item)])
+        got = [t for *_, t in decontaminate.matches(pa.array([None, " ".join(text)]), own)]
+        want = plain_tiles(text, item, decontaminate.LEAST)
+        assert got == ([want] if want else [])
+
+
+def test_a_repeated_word_stays_in_bounds():
+    import resource
+
+    import pyarrow as pa
+
+    own = decontaminate.items([0], ["word " * 1000])
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    (row, item, found), = decontaminate.matches(pa.array(["word " * 100_000]), own)
+    assert (row, item, found) == (0, 0, [(0, 0, 1000)])
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000  # KB
+
+
 def test_reordered_and_edited_passages_are_caught(spark, docs, monkeypatch):
     rng = random.Random(3)
     words = lambda n: [f"q{rng.randint(0, 10**6)}" for _ in range(n)]
