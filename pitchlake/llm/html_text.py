@@ -343,19 +343,24 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [blocks(p) if p else [] for p in batch.column(3).to_pylist()]
+            got = [blocks(p) if p else [] for p in batch.column(4).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array([[t for _, t in g] for g in got], pa.list_(pa.string())),
+                [*batch.columns[:4], pa.array([[t for _, t in g] for g in got], pa.list_(pa.string())),
                  pa.array([[z for z, _ in g] for g in got], pa.list_(pa.int32()))],
-                ["page_id", "url", "host", "parts", "zones"])
+                ["page_id", "url", "host", "shards", "parts", "zones"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    # Read twice: the blocks of all pages are never stored beside their shuffle.
-    known = pages.select("page_id", "url", host.alias("host"), "html").mapInArrow(
-        cut, f"page_id {kind}, url string, host string, parts array<string>, zones array<int>").withColumn(
-        "digest", F.xxhash64("parts"))
-    hosts = stored(known.groupBy("host").agg(F.ceil(F.countDistinct("digest") / SHARD).alias("shards")), "hosts")
-    dealt = known.join(hosts, "host").withColumn("shard", F.pmod(F.xxhash64("digest"), F.col("shards")))
+    source = pages.select("page_id", "url", host.alias("host"), "html")
+    # Shards are counted by the pages as they are, so a page is read only for the arrays of its host.
+    hosts = stored(source.groupBy("host").agg(F.ceil(F.countDistinct(F.xxhash64("html")) / SHARD).alias("shards")), "hosts")
+
+    def dealt(which: str) -> DataFrame:
+        """Blocks of the pages of such hosts, with the shard that their content belongs to; never stored beside their shuffle."""
+        placed = source.join(hosts.where(which), "host").select("page_id", "url", "host", "shards", "html")
+        return placed.mapInArrow(
+            cut, f"page_id {kind}, url string, host string, shards long, parts array<string>, zones array<int>").withColumn(
+            "digest", F.xxhash64("parts")).withColumn("shard", F.pmod(F.xxhash64("digest"), F.col("shards"))).select(names)
+
     names = ["host", "shard", "digest", "shards", "page_id", "url", "parts", "zones"]
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,10 +375,10 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     arrow = pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()
     result = f"page_id {kind}, url string, text string"
-    one = dealt.where("shards = 1").select(names)
+    one = dealt("shards = 1")
     out = one.repartition("host", "shard").sortWithinPartitions("host", "shard", "digest").mapInArrow(whole, result)
     if hosts.where("shards > 1").head(1):
-        many = dealt.where("shards > 1").select(names)
+        many = dealt("shards > 1")
         groups = many.repartition("host", "shard").sortWithinPartitions("host", "shard", "digest").mapInArrow(
             _counted, "host string, shard long, bucket long, keys binary, pages binary")
         sent = groups.repartition("host", "bucket").sortWithinPartitions("host", "bucket").mapInArrow(
