@@ -1,12 +1,14 @@
 """Duplicate suppression in keyed state: the first document of a match, whoever delivers it again.
 
-The match id is the key and the state store (RocksDB, kept in the checkpoint) remembers it, so a
-batch looks its ids up in state and never reads the log; the season, or how it is spelt, plays no
-part. Of several documents of a match in one batch the longest counts. A loader that starts with
-a new checkpoint takes the ids of the log as its first state, once.
-
-State grows by one small value for each match. Two loaders that run on one log at
-the same time do not see each other; ``first_rows`` settles that when the log is read.
+Match ids are dealt by hash into ``SHARDS`` keys of the state store (RocksDB, kept in the checkpoint),
+each with the list of its ids, so a batch looks its ids up in state and never reads the log; the
+season, or how it is spelt, plays no part. A shard costs one read and at most one write of
+state, however many of its ids a batch has. Of several documents of a match in one batch the longest
+counts. A loader that starts with a new checkpoint takes the ids of the log as its first state, once.
+
+State grows by one id for each match; a checkpoint of another ``SHARDS`` must be renewed. Two loaders
+that run on one log at the same time do not see each other; ``first_rows`` settles that when
+the log is read.
 """
 
 from collections.abc import Iterator
@@ -18,6 +20,9 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Keys of state; its layout, so a running checkpoint depends on it.
+SHARDS = 1 << 13
+SHARD = "_fragmento"
 
 
 def use_state(spark: SparkSession) -> None:
@@ -26,23 +31,38 @@ def use_state(spark: SparkSession) -> None:
 
 
 class FirstDelivery(StatefulProcessor):
-    """Passes the rows of a key's first batch on, cut to the longest ``body``; drops later ones."""
+    """Passes the rows of an id's first batch on, cut to the longest ``body``; drops later ones.
+
+    Works on the rows of a shard of ids; holds a row for each of its new ids.
+    """
 
-    def __init__(self, body: str):
-        self.body = body
+    def __init__(self, key: str, kind: T.DataType, body: str):
+        self.key, self.kind, self.body = key, kind, body
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", T.StructType([T.StructField("seen", T.BooleanType())]))
+        self.seen = handle.getValueState("seen", T.StructType([T.StructField("ids", T.ArrayType(self.kind))]))
+
+    def _ids(self) -> list:
+        stored = self.seen.get()
+        return [] if stored is None else list(stored[0])
+
+    def _before(self, one: Row, other: Row) -> bool:
+        a, b = one[self.body], other[self.body]
+        return (len(a), str(a)) > (len(b), str(b)) or (a == b and repr(one) > repr(other))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        if self.seen.exists():
-            return
-        first = max(rows, key=lambda r: (len(r[self.body]), str(r[self.body]), repr(r)))
-        self.seen.update((True,))
-        yield first
+        known = self._ids()
+        old, first = set(known), {}
+        for r in rows:
+            id_ = r[self.key]
+            if id_ not in old and (id_ not in first or self._before(r, first[id_])):
+                first[id_] = r
+        if first:
+            self.seen.update((known + list(first),))
+        yield from first.values()
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.seen.update((True,))
+        self.seen.update((self._ids() + list(initialState["ids"]),))
 
     def close(self) -> None:
         pass
@@ -54,10 +74,11 @@ def first_deliveries(rows: DataFrame, key: str, body: str, known: DataFrame | No
     ``known`` is read when the checkpoint is new, and by no later batch.
     """
     use_state(rows.sparkSession)
-    start = None if known is None else known.select(key).distinct().groupBy(key)
-    return rows.groupBy(key).transformWithState(
-        statefulProcessor=FirstDelivery(body), outputStructType=rows.schema, outputMode="Append", timeMode="None",
-        initialState=start)
+    shard = F.pmod(F.xxhash64(key), F.lit(SHARDS)).alias(SHARD)
+    start = None if known is None else known.select(key).distinct().groupBy(shard).agg(F.collect_list(key).alias("ids")).groupBy(SHARD)
+    return rows.select("*", shard).groupBy(SHARD).transformWithState(
+        statefulProcessor=FirstDelivery(key, rows.schema[key].dataType, body), outputStructType=rows.schema,
+        outputMode="Append", timeMode="None", initialState=start)
 
 
 def first_rows(log: DataFrame, key: str, order: list[str]) -> DataFrame:

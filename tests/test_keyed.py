@@ -3,6 +3,9 @@
 import json
 import pathlib
 
+from pyspark.sql import Row
+from pyspark.sql import types as T
+
 from pitchlake.streaming import incremental, keyed
 
 
@@ -62,3 +65,33 @@ def test_overlapping_loaders_are_settled_when_read(spark):
     assert sorted(r.v for r in keyed.first_rows(log, "id_jogo", ["ordem", "carga"]).collect()) == [10, 11, 13]
 
 
+
+
+def test_a_shard_of_ids_costs_one_read_and_one_write_of_state():
+    calls = []
+
+    class State:
+        value = None
+
+        def get(self):
+            calls.append("get")
+            return self.value
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return State()
+
+    first = keyed.FirstDelivery("id", T.LongType(), "doc")
+    first.init(Handle())
+    row = Row("id", "doc", "s")
+    rows = [row(i, d, s) for i in range(100) for d, s in (("a", "x"), ("bb", "x"), ("bb", "y"), ("a", "z"))]
+    assert list(first.handleInputRows((0,), iter(rows), None)) == [row(i, "bb", "y") for i in range(100)]
+    assert calls == ["get", "update"]
+    first.handleInitialState((0,), Row(ids=[100, 101]), None)
+    del calls[:]
+    assert [r.id for r in first.handleInputRows((0,), iter([row(i, "longer", "x") for i in range(103)]), None)] == [102]
+    assert calls == ["get", "update"] and not list(first.handleInputRows((0,), iter(rows), None)) and calls[2:] == ["get"]
