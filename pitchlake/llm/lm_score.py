@@ -7,9 +7,9 @@ documents. The model predicts subword ids: every word is encoded by the prefix t
 ids before, a distribution over groups of ``MEMBERS`` classes and one over the classes of each group;
 an id's share of its class is its smoothed count over all training words. The frequent ids have a class of their own.
 
-The counts cover the whole corpus, and every training text is learnt from: a window of each ``SPAN``
-words (at least one, the first where the text's hash says). The windows are dealt over tasks of about
-``LOCAL`` batches; in each of ``ROUNDS`` rounds a task runs Adam over its share in numpy from the
+The counts cover the whole corpus, and every id of every training text is learnt from: texts are cut into
+windows that follow one another, each id the target of one. The windows are dealt over tasks of about
+``LOCAL`` batches by document and place, so copies of a text do not meet; in each of ``ROUNDS`` rounds a task runs Adam over its share in numpy from the
 weights so far, and the tasks' weights are averaged. A corpus that gives fewer than ``STEPS`` batches
 is passed over more often; any larger one is learnt from in proportion to its size, once.
 
@@ -48,8 +48,8 @@ CLASSES, MEMBERS = 576, 24
 #: Ids with an embedding of their own, by count; the rest share one.
 SLOTS = 2048
 MIXED = 0.5
-#: Of so many words of every training text one window is learnt from; windows of a batch.
-SPAN, BATCH = 384, 48
+#: Windows of a batch.
+BATCH = 48
 #: Batches of all passes at least, rounds between which weights are averaged, and batches of a task.
 STEPS, ROUNDS, LOCAL = 1200, 3, 256
 RATE = 0.01
@@ -205,7 +205,7 @@ def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
 
 
 def fit(w: dict[str, np.ndarray], windows: DataFrame, classes: np.ndarray, slot: np.ndarray) -> dict[str, np.ndarray]:
-    """Weights learnt from all windows (ids binary): passes of tasks over their shares, averaged after each round."""
+    """Weights learnt from all windows (ids binary, and what tells them apart): passes of tasks over their shares, averaged after each round."""
     spark = windows.sparkSession
     total = windows.count()
     if not total:
@@ -213,11 +213,12 @@ def fit(w: dict[str, np.ndarray], windows: DataFrame, classes: np.ndarray, slot:
     batches_ = -(-total // BATCH)
     passes = max(1, -(-STEPS // batches_))
     tasks = max(1, -(-batches_ // LOCAL))
+    columns = sorted(windows.columns)
     for r in range(ROUNDS):
         sent = spark.sparkContext.broadcast((w, classes, slot))  # of fixed size
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            raw = sorted(x for batch in batches for x in batch.column(0).to_pylist())
+            raw = sorted(x for batch in batches for x in batch.column("ids").to_pylist())
             if raw:
                 own = np.frombuffer(b"".join(raw), "<i4").reshape(-1, WINDOW + 1).astype(np.int64)
                 mine = {k: x.copy() for k, x in sent.value[0].items()}
@@ -236,8 +237,8 @@ def fit(w: dict[str, np.ndarray], windows: DataFrame, classes: np.ndarray, slot:
 
         share = windows
         if passes < ROUNDS:  # a round has its own part of the windows, so each is passed over once
-            share = windows.where(F.pmod(F.xxhash64("ids", F.lit(7)), F.lit(ROUNDS)) == r)
-        learnt = share.repartition(tasks, F.xxhash64("ids")).mapInArrow(learn, "w binary, n long")
+            share = windows.where(F.pmod(F.xxhash64(*columns, F.lit(7)), F.lit(ROUNDS)) == r)
+        learnt = share.repartition(tasks, F.xxhash64(*columns)).mapInArrow(learn, "w binary, n long")
         few = max(1, int(tasks ** 0.5))  # sums meet in the root of the tasks, then on the driver
         rows = learnt.repartition(few, F.xxhash64("w")).sortWithinPartitions(F.xxhash64("w")).mapInArrow(add, "w binary, n long").collect()
         rows = sorted((bytes(x["w"]), x["n"]) for x in rows)
@@ -454,37 +455,75 @@ def subword_counts(met: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def training_windows(docs: DataFrame, shared) -> DataFrame:
-    """(ids): windows of WINDOW + 1 ids, one of each ``SPAN`` words of every text, the first place picked by the text's hash.
+def _texts(batch: pa.RecordBatch, b: int) -> tuple:
+    """A block's (ids, held, words of each text, places, counts of its words, their subwords, offsets of these)."""
+    ids, held, sizes, places, words = (batch.column(k)[b] for k in range(5))
+    if words.is_valid:
+        order = np.argsort(words.values.field("i").to_numpy(zero_copy_only=False))
+        known = words.values.field("c").to_numpy(zero_copy_only=False)[order].astype(np.float64)
+        data, sub_of = arrays.flat(words.values.field("sub").take(pa.array(order)))
+        sub, sub_of = np.frombuffer(data.tobytes(), "<u4").astype(np.int64), sub_of // 4
+    else:  # texts without a word
+        known, sub, sub_of = np.zeros(0), np.zeros(0, np.int64), np.zeros(1, np.int64)
+    n = np.frombuffer(sizes.as_py(), "<u4").astype(np.int64)
+    return ids.values, held.values, n, np.frombuffer(places.as_py(), "<u4"), known, sub, sub_of
+
 
-    Only the words of a window are encoded; it ends with its text or when it is full.
+def cut(stream: np.ndarray, offsets: np.ndarray, bos: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, nth, ids): windows of WINDOW + 1 ids (-1: past the end) with every id of ``stream`` once behind another.
+
+    A text's first id follows ``bos``; a window begins with the last id of the one before.
     """
+    n = np.diff(offsets)
+    many = -(-n // WINDOW)
+    text = np.repeat(np.arange(len(n)), many)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
+    place = nth[:, None] * WINDOW + np.arange(WINDOW + 1)[None, :] - 1
+    ids = stream[offsets[text][:, None] + np.clip(place, 0, n[text][:, None] - 1)]
+    return text, nth, np.where(place < 0, bos, np.where(place < n[text][:, None], ids, -1)).astype("<i4")
+
+
+def windows_of(blocks: DataFrame, bos: int, eos: int) -> DataFrame:
+    """(doc_id, nth, ids): the windows of every training text of blocks that met their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, model = shared.value
-        coder, m, opens = _encoder(vocabulary, model)
         for batch in batches:
-            words, of = [], [0]  # each window's words, one after another
-            ends: list[bool] = []
-            begins: list[bool] = []
-            for text, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = (text or "").encode().lower().split()
-                for at in range(h % max(1, min(SPAN, len(own) - WINDOW // 3)), max(1, len(own)), SPAN):  # not just its last words
-                    part = own[at:at + WINDOW + 1]  # a word has an id at least
-                    words += [w.decode("utf-8", "replace") for w in part]
-                    of.append(len(words))
-                    begins.append(at == 0)
-                    ends.append(at + len(part) == len(own))
-            ids = encoded(words, m, coder, opens)
-            out = []
-            for i, j, first, last in zip(of, of[1:], begins, ends):
-                found = ([coder.v.bos] if first else []) + np.frombuffer(b"".join(ids[i:j]), "<u4").tolist() + ([coder.v.eos] if last else [])
-                own_ = np.full(WINDOW + 1, -1, "<i4")
-                own_[:len(found)] = found[:WINDOW + 1]
-                out.append(own_.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
-
-    return docs.select("text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("h")).mapInArrow(run, "ids binary")
+            for b in range(batch.num_rows):
+                ids, held, n, place, _, sub, sub_of = _texts(batch, b)
+                own = np.flatnonzero(~held.to_numpy(zero_copy_only=False))
+                names_ = ids.fill_null(0).to_numpy(zero_copy_only=False)[own]
+                place = place[np.repeat(~held.to_numpy(zero_copy_only=False), n)]
+                offsets = np.concatenate([[0], np.cumsum(n[own])])
+                lo = 0
+                while lo < len(own):  # about a hundred thousand words together
+                    hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + 100_000, "right")) - 1)
+                    flat, each = _take(sub, sub_of, place[offsets[lo]:offsets[hi]])
+                    ends = np.concatenate([[0], np.cumsum(each)])[offsets[lo + 1:hi + 1] - offsets[lo]]
+                    stream = np.insert(flat, ends, eos)
+                    text, nth, windows = cut(stream, np.concatenate([[0], ends + np.arange(1, hi - lo + 1)]), bos)
+                    raw = pa.array([w.tobytes() for w in windows], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(names_[lo:hi][text].astype(np.int64)), pa.array(nth.astype(np.int64)), raw], ["doc_id", "nth", "ids"])
+                    lo = hi
+
+    return blocks.mapInArrow(run, "doc_id long, nth long, ids binary")
+
+
+def _pairs(blocks: DataFrame) -> DataFrame:
+    return blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("i", "w")).select(
+        "block", "i", F.col("w.words").alias("word"), F.col("w.counts").cast("long").alias("n"))
+
+
+def _with_words(blocks: DataFrame, met: DataFrame) -> DataFrame:
+    """Blocks with the counts and ids of their words."""
+    looked = met.groupBy("block").agg(F.collect_list(F.struct("i", "c", "sub")).alias("words"))
+    return blocks.select("block", "ids", "held", "sizes", "places").join(looked, "block", "left").drop("block")
+
+
+def training_windows(docs: DataFrame, shared) -> DataFrame:
+    """``windows_of`` all of ``docs`` (doc_id, text), each a training text."""
+    blocks = _blocks(docs.select("doc_id", F.lit(False).alias("held"), "text"))
+    vocabulary = shared.value[0]
+    return windows_of(_with_words(blocks, _met(_pairs(blocks), shared)), vocabulary.bos, vocabulary.eos)
 
 
 def score(docs: DataFrame, held: Column, model: str) -> DataFrame:
@@ -499,9 +538,7 @@ def score(docs: DataFrame, held: Column, model: str) -> DataFrame:
     path = scratch(spark, "blocks")
     _blocks(source).write.option("compression", "zstd").parquet(path)
     blocks = spark.read.schema(BLOCK).parquet(path)
-    pairs = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("i", "w")).select(
-        "block", "i", F.col("w.words").alias("word"), F.col("w.counts").cast("long").alias("n"))
-    met = stored(_met(pairs, shared), "words")
+    met = stored(_met(_pairs(blocks), shared), "words")
     release(spark)
     texts = int(source.where("not held").count())
     total, distinct = met.where("new and c > 0").agg(F.sum("c"), F.count("*")).first()
@@ -510,27 +547,19 @@ def score(docs: DataFrame, held: Column, model: str) -> DataFrame:
     subwords = subword_counts(met, size)
     subwords[vocab.eos] += texts
     classes, share, slot = class_table(subwords)
-    weights = fit(start(classes), stored(training_windows(source.where("not held"), shared), "windows"), classes, slot)
+    joined = _with_words(blocks, met)
+    windows = stored(windows_of(joined, vocab.bos, vocab.eos), "windows")
+    release(spark)
+    weights = fit(start(classes), windows, classes, slot)
+    release(spark)
     fitted = spark.sparkContext.broadcast((weights, classes, share, slot))
     under = float(np.log10(n_all + 0.5 * (v_all + 1)))
 
-    looked = met.groupBy("block").agg(F.collect_list(F.struct("i", "c", "sub")).alias("words"))
-    joined = blocks.select("block", "ids", "held", "sizes", "places").join(looked, "block", "left").drop("block")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_ = fitted.value
         for batch in batches:
             for b in range(batch.num_rows):
-                ids, held_, sizes, places, words = (batch.column(k)[b] for k in range(5))
-                if words.is_valid:
-                    order = np.argsort(words.values.field("i").to_numpy(zero_copy_only=False))
-                    known = words.values.field("c").to_numpy(zero_copy_only=False)[order].astype(np.float64)
-                    data, sub_of = arrays.flat(words.values.field("sub").take(pa.array(order)))
-                    sub, sub_of = np.frombuffer(data.tobytes(), "<u4").astype(np.int64), sub_of // 4
-                else:  # texts without a word
-                    known, sub, sub_of = np.zeros(0), np.zeros(0, np.int64), np.zeros(1, np.int64)
-                n = np.frombuffer(sizes.as_py(), "<u4").astype(np.int64)
-                place = np.frombuffer(places.as_py(), "<u4")
+                ids, held_, n, place, known, sub, sub_of = _texts(batch, b)
                 doc = np.repeat(np.arange(len(n)), n)
                 base = np.bincount(doc, weights=np.log10(known + 0.5)[place], minlength=len(n))
                 base += np.log10(texts + 0.5) - (n + 1) * under
@@ -556,7 +585,7 @@ def score(docs: DataFrame, held: Column, model: str) -> DataFrame:
                     lo = hi
                 scores /= np.log(10)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.values, held_.values, pa.array(n + 1), pa.array(n_known), pa.array(np.full(len(n), n_all)),
+                    [ids, held_, pa.array(n + 1), pa.array(n_known), pa.array(np.full(len(n), n_all)),
                      pa.array(base), pa.array(scores)], names)
 
     vocab_bos, vocab_eos = vocab.bos, vocab.eos

@@ -255,6 +255,30 @@ def test_score_recomputed_word_by_word(docs, monkeypatch):
         assert abs(got[i] - whole) < 1e-3 * max(1, len(stream) / 10), i
 
 
+def test_every_id_of_every_training_text_is_learnt_from_once(docs, monkeypatch):
+    kept = {}
+
+    def fit(w, windows, classes, slot):
+        kept["rows"] = windows.collect()
+        return w
+
+    monkeypatch.setattr(lm_score, "fit", fit)
+    monkeypatch.setattr(lm_score, "SEND", 2000)
+    rng = random.Random(3)
+    rows = [(i, prose(rng, "aa", n)) for i, n in enumerate([0, 1, 30, 47, 48, 49, 400, 900, 20, 1200])] + [(90, None), (92, "same same"), (93, "same same")]
+    assert lm_score.score(docs(rows).repartition(2), F.col("doc_id") % 5 == 1, tokenizer()).count() == len(rows)
+    coder = pieces.Coder(pieces.load(tokenizer()))
+    got = {}
+    for r in sorted(kept["rows"], key=lambda r: (r.doc_id, r.nth)):
+        ids = np.frombuffer(r.ids, "<i4")
+        before = got.setdefault(r.doc_id, [coder.v.bos])
+        assert ids[0] == before[-1] and len(ids) == lm_score.WINDOW + 1
+        before += [x for x in ids[1:].tolist() if x >= 0]
+    want = {i: [coder.v.bos, *(x for w in (t or "").encode().lower().split() for x in np.frombuffer(coder.encode(w.decode(), keep=False), "<u4").tolist()),
+                coder.v.eos] for i, t in rows if i % 5 != 1}
+    assert got == want
+
+
 def test_attention_gains_on_held_out_texts_over_the_model_without(monkeypatch):
     """An id that follows from the one three before: no model of the last id alone can know it."""
     rng = np.random.default_rng(4)
