@@ -8,8 +8,8 @@ ids before, a distribution over groups of ``MEMBERS`` classes and one over the c
 an id's share of its class is its smoothed count over all training words. The frequent ids have a class of their own.
 
 The counts cover the whole corpus, and every id of every training text is learnt from: texts are cut into
-windows that follow one another, each id the target of one. The windows are dealt over tasks of about
-``LOCAL`` batches by document and place, so copies of a text do not meet; in each of ``ROUNDS`` rounds a task runs Adam over its share in numpy from the
+windows that follow one another, each id the target of one. The windows are dealt over tasks of
+``LOCAL`` batches a round or more by document and place, so copies of a text do not meet; in each of ``ROUNDS`` rounds a task runs Adam over its share in numpy from the
 weights so far, and the tasks' weights are averaged. A corpus that gives fewer than ``STEPS`` batches
 is passed over more often; any larger one is learnt from in proportion to its size, once.
 
@@ -50,8 +50,8 @@ SLOTS = 2048
 MIXED = 0.5
 #: Windows of a batch.
 BATCH = 48
-#: Batches of all passes at least, rounds between which weights are averaged, and batches of a task.
-STEPS, ROUNDS, LOCAL = 1200, 3, 256
+#: Batches of all passes at least, rounds between which weights are averaged, and batches of a task in a round at least.
+STEPS, ROUNDS, LOCAL = 1200, 3, 400
 RATE = 0.01
 #: Windows scored together.
 TOGETHER = 128
@@ -212,7 +212,7 @@ def fit(w: dict[str, np.ndarray], windows: DataFrame, classes: np.ndarray, slot:
         return w
     batches_ = -(-total // BATCH)
     passes = max(1, -(-STEPS // batches_))
-    tasks = max(1, -(-batches_ // LOCAL))
+    tasks = max(1, batches_ // (ROUNDS * LOCAL))  # the mean of weights that few steps changed has learnt little
     columns = sorted(windows.columns)
     for r in range(ROUNDS):
         sent = spark.sparkContext.broadcast((w, classes, slot))  # of fixed size
