@@ -29,12 +29,14 @@ def local_session(name: str = "pitchlake", cpus: str = "8", **conf: str) -> Spar
 def configure(spark: SparkSession) -> SparkSession:
     """Settings the operators count on; safe to set on a running session.
 
-    Hot keys in sort-merge joins are split even where that costs one more shuffle; where a
-    map is built from repeated keys, the last value stays.
+    Hot keys in joins are split even where that costs one more shuffle. A join whose one side is
+    small in every partition hashes that side, so the wide rows of the other pass without a sort.
+    Where a map is built from repeated keys, the last value stays.
     """
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     return spark
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pitchlake.functions import fixed, labels
 from pitchlake.operators import sinks
+from pitchlake.session import configure
 
 ID, SEASON = "id_jogo", "temporada"
 MATCH_CONTEXT = ("data", "hora", "campeonato", "pais", "casa", "fora")
@@ -78,6 +79,7 @@ def in_seasons(rows: DataFrame, seasons: Sequence[str] | None) -> DataFrame:
 
 def _with_match(rows: DataFrame, matches: DataFrame, seasons: Sequence[str] | None) -> DataFrame:
     """Rows with the context of their match, whose season they take."""
+    configure(rows.sparkSession)  # wide rows are not sorted for the join
     return in_seasons(rows, seasons).drop(SEASON).join(_context(matches), ID)
 
 
@@ -164,5 +166,6 @@ def team_stats_both_sides(
     seasons: Sequence[str] | None = None,
 ) -> DataFrame:
     """Both sides' statistics of every match the clubs played."""
+    configure(team_stats.sparkSession)  # wide rows are not sorted for the join
     own = in_seasons(team_stats, seasons)
     return own.join(matches_of(matches, clubs).select(ID), ID, "left_semi")

@@ -45,3 +45,17 @@ def test_no_rows(spark):
     s, m = made(spark)
     assert tables.accounted(s.limit(0), m).count() == 0
     assert {r.situacao for r in tables.accounted(s, m.limit(0)).collect()} == {"sem jogo", "sem id"}
+
+
+def test_wide_rows_are_hashed_and_not_sorted_for_a_join(spark, matches):
+    """Where one side is small in every partition, as at run time here, no side is sorted."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(200).selectExpr("id % 10 + 1 AS id_jogo", "'A' AS clube", "'2025' AS temporada", "'ALL' AS periodo", "id AS v").repartition(3)
+        for df in (tables.team_stats_both_sides(rows, matches, ["A"]), tables.team_stats_of(rows, matches)):
+            assert df.collect()
+            plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+            assert "ShuffledHashJoin" in plan and "Sort " not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
