@@ -144,6 +144,21 @@ def _drop_partition(spark, path: str, partition: str, value) -> None:
     fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{partition}={escaped}"), True)
 
 
+#: Rows of the largest table in a bucket, which one task reads.
+BUCKET_ROWS = 1 << 20
+
+
+def buckets_for(*tables: DataFrame, least: int = 8) -> int:
+    """Buckets for tables that are joined on their key: a power of two times ``least`` that grows with the largest.
+
+    Costs a count of each table; what is stored in buckets is read far more often.
+    """
+    rows, buckets = max(t.count() for t in tables), least
+    while buckets * BUCKET_ROWS < rows:
+        buckets *= 2
+    return buckets
+
+
 def store_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str = "id_jogo") -> DataFrame:
     """Write a table hashed and sorted by the match id, and read it back.
 

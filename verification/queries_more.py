@@ -140,9 +140,11 @@ def p17_ambiguous(spark, sf):
 
 # --- bucketed storage, moved rows ----------------------------------------------------------
 def bucketed(spark, sf, buckets=8):
-    """Matches and team statistics stored in buckets of the match id."""
+    """Matches and team statistics stored in buckets of the match id, ``buckets`` at least."""
     out = []
-    for name, df in (("matches", views.matches(spark, sf).drop("_cents")), ("team_stats", views.team_stats(spark, sf))):
+    both = {"matches": views.matches(spark, sf).drop("_cents"), "team_stats": views.team_stats(spark, sf)}
+    buckets = sinks.buckets_for(*both.values(), least=buckets)
+    for name, df in both.items():
         table = f"{name}_{uuid.uuid4().hex}"
         out.append(sinks.store_bucketed(df, table, shared_dir(spark, table), buckets))
     return out
