@@ -199,10 +199,11 @@ def s20(spark, sf):
                "fora": F.when((k % 21 == 0) & (k % 20 != 0), F.concat(away, F.lit(f"{sep}x{sep}y"))).otherwise(
                    F.concat(F.lit('"'), away, F.lit('"')) if i == 0 else away), **goals}
         rows_ = m.filter(k % 3 == i).select(F.concat_ws(sep, *[own[c] for c in order]).alias("value"))
-        line = spark.createDataFrame([(sep.join(names),)], "value STRING") if header else None
-        # The header goes before the rows of its only file.
-        both = rows_ if line is None else line.withColumn("o", F.lit(0)).unionByName(rows_.withColumn("o", F.lit(1))).coalesce(1).sortWithinPartitions("o").drop("o")
-        both.write.text(f"{path}/{i}")
+        if header:  # every file of the layout begins with it; lines are written as they are
+            verbatim = {"header": True, "sep": "\u0001", "quote": "", "escapeQuotes": False, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+            rows_.toDF(sep.join(names)).write.options(**verbatim).csv(f"{path}/{i}")
+        else:
+            rows_.write.text(f"{path}/{i}")
 
     plain = ["data", "campeonato", "temporada", "casa", "gols_casa", "gols_fora", "fora"]
     part(0, F.date_format("data", "yyyy-MM-dd"), plain, ["Data", "Torneio", "Temporada", "Mandante", "Gols Mandante", "Gols Visitante", "Visitante"], ",", True)
