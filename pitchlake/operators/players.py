@@ -138,7 +138,8 @@ def regulars(
     table = materialise(
         totals(players, metric, "mean", [*within, *PLAYER], with_minutes=True), "player-totals"
     )
-    most = table.groupBy(*within).agg(F.max("minutos").alias("_most"))
+    # Few groups: their known size lets Spark broadcast them, so no group's players meet in one task.
+    most = materialise(table.groupBy(*within).agg(F.max("minutos").alias("_most")), "most-minutes")
     enough = F.col("minutos") * 100 >= F.col("_most") * F.lit(round(share * 100))
     return table.join(most, list(within)).filter(enough).drop("_most")
 

@@ -74,3 +74,40 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
         assert joined.count() == 80
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+
+
+def test_buckets_grow_with_the_largest_table(spark, monkeypatch):
+    monkeypatch.setattr(sinks, "BUCKET_ROWS", 10)
+    assert sinks.buckets_for(spark.range(5), spark.range(95), least=4) == 16
+    assert sinks.buckets_for(spark.range(5), spark.range(0), least=4) == 4
+
+
+def test_files_of_a_layout_are_written_by_many_tasks_each_with_its_header(spark, matches, monkeypatch):
+    from verification import queries_more
+
+    seen = []
+    read = queries_more.mixed.read_mixed_history
+    monkeypatch.setattr(queries_more.mixed, "read_mixed_history", lambda s, path: seen.append(path) or read(s, path))
+    monkeypatch.setattr(queries_more.views, "matches", lambda s, sf: matches.repartition(5))
+    got = queries_more.s20(spark, "").collect()
+    assert sorted(r.layout for r in got) == sorted(r.id_jogo % 3 for r in matches.collect()) and not any(r.motivo for r in got)
+    lines = spark.read.text(seen[0]).selectExpr("_metadata.file_path AS f", "value AS v").collect()
+    for i, header in ((0, "Data,Torneio,"), (1, "Season;Home;")):
+        files = {r.f for r in lines if f"/{i}/part" in r.f}
+        assert len(files) > 1
+        for f in files:
+            assert [r.v for r in lines if r.f == f][0].startswith(header)
+
+
+def test_most_minutes_are_broadcast_beside_many_players(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8000")
+    try:
+        players = spark.range(5000).selectExpr(
+            "id AS player_id", "'P' || id AS name", "'Atacante' AS position", "'T' AS team", "'C' || (id % 3) AS campeonato",
+            "CAST(id % 90 + 1 AS INT) AS minutes_played", "CAST(7.5 AS DOUBLE) AS rating")
+        df = pl.regulars(players, "rating")
+        assert "BroadcastHashJoin" in df._jdf.queryExecution().sparkPlan().toString()
+        assert df.count() == sum((i % 90 + 1) * 100 >= max(j % 90 + 1 for j in range(i % 3, 90, 3)) * 40 for i in range(5000))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
