@@ -22,7 +22,7 @@ CONTEXT = ("id_jogo", "casa", "fora", "temporada")
 #: Field names under which a document's parts are read; the leaves stay VARIANT.
 _TEAM = ("array<struct<period: string, groups: array<struct<statisticsItems: "
          "array<struct<name: string, home: variant, away: variant>>>>>>")
-_SQUAD = "array<struct<player: struct<id: bigint, name: string>, statistics: map<string, variant>>>"
+_SQUAD = "array<struct<player: struct<id: bigint, name: string>, statistics: variant>>"
 DECLARED, NEW, ABSENT = "declarada", "nova", "ausente"
 
 
@@ -55,16 +55,17 @@ def team_metrics(docs: DataFrame) -> DataFrame:
 
 def player_metrics(docs: DataFrame) -> DataFrame:
     """Bronze line-ups -> (id_jogo, temporada, team, player_id, name, rotulo, metrica, valor, ordem)."""
-    side = lambda path, team: F.transform(
-        F.coalesce(F.try_variant_get("doc", path, _SQUAD), F.array().cast(_SQUAD)),
-        lambda p: F.struct(F.col(team).alias("team"), p.alias("p")))
-    players = docs.select(*CONTEXT, F.explode(F.concat(side("$.home.players", "casa"), side("$.away.players", "fora"))).alias("t"))
-    rows = players.select(
-        "id_jogo", "temporada", "t.team", F.col("t.p.player.id").alias("player_id"), F.col("t.p.player.name").alias("name"),
-        F.posexplode(F.map_entries("t.p.statistics")).alias("ordem", "e"))
-    return rows.filter(F.col("e.key") != RATING_KEY).select(
-        "id_jogo", "temporada", "team", "player_id", "name", F.col("e.key").alias("rotulo"),
-        text.snake_case(F.col("e.key")).alias("metrica"), F.col("e.value").alias("valor"), "ordem")
+    squad = lambda path, team: F.struct(
+        F.col(team).alias("team"), F.try_variant_get("doc", path, _SQUAD).alias("players"))
+    sides = docs.select(*CONTEXT, F.explode(F.array(squad("$.home.players", "casa"), squad("$.away.players", "fora"))).alias("t"))
+    players = sides.select("id_jogo", "temporada", "t.team", F.explode("t.players").alias("p")).select(
+        "id_jogo", "temporada", "team", F.col("p.player.id").alias("player_id"), F.col("p.player.name").alias("name"),
+        F.col("p.statistics").alias("_s"))
+    # A value is cut out of its object as it lies there; a map of them would build each anew.
+    rows = players.lateralJoin(docs.sparkSession.tvf.variant_explode(F.col("_s").outer()))
+    return rows.filter(F.col("key") != RATING_KEY).select(
+        "id_jogo", "temporada", "team", "player_id", "name", F.col("key").alias("rotulo"),
+        text.snake_case(F.col("key")).alias("metrica"), F.col("value").alias("valor"), F.col("pos").alias("ordem"))
 
 
 def plain(value: Column) -> Column:
@@ -75,22 +76,27 @@ def plain(value: Column) -> Column:
 def catalogue(metrics: DataFrame) -> DataFrame:
     """Every metric that came: labels, rows, filled rows, and the narrowest type of all its values.
 
-    One aggregate over the rows, with a row for each metric at the end.
+    Equal values of a label are counted first, so a value is read as a number once for each task
+    that holds it and not in each row; a row for each metric at the end.
     """
-    value = F.trim(plain(F.col("valor")))
+    json = F.col("_json")
+    counted = metrics.groupBy("metrica", "rotulo", F.to_json("valor").alias("_json")).agg(F.count(F.lit(1)).alias("r"))
+    sent_as = F.try_parse_json(json)  # an infinite number is no JSON
+    value = F.trim(F.when(sent_as.isNull(), json).otherwise(plain(sent_as)))
     sent = F.when(~value.isin(""), value)
     number = sent.try_cast("double")
     whole = number.isNotNull() & (sent.try_cast("decimal(38,10)").cast("bigint").cast("double") == number)
-    seen = metrics.select("metrica", "rotulo", sent.alias("v"), number.alias("n"), whole.alias("w"))
-    filled = F.count("v")
+    seen = counted.select("metrica", "rotulo", "r", sent.alias("v"), number.alias("n"), whole.alias("w"))
+    rows = lambda which: F.coalesce(F.sum(F.when(which, F.col("r"))), F.lit(0))
+    filled = rows(F.col("v").isNotNull())
     kind = (
         F.when(filled == 0, None)
-        .when(F.count_if("w") == filled, F.when(F.max(F.abs("n")) < float(1 << 31), "int").otherwise("bigint"))
-        .when(F.count("n") == filled, "double")
+        .when(rows(F.col("w")) == filled, F.when(F.max(F.abs("n")) < float(1 << 31), "int").otherwise("bigint"))
+        .when(rows(F.col("n").isNotNull()) == filled, "double")
         .otherwise("string")
     )
     return seen.groupBy("metrica").agg(
-        F.array_sort(F.collect_set("rotulo")).alias("rotulos"), F.count(F.lit(1)).alias("linhas"),
+        F.array_sort(F.collect_set("rotulo")).alias("rotulos"), rows(F.lit(True)).alias("linhas"),
         filled.alias("preenchidas"), kind.alias("tipo"))
 
 

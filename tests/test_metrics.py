@@ -67,3 +67,15 @@ def test_no_documents(spark):
     empty = metrics.team_metrics(metrics.bronze(spark.createDataFrame([], DOCS)))
     assert metrics.catalogue(empty).count() == 0
     assert metrics.widened(schemas.TEAM_STATS, metrics.catalogue(empty)) == schemas.TEAM_STATS
+
+
+def test_values_are_counted_before_they_are_read_as_numbers(spark):
+    home = [{"player": {"id": i}, "statistics": {"a": 2, "b": v, "c": None}} for i, v in enumerate(["1.0", 1, 1, "", " ", {"x": 1}, 1.5])]
+    odd = [{"player": {"id": 9}, "statistics": [1, 2]}, {"player": {"id": 9}, "statistics": 3}, 7, None]
+    huge = '{"home": {"players": {"0": 1}}, "away": {"players": [{"statistics": {"d": 1e999, "e": 5000000000}}]}}'
+    found = metrics.catalogue(metrics.player_metrics(bronze(spark, json.dumps({"home": {"players": home + odd}}), huge)))
+    assert {r.metrica: (r.rotulos, r.linhas, r.preenchidas, r.tipo) for r in found.collect()} == {
+        "a": (["a"], 7, 7, "int"), "b": (["b"], 7, 5, "string"), "c": (["c"], 7, 0, None),
+        "d": (["d"], 1, 1, "double"), "e": (["e"], 1, 1, "bigint")}
+    below = found._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")[-1].split("\n", 1)[1]  # the rows of each value
+    assert "as double" not in below and "map_entries" not in below
