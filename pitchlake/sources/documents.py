@@ -109,16 +109,6 @@ def widen(rows: DataFrame, schema, map_column: str = "metricas") -> DataFrame:
     ])
 
 
-def _with_team(side: str, team: str) -> Column:
-    return F.coalesce(
-        F.transform(
-            F.col(f"d.{side}.players"),
-            lambda p: F.struct(F.col(team).alias("team"), p.alias("p")),
-        ),
-        F.array(),
-    )
-
-
 def flatten_lineups(docs: DataFrame) -> DataFrame:
     """(id_jogo, casa, fora, temporada, doc) -> one row per player with a metric map.
 
@@ -128,9 +118,10 @@ def flatten_lineups(docs: DataFrame) -> DataFrame:
     parsed = docs.select(
         "id_jogo", "casa", "fora", "temporada", F.from_json("doc", schemas.LINEUPS_DOC).alias("d")
     )
-    tagged = F.concat(_with_team("home", "casa"), _with_team("away", "fora"))
-    rows = parsed.select("id_jogo", "temporada", F.explode(tagged).alias("t")).select(
-        "id_jogo", "temporada", "t.team", "t.p.*"
+    squad = lambda side, team: F.struct(F.col(team).alias("team"), F.col(f"d.{side}.players").alias("players"))
+    sides = parsed.select("id_jogo", "temporada", F.explode(F.array(squad("home", "casa"), squad("away", "fora"))).alias("t"))
+    rows = sides.select("id_jogo", "temporada", "t.team", F.explode("t.players").alias("p")).select(
+        "id_jogo", "temporada", "team", "p.*"
     )
     stats = F.map_filter("statistics", lambda k, v: k != RATING_KEY)
     metrics = F.transform_keys(stats, lambda k, v: text.snake_case(k))
