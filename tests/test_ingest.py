@@ -395,9 +395,9 @@ def test_lookups_read_only_the_batchs_seasons(spark, tmp_path):
 def test_lineup_documents_are_built_as_compiled_text(spark, tmp_path):
     from verification import docs
 
-    lines = spark.createDataFrame([(1, 7, 2, 5.0), (2, None, 5, None)], "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double")
+    lines = spark.createDataFrame([(1, 7, 2, 5.0), (2, None, 5, None), (3, 9, None, 4.0)], "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double")
     made = docs.lineup_docs(spark, str(tmp_path), lines)
-    full, bare = [json.loads(r.doc) for r in made.orderBy("id_jogo").collect()]
+    full, bare, unplaced = [json.loads(r.doc) for r in made.orderBy("id_jogo").collect()]
     assert full["home"]["players"][1] == {
         "player": {"id": 8, "name": "P7", "position": "M", "jerseyNumber": "3", "height": 172, "country": {"name": "Brazil"}},
         "substitute": False, "captain": False, "statistics": {
@@ -405,5 +405,7 @@ def test_lineup_documents_are_built_as_compiled_text(spark, tmp_path):
     assert bare["away"]["players"] == [
         {"player": {"position": "D", "jerseyNumber": "7", "height": 175, "country": {"name": "Brazil"}},
          "substitute": True, "captain": False, "statistics": {"key_pass": 99, "ratingVersions": {}}}]
+    assert set(unplaced["away"]["players"][0]["player"]) == {"id", "name", "country"}
+    assert [r.position for r in documents.flatten_lineups(made).filter("id_jogo = 3").collect()] == [None] * 3
     plan = documents.flatten_lineups(made)._jdf.queryExecution().optimizedPlan().toString()
     assert not any("from_json" in step and "l_quantity" in step for step in plan.split("\n"))

@@ -110,7 +110,8 @@ def lineup_docs(spark: SparkSession, sf: str, lines: DataFrame | None = None) ->
             _field("player", _object(
                 _field("id", F.col("l_partkey") + add),
                 _field("name", F.concat(F.lit("P"), F.col("l_partkey").cast("string")), True),
-                _field("position", pick(["G", "D", "M", "F"], line % 4), True),
+                # compiled, element_at takes a NULL index for some element of a list without NULLs
+                _field("position", F.when(line.isNotNull(), pick(["G", "D", "M", "F"], line % 4)), True),
                 _field("jerseyNumber", line + add, True),
                 _field("height", 170 + line),
                 F.lit('"country":{"name":"Brazil"}'),
