@@ -14,8 +14,11 @@ button within a sentence is a word of it; one that stands alone is a form's.
 
 A host's pages are dealt into shards of about ``SHARD`` pages. Each shard's array is built in a
 task and counts, for every group of suffixes equal through that depth, the pages it is on. Where a
-host has several shards, the counts are dealt by group into four buckets for each shard and added up
-there, and each shard gets back the repeated groups that it holds, so no task gets a whole host.
+host has several shards, each first sends the leading bits of its groups' keys, as gaps of some ten bits, dealt
+into four buckets for each shard, and is told which of them another shard has too; only those groups
+and the ones it repeats itself go out whole, with their counts, to be added up, and each shard gets back the
+repeated groups that it holds, so no task gets a whole host. A page is shuffled once, its text compressed;
+all these steps read that one shuffle.
 
 Defined results: a null or empty page has the empty text; a page without a readable host shares
 one nameless host; pages of equal content count once as evidence, and each repeated row gets
@@ -25,6 +28,7 @@ told apart by 64 bits.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -38,6 +42,8 @@ from pitchlake.llm import arrays
 from pitchlake.llm.common import stored
 
 DEPTH, PAGES, COVER, SHARD = 8, 3, 0.8, 2000
+#: Leading bits of a key that are asked for, beside those of the number of shards; any number gives the same result.
+BITS = 26
 #: Added to the zone of a block in doubt.
 UNSURE = 10
 
@@ -245,16 +251,19 @@ class Shard:
 
     def __init__(self, rows: list[dict]):
         self.rows = rows
-        parts = [p for r in rows for p in r["parts"]]
+        digest = np.array([r["digest"] for r in rows])
+        new = np.diff(digest, prepend=digest[:1]) != 0
+        new[:1] = True
+        self.of = np.cumsum(new) - 1  # the page of each row
+        pages = [rows[k] for k in np.flatnonzero(new).tolist()]
+        parts = [p for r in pages for p in r["parts"]]
         words, of = arrays.word_hashes(*arrays.flat(pa.array(parts, pa.string())), lower=False)
         self.cuts = of  # where each block's words start
-        self.first = np.concatenate([[0], np.cumsum([len(r["parts"]) for r in rows])]).astype(np.int64)
+        self.first = np.concatenate([[0], np.cumsum([len(r["parts"]) for r in pages])]).astype(np.int64)
         ends = of[self.first]
-        self.words, self.row = words, np.repeat(np.arange(len(rows)), np.diff(ends))
-        digest = np.array([r["digest"] for r in rows])
-        self.page = np.cumsum(np.diff(digest, prepend=digest[:1]) != 0)[self.row]
+        self.words, self.page = words, np.repeat(np.arange(len(pages)), np.diff(ends))
         self.keys, self.at = arrays.shingle_hashes(words, ends, DEPTH)
-        self.end = ends[1:][self.row]
+        self.end = ends[1:][self.page]
 
     def groups(self) -> tuple[np.ndarray, np.ndarray]:
         """Key of each group of suffixes and the number of pages it is on."""
@@ -276,24 +285,41 @@ class Shard:
         total = np.concatenate([[0], np.cumsum(np.cumsum(steps[:-1]) > 0)])[self.cuts]
         covered = (np.diff(total) >= COVER * np.diff(self.cuts)).tolist()
         return [chosen(list(zip(r["zones"], r["parts"])), covered[a:b])
-                for r, a, b in zip(self.rows, self.first[:-1].tolist(), self.first[1:].tolist())]
+                for r, a, b in zip(self.rows, self.first[:-1][self.of].tolist(), self.first[1:][self.of].tolist())]
+
+
+def _closed(found: list[tuple[int, str]]) -> tuple[int, bytes, int, bytes]:
+    """Digest of a page's blocks, their zones, and their compressed text with its size; no block holds a line feed."""
+    body = "\n".join(t for _, t in found).encode()
+    digest = int.from_bytes(hashlib.blake2b(body, digest_size=8).digest(), "little", signed=True)
+    return digest, bytes(z + 1 for z, _ in found), len(body), pa.compress(body, "zstd", asbytes=True)
+
+
+def _opened(rows: list[dict]) -> list[dict]:
+    """The rows of a shard by digest, with zones and parts as lists; those of equal content share them."""
+    last = None
+    for r in rows:
+        r["zones"] = [z - 1 for z in r["zones"]]
+        if last is None or r["digest"] != last["digest"]:
+            body = pa.decompress(r["body"], r["size"], "zstd", asbytes=True).decode()
+            r["parts"] = body.split("\n") if body else []
+            last = r
+        r["parts"] = last["parts"]
+        del r["body"]
+    return rows
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[dict], np.ndarray]]:
-    """Rows of each shard, and the keys that were sent to it."""
-    now, hold, keys = None, [], b""
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """Rows of each shard."""
+    hold: list[dict] = []
     for batch in batches:
         for r in batch.to_pylist():
-            if (r["host"], r["shard"]) != now:
-                if hold:
-                    yield hold, np.frombuffer(keys, "<u8")
-                now, hold, keys = (r["host"], r["shard"]), [], b""
-            if r.get("keys") is not None:
-                keys += r["keys"]
-            else:
-                hold.append(r)
+            if hold and (r["host"], r["shard"]) != (hold[0]["host"], hold[0]["shard"]):
+                yield _opened(hold)
+                hold = []
+            hold.append(r)
     if hold:
-        yield hold, np.frombuffer(keys, "<u8")
+        yield _opened(hold)
 
 
 def _told(rows: list[dict], texts: list[str], kind: pa.DataType) -> pa.RecordBatch:
@@ -302,16 +328,83 @@ def _told(rows: list[dict], texts: list[str], kind: pa.DataType) -> pa.RecordBat
         ["page_id", "url", "text"])
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per shard and bucket, the keys of the groups and the pages each is on."""
-    for rows, _ in _shards(batches):
-        keys, pages = Shard(rows).groups()
-        bucket = (keys % np.uint64(4 * rows[0]["shards"])).astype(np.int64)
-        each = [(b, np.flatnonzero(bucket == b)) for b in np.unique(bucket).tolist()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([rows[0]["host"]] * len(each), pa.string()), pa.array([rows[0]["shard"]] * len(each), pa.int64()),
-             pa.array([b for b, _ in each], pa.int64()), arrays.dense([keys[at] for _, at in each], "<u8"),
-             arrays.dense([np.minimum(pages[at], PAGES) for _, at in each], "<u2")], ["host", "shard", "bucket", "keys", "pages"])
+def _leading(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of each key by its leading bits, and the rest of these."""
+    top = keys >> np.uint64(64 - BITS - shards.bit_length())
+    return (top % np.uint64(4 * shards)).astype(np.int64), top // np.uint64(4 * shards)
+
+
+def _gaps(values: np.ndarray) -> bytes:
+    """Distinct values as the gaps between them, their bytes by place, compressed."""
+    raw = np.diff(np.unique(values), prepend=np.uint64(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(raw).to_bytes(4, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _values(raw: bytes) -> np.ndarray:
+    size = int.from_bytes(raw[:4], "little")
+    gaps = np.frombuffer(pa.decompress(raw[4:], size, "zstd", asbytes=True), np.uint8).reshape(4, -1).T
+    return np.cumsum(np.ascontiguousarray(gaps).view("<u4").ravel(), dtype=np.uint64)
+
+
+ASKED = "host string, shard long, bucket long, bits binary"
+
+
+def _bits(hosts: list[str], shards: list[int], buckets: list[int], bits: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(hosts, pa.string()), pa.array(shards, pa.int64()), pa.array(buckets, pa.int64()), pa.array(bits, pa.binary())],
+        ["host", "shard", "bucket", "bits"])
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per shard and bucket, the leading bits of its keys."""
+    for rows in _shards(batches):
+        bucket, rest = _leading(Shard(rows).keys, rows[0]["shards"])
+        order = np.argsort(bucket, kind="stable")
+        each, at = np.unique(bucket[order], return_index=True)
+        bits = [_gaps(x) for x in np.split(rest[order], at[1:])] if len(each) else []
+        yield _bits([rows[0]["host"]] * len(each), [rows[0]["shard"]] * len(each), each.tolist(), bits)
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """Rows of each bucket of a host."""
+    hold: list[dict] = []
+    for batch in batches:
+        for r in batch.to_pylist():
+            if hold and (r["host"], r["bucket"]) != (hold[0]["host"], hold[0]["bucket"]):
+                yield hold
+                hold = []
+            hold.append(r)
+    if hold:
+        yield hold
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per shard and bucket, those of its leading bits that another shard has too."""
+    for hold in _buckets(batches):
+        own = [_values(r["bits"]) for r in hold]
+        every, count = np.unique(np.concatenate(own), return_counts=True)
+        both = every[count > 1]
+        yield _bits(*([r[k] for r in hold] for k in ("host", "shard", "bucket")), [_gaps(x[np.isin(x, both)]) for x in own])
+
+
+COUNTED = "host string, shard long, bucket long, keys binary, pages binary"
+
+
+def _counted(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    """Per bucket, the keys of a shard's groups that others may have or that it repeats, and the pages each is on."""
+    rows = _opened(rows.sort_by("digest").to_pylist())
+    keys, pages = Shard(rows).groups()
+    bucket, rest = _leading(keys, rows[0]["shards"])
+    own = pages >= PAGES
+    order = np.argsort(bucket, kind="stable")
+    for r in answers.to_pylist():
+        at = order[slice(*np.searchsorted(bucket[order], [r["bucket"], r["bucket"] + 1]))]
+        own[at] |= np.isin(rest[at], _values(r["bits"]))
+    each = [(b, np.flatnonzero(own & (bucket == b))) for b in np.unique(bucket[own]).tolist()]
+    return pa.Table.from_arrays(
+        [pa.array([rows[0]["host"]] * len(each), pa.string()), pa.array([rows[0]["shard"]] * len(each), pa.int64()),
+         pa.array([b for b, _ in each], pa.int64()), arrays.dense([keys[at] for _, at in each], "<u8"),
+         arrays.dense([np.minimum(pages[at], PAGES) for _, at in each], "u1")], ["host", "shard", "bucket", "keys", "pages"])
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,21 +413,13 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def done(hold: list[dict]) -> pa.RecordBatch:
         keys = [np.frombuffer(r["keys"], "<u8") for r in hold]
         every, place = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(place, weights=np.concatenate([np.frombuffer(r["pages"], "<u2") for r in hold]))
+        total = np.bincount(place, weights=np.concatenate([np.frombuffer(r["pages"], "u1") for r in hold]))
         common = every[total >= PAGES]
         return pa.RecordBatch.from_arrays(
             [pa.array([r["host"] for r in hold], pa.string()), pa.array([r["shard"] for r in hold], pa.int64()),
              arrays.dense([k[np.isin(k, common)] for k in keys], "<u8")], ["host", "shard", "keys"])
 
-    hold: list[dict] = []
-    for batch in batches:
-        for r in batch.to_pylist():
-            if hold and (r["host"], r["bucket"]) != (hold[0]["host"], hold[0]["bucket"]):
-                yield done(hold)
-                hold = []
-            hold.append(r)
-    if hold:
-        yield done(hold)
+    yield from map(done, _buckets(batches))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -343,11 +428,10 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [blocks(p) if p else [] for p in batch.column(4).to_pylist()]
+            got = [_closed(blocks(p) if p else []) for p in batch.column(4).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array([[t for _, t in g] for g in got], pa.list_(pa.string())),
-                 pa.array([[z for z, _ in g] for g in got], pa.list_(pa.int32()))],
-                ["page_id", "url", "host", "shards", "parts", "zones"])
+                [*batch.columns[:4], *(pa.array([g[k] for g in got], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.int64(), pa.binary())))],
+                ["page_id", "url", "host", "shards", "digest", "zones", "size", "body"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
     source = pages.select("page_id", "url", host.alias("host"), "html")
@@ -355,35 +439,33 @@ def main_text(pages: DataFrame) -> DataFrame:
     hosts = stored(source.groupBy("host").agg(F.ceil(F.countDistinct(F.xxhash64("html")) / SHARD).alias("shards")), "hosts")
 
     def dealt(which: str) -> DataFrame:
-        """Blocks of the pages of such hosts, with the shard that their content belongs to; never stored beside their shuffle."""
+        """Blocks of the pages of such hosts, at the shard that their content belongs to; never stored beside their shuffle."""
         placed = source.join(hosts.where(which), "host").select("page_id", "url", "host", "shards", "html")
         return placed.mapInArrow(
-            cut, f"page_id {kind}, url string, host string, shards long, parts array<string>, zones array<int>").withColumn(
-            "digest", F.xxhash64("parts")).withColumn("shard", F.pmod(F.xxhash64("digest"), F.col("shards"))).select(names)
-
-    names = ["host", "shard", "digest", "shards", "page_id", "url", "parts", "zones"]
+            cut, f"page_id {kind}, url string, host string, shards long, digest long, zones binary, size long, body binary").withColumn(
+            "shard", F.pmod(F.xxhash64("digest"), F.col("shards"))).repartition("host", "shard")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, _ in _shards(batches):
+        for rows in _shards(batches):
             shard = Shard(rows)
             keys, count = shard.groups()
             yield _told(rows, shard.texts(keys[count >= PAGES]), arrow)
 
-    def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, keys in _shards(batches):
-            yield _told(rows, Shard(rows).texts(keys), arrow)
+    def parted(rows: pa.Table, sent: pa.Table) -> pa.Table:
+        own = _opened(rows.sort_by("digest").to_pylist())
+        keys = np.frombuffer(b"".join(sent.column("keys").to_pylist()), "<u8")
+        return pa.Table.from_batches([_told(own, Shard(own).texts(keys), arrow)])
 
     arrow = pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()
     result = f"page_id {kind}, url string, text string"
-    one = dealt("shards = 1")
-    out = one.repartition("host", "shard").sortWithinPartitions("host", "shard", "digest").mapInArrow(whole, result)
+    out = dealt("shards = 1").sortWithinPartitions("host", "shard", "digest").mapInArrow(whole, result)
     if hosts.where("shards > 1").head(1):
-        many = dealt("shards > 1")
-        groups = many.repartition("host", "shard").sortWithinPartitions("host", "shard", "digest").mapInArrow(
-            _counted, "host string, shard long, bucket long, keys binary, pages binary")
+        many = dealt("shards > 1")  # one shuffle, read by the three steps
+        asked = many.sortWithinPartitions("host", "shard", "digest").mapInArrow(_asked, ASKED)
+        answers = asked.repartition("host", "bucket").sortWithinPartitions("host", "bucket").mapInArrow(_answered, ASKED)
+        shards = many.groupBy("host", "shard")
+        groups = shards.cogroup(answers.groupBy("host", "shard")).applyInArrow(_counted, COUNTED)
         sent = groups.repartition("host", "bucket").sortWithinPartitions("host", "bucket").mapInArrow(
             _added, "host string, shard long, keys binary")
-        both = many.unionByName(sent, allowMissingColumns=True)
-        out = out.union(both.repartition("host", "shard").sortWithinPartitions(
-            "host", "shard", F.col("keys").isNull(), "digest").mapInArrow(parted, result))
+        out = out.union(shards.cogroup(sent.groupBy("host", "shard")).applyInArrow(parted, result))
     return out.withColumn("n_chars", F.length("text").cast("long"))

@@ -270,3 +270,32 @@ def test_cover_equals_brute_force():
                     kept.append(part)
                 at += n
             assert got[i] == "\n".join(kept)
+
+
+@pytest.mark.parametrize("bits", [2, 26])
+def test_shards_of_a_host_ask_by_leading_bits_and_its_pages_are_shuffled_once(spark, docs, monkeypatch, bits):
+    docs([])
+    rng = random.Random(8)
+    word = lambda n: " ".join(rng.choice("abcdefgh") for _ in range(n))
+    lines = [word(rng.randint(1, 14)) for _ in range(40)]
+    rows = [(i, "http://a.example/", "".join(f"<p>{rng.choice(lines)}</p>" for _ in range(rng.randint(0, 4)))) for i in range(80)]
+    df = spark.createDataFrame(rows + [(99, "http://a.example/", rows[0][2])], "page_id long, url string, html string")
+    want = {r.page_id: r.text for r in html_text.main_text(df).collect()}
+    assert want != {r[0]: "\n".join(t for _, t in html_text.blocks(r[2])) for r in rows} and want[99] == want[0]
+    monkeypatch.setattr(html_text, "SHARD", 5)
+    monkeypatch.setattr(html_text, "BITS", bits)  # few bits: keys that only begin alike are told apart by the rest
+    out = html_text.main_text(df)
+    assert {r.page_id: r.text for r in out.collect()} == want
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("MapInArrow cut") == 2 and plan.count("ReusedExchange") >= 2  # hosts of one shard, of several
+
+
+def test_gaps_give_their_values_back():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 1000):
+        values = rng.integers(0, 1 << 32, n).astype(np.uint64)
+        assert html_text._values(html_text._gaps(values)).tolist() == sorted(set(values.tolist()))
+    values = np.arange(0, 1 << 16, 4, dtype=np.uint64)
+    assert len(html_text._gaps(values)) < len(values)  # keys went out in ten bytes each
