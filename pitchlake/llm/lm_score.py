@@ -97,23 +97,24 @@ def forward(w: dict[str, np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, tupl
     return h + inner @ w["down"], (x, q, k, v, a, mixed, h, inner)
 
 
-def hidden(w: dict[str, np.ndarray], ids: np.ndarray) -> np.ndarray:
-    """The hidden states of ``forward`` alone, in fewer passes over the attention table.
+def hidden(w: dict[str, np.ndarray], ids: np.ndarray, since: int = 0) -> np.ndarray:
+    """The hidden states of ``forward`` from a place on, in fewer passes over the attention table.
 
     Weights are exponents cut at ``exp(60)`` instead of taken relative to their row's
     largest; a column of ones beside the values gives the sums they are divided by.
     """
     many, n = ids.shape
-    x = (w["emb"][ids] + w["place"][:n]).reshape(-1, DIM)
-    q, k, v = np.split(x @ np.concatenate([w["q"] * np.float32(DIM ** -0.5), w["k"], w["v"]], axis=1), 3, axis=1)
-    a = q.reshape(many, n, DIM) @ k.reshape(many, n, DIM).transpose(0, 2, 1)
-    a += _MASK[:n, :n]
+    x = w["emb"][ids] + w["place"][:n]
+    own = x[:, since:].reshape(-1, DIM)
+    x = x.reshape(-1, DIM)
+    a = (own @ (w["q"] * np.float32(DIM ** -0.5))).reshape(many, n - since, DIM) @ (x @ w["k"]).reshape(many, n, DIM).transpose(0, 2, 1)
+    a += _MASK[since:n, :n]
     np.minimum(a, 60, out=a)
     np.exp(a, out=a)
-    mixed = a @ np.concatenate([v, np.ones((len(v), 1), np.float32)], axis=1).reshape(many, n, DIM + 1)
+    mixed = a @ np.concatenate([x @ w["v"], np.ones((len(x), 1), np.float32)], axis=1).reshape(many, n, DIM + 1)
     mixed = (mixed[..., :DIM] / (mixed[..., DIM:] + np.float32(1e-30))).reshape(-1, DIM)
-    h = x + mixed @ w["o"]
-    return (h + np.maximum(h @ w["up"], 0) @ w["down"]).reshape(many, n, DIM)
+    h = own + mixed @ w["o"]
+    return (h + np.maximum(h @ w["up"], 0) @ w["down"]).reshape(many, n - since, DIM)
 
 
 def log_softmax(z: np.ndarray) -> np.ndarray:
@@ -121,50 +122,82 @@ def log_softmax(z: np.ndarray) -> np.ndarray:
     return z - np.log(np.exp(z).sum(axis=-1, keepdims=True))
 
 
+def _chosen(z: np.ndarray, at: np.ndarray) -> tuple[float, np.ndarray]:
+    """Sum of the log softmax of each column at one place, and its gradient, which takes the place of ``z``."""
+    each = np.arange(len(at))
+    z -= z.max(axis=0)
+    p = z[at, each]
+    np.exp(z, out=z)
+    total = z.sum(axis=0)
+    z /= total
+    z[at, each] -= 1
+    return float((p - np.log(total)).sum()), z
+
+
+def _summed(rows: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Rows added up by the place each goes to."""
+    out = np.zeros((size, rows.shape[1]), rows.dtype)
+    if len(at):
+        order = np.argsort(at.astype(np.uint16) if size <= 1 << 16 else at, kind="stable")
+        places, first = np.unique(at[order], return_index=True)
+        out[places] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
 def gradient(w: dict[str, np.ndarray], ids: np.ndarray, target: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean loss and gradients; ``target`` is the class of the next id, -1 where there is none."""
+    """Mean loss and gradients; ``target`` is the class of the next id, -1 where there is none.
+
+    Places are taken in the order of their group, so each group is one product; scores lie in columns,
+    so that a softmax runs along whole rows.
+    """
     top, (x, q, k, v, a, mixed, h, inner) = forward(w, ids)
-    n = ids.shape[1]
     flat = target.ravel()
     real = np.flatnonzero(flat >= 0)
+    real = real[np.argsort((flat[real] // MEMBERS).astype(np.uint16), kind="stable")]
     hidden = top.reshape(-1, DIM)[real]
     group, member = flat[real] // MEMBERS, flat[real] % MEMBERS
-    each, count = np.arange(len(real)), np.float32(1 / max(1, len(real)))
-    lp = log_softmax(hidden @ w["out"] + w["bias"])
-    deep = log_softmax(np.einsum("nd,ndm->nm", hidden, w["deep"][group]) + w["deep_bias"][group])
-    loss = -float(lp[each, group].sum() + deep[each, member].sum()) * float(count)
-    dz, dm = np.exp(lp), np.exp(deep)
-    dz[each, group] -= 1
-    dm[each, member] -= 1
+    cuts = np.searchsorted(group, np.arange(len(w["bias"]) + 1)).tolist()
+    parts = [(one, slice(lo, hi)) for one, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if hi > lo]
+    count = np.float32(1 / max(1, len(real)))
+    deep = np.empty((MEMBERS, len(real)), top.dtype)
+    for one, own in parts:
+        deep[:, own] = w["deep"][one].T @ hidden[own].T + w["deep_bias"][one][:, None]
+    lp, dz = _chosen(w["out"].T @ hidden.T + w["bias"][:, None], group)
+    lm, dm = _chosen(deep, member)
+    loss = -(lp + lm) * float(count)
     dz *= count
     dm *= count
-    g = {"out": hidden.T @ dz, "bias": dz.sum(axis=0), "deep": np.zeros_like(w["deep"]), "deep_bias": np.zeros_like(w["deep_bias"])}
-    for one in np.unique(group):
-        own = group == one
-        g["deep"][one], g["deep_bias"][one] = hidden[own].T @ dm[own], dm[own].sum(axis=0)
+    g = {"out": (dz @ hidden).T, "bias": dz.sum(axis=1), "deep": np.zeros_like(w["deep"]), "deep_bias": np.zeros_like(w["deep_bias"])}
+    back = dz.T @ w["out"].T
+    for one, own in parts:
+        g["deep"][one], g["deep_bias"][one] = (dm[:, own] @ hidden[own]).T, dm[:, own].sum(axis=1)
+        back[own] += dm[:, own].T @ w["deep"][one].T
     dtop = np.zeros_like(top).reshape(-1, DIM)
-    dtop[real] = dz @ w["out"].T + np.einsum("nm,ndm->nd", dm, w["deep"][group])
-    dtop = dtop.reshape(top.shape)
+    dtop[real] = back
     n = ids.shape[1]
 
     def outer(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return left.reshape(-1, left.shape[-1]).T @ right.reshape(-1, right.shape[-1])
 
+    inner = inner.reshape(-1, INNER)
     dinner = (dtop @ w["down"].T) * (inner > 0)
     g["down"], g["up"] = outer(inner, dtop), outer(h, dinner)
     dh = dtop + dinner @ w["up"].T
-    dmixed = dh @ w["o"].T
+    dmixed = (dh @ w["o"].T).reshape(mixed.shape)
     g["o"] = outer(mixed, dh)
-    da = dmixed @ v.transpose(0, 2, 1)
     dv = a.transpose(0, 2, 1) @ dmixed
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(DIM ** -0.5)
+    ds = dmixed @ v.transpose(0, 2, 1)
+    ds -= (dmixed * mixed).sum(axis=2, keepdims=True)  # what the weights' own gradients sum to
+    ds *= a
+    ds *= np.float32(DIM ** -0.5)
     dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
     g["q"], g["k"], g["v"] = outer(x, dq), outer(x, dk), outer(x, dv)
-    dx = dh + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
+    dx = dh
+    for name, d in (("q", dq), ("k", dk), ("v", dv)):
+        dx += d.reshape(-1, DIM) @ w[name].T
     g["place"] = np.zeros_like(w["place"])
-    g["place"][:n] = dx.sum(axis=0)
-    g["emb"] = np.zeros_like(w["emb"])
-    np.add.at(g["emb"], ids.ravel(), dx.reshape(-1, DIM))
+    g["place"][:n] = dx.reshape(-1, n, DIM).sum(axis=0)
+    g["emb"] = _summed(dx, ids.ravel(), len(w["emb"]))
     return loss, g
 
 
@@ -172,8 +205,9 @@ def adam(w: dict[str, np.ndarray], windows: np.ndarray, classes: np.ndarray, slo
          passes: int, rate: float, seed: int) -> list[float]:
     """Adam over windows of WINDOW + 1 ids (-1: past the end); changes ``w``, returns the losses."""
     rng = np.random.default_rng(seed)
-    m = {k: np.zeros_like(x) for k, x in w.items()}
-    s = {k: np.zeros_like(x) for k, x in w.items()}
+    flat = _flat(w)  # all weights as one vector, of which ``w`` gets the parts
+    w.update(_shaped(flat, w))
+    m, s, step = np.zeros_like(flat), np.zeros_like(flat), np.empty_like(flat)
     losses: list[float] = []
     steps = passes * -(-len(windows) // BATCH)
     for _ in range(passes):
@@ -185,10 +219,21 @@ def adam(w: dict[str, np.ndarray], windows: np.ndarray, classes: np.ndarray, slo
             loss, g = gradient(w, slot[np.maximum(own[:, :-1], 0)], target)
             losses.append(loss)
             now = rate * min(1.0, t / 50) * (1 - t / (steps + 1))
-            for k in w:
-                m[k] += 0.1 * (g[k] - m[k])
-                s[k] += 0.01 * (g[k] * g[k] - s[k])
-                w[k] -= (now * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(s[k] / (1 - 0.99 ** t)) + 1e-8)).astype(np.float32)
+            all_ = _flat(g)
+            np.subtract(all_, m, out=step)
+            step *= 0.1
+            m += step
+            np.multiply(all_, all_, out=step)
+            step -= s
+            step *= 0.01
+            s += step
+            np.divide(s, 1 - 0.99 ** t, out=step)
+            np.sqrt(step, out=step)
+            step += 1e-8
+            np.divide(m, 1 - 0.9 ** t, out=all_)
+            all_ *= now
+            all_ /= step
+            flat -= all_
     return losses
 
 
@@ -199,7 +244,7 @@ def _flat(w: dict[str, np.ndarray]) -> np.ndarray:
 def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     out, at = {}, 0
     for k in sorted(like):
-        out[k] = flat[at:at + like[k].size].reshape(like[k].shape).astype(np.float32)
+        out[k] = flat[at:at + like[k].size].reshape(like[k].shape).astype(np.float32, copy=False)
         at += like[k].size
     return out
 
@@ -278,35 +323,37 @@ def id_scores(w, classes: np.ndarray, share: np.ndarray, slot: np.ndarray, strea
     own = slot[stream]
     target = classes[stream]
     out = np.zeros(len(stream), np.float32)
-    for lo in range(0, len(text), TOGETHER):
-        t, j = text[lo:lo + TOGETHER], nth[lo:lo + TOGETHER]
-        place = j[:, None] * STRIDE + np.arange(WINDOW)[None, :]  # of the id to be scored
-        width = int(min(WINDOW, (n[t] - j * STRIDE).max()))
-        place = place[:, :width]
-        inside = place < n[t][:, None]
-        at = offsets[t][:, None] + np.minimum(place, n[t][:, None] - 1)
-        before = np.where(place > 0, own[np.maximum(at - 1, 0)], slot[bos])
-        scored = inside & ((j[:, None] == 0) | (np.arange(width)[None, :] >= WINDOW - STRIDE))
-        at = at[scored]
-        order = np.argsort(target[at], kind="stable")
-        at = at[order]
-        top = hidden(w, before)[scored][order]
-        group, member = target[at] // MEMBERS, target[at] % MEMBERS
-        p = _log_share(top @ w["out"] + w["bias"], group)
-        cut = np.searchsorted(group, np.arange(len(w["bias"]) + 1))
-        for k in np.flatnonzero(np.diff(cut)):
-            part = slice(cut[k], cut[k + 1])
-            p[part] += _log_share(top[part] @ w["deep"][k] + w["deep_bias"][k], member[part])
-        out[at] = p
+    first = nth == 0  # all of a text's first window is scored, then the later half of each
+    for which, since in ((np.flatnonzero(first), 0), (np.flatnonzero(~first), WINDOW - STRIDE)):
+        for lo in range(0, len(which), TOGETHER):
+            t, j = text[which[lo:lo + TOGETHER]], nth[which[lo:lo + TOGETHER]]
+            place = j[:, None] * STRIDE + np.arange(WINDOW)[None, :]  # of the id to be scored
+            width = int(min(WINDOW, (n[t] - j * STRIDE).max()))
+            place = place[:, :width]
+            at = offsets[t][:, None] + np.minimum(place, n[t][:, None] - 1)
+            before = np.where(place > 0, own[np.maximum(at - 1, 0)], slot[bos])
+            scored = (place < n[t][:, None])[:, since:]
+            at = at[:, since:][scored]
+            order = np.argsort(target[at].astype(np.uint16), kind="stable")
+            at = at[order]
+            top = hidden(w, before, since)[scored][order]
+            group, member = target[at] // MEMBERS, target[at] % MEMBERS
+            p = _log_share(w["out"].T @ top.T + w["bias"][:, None], group)
+            cuts = np.searchsorted(group, np.arange(len(w["bias"]) + 1))
+            deep = np.empty((MEMBERS, len(at)), top.dtype)
+            for k in np.flatnonzero(np.diff(cuts)):
+                part = slice(cuts[k], cuts[k + 1])
+                deep[:, part] = w["deep"][k].T @ top[part].T + w["deep_bias"][k][:, None]
+            out[at] = p + _log_share(deep, member)
     return out + share[stream]
 
 
 def _log_share(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log softmax of each row at one place; changes ``z``."""
-    z -= z.max(axis=1, keepdims=True)
-    p = z[np.arange(len(at)), at]
+    """Log softmax of each column at one place; changes ``z``."""
+    z -= z.max(axis=0)
+    p = z[at, np.arange(len(at))]
     np.exp(z, out=z)
-    return p - np.log(z.sum(axis=1))
+    return p - np.log(z.sum(axis=0))
 
 
 # ---- corpus ------------------------------------------------------------------------------------
