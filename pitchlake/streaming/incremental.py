@@ -11,7 +11,7 @@ go to a log of rejected lines beside it.
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -64,7 +64,16 @@ def _nonblank(c, name: str) -> Column:
 
 
 def current_matches(log: DataFrame) -> DataFrame:
-    """One row per match: the first batch's row, blanks filled by the earliest later batch."""
+    """One row per match: the first batch's row, blanks filled by the earliest later batch.
+
+    Rows go to their match before they are sorted, once: most matches have one row, so nothing is
+    gained by merging, which sorts whole rows, before the shuffle too.
+    """
+    return _resolved(log.repartition("id_jogo"))
+
+
+def _resolved(log: DataFrame) -> DataFrame:
+    """``current_matches`` of rows as they are dealt."""
     own = [c for c in COLUMNS if c != "id_jogo"]
     rows = log.groupBy("id_jogo").agg(
         F.min_by(F.struct(*own), _order()).alias("_first"),
@@ -84,10 +93,10 @@ def current_matches(log: DataFrame) -> DataFrame:
 
 def merge_batch(batch: DataFrame) -> DataFrame:
     """One row per match of a micro-batch: the copy with most cells filled, its blanks
-    filled from the others."""
+    filled from the others. Copies meet before they are sorted, once, and are merged as they stream by."""
     keep = [c for c in COLUMNS if c not in (*sinks.FILLED, "id_jogo")]
     empty = sum((F.col(c).isNull().cast("int") for c in keep), F.lit(0))
-    rows = batch.groupBy("id_jogo").agg(
+    rows = batch.repartition("id_jogo").groupBy("id_jogo").agg(
         F.min(F.struct(empty.alias("_empty"), *keep)).alias("_row"),
         *[
             F.coalesce(F.min(sinks.usable(c)), F.min(_nonblank(F.col(c), c))).alias(c)
@@ -116,24 +125,28 @@ def _of_seasons(log: DataFrame, batch: DataFrame) -> DataFrame:
     return log.filter(F.col(SEASON).isNull() | F.col(SEASON).isin(seasons))
 
 
-def _reject(batch: DataFrame, bad: Column, folder: str) -> DataFrame:
-    """Write the lines without a match id to the rejected log; returns the rest."""
+def _reject(batch: DataFrame, bad: Column, folder: str) -> None:
+    """Write the lines without a match id to the rejected log."""
     line = F.col(BROKEN) if BROKEN in batch.columns else F.to_json(F.struct(*batch.columns))
     batch.filter(bad).select(line.alias("linha")).write.mode("overwrite").parquet(folder)
-    return batch.filter(~bad)
 
 
 def store_batch(batch: DataFrame, batch_id: int, log_dir: str, carga: str = "manual") -> None:
-    """Write one micro-batch of matches; running it again gives the same log."""
+    """Write one micro-batch of matches; running it again gives the same log.
+
+    Bad lines are counted as the batch is merged, so it is parsed a second time only where it has some.
+    """
     spark = batch.sparkSession
-    good = _reject(batch, F.col("id_jogo").isNull(), f"{rejected_dir(log_dir)}/carga={carga}/batch_id={batch_id}")
+    bad, seen = F.col("id_jogo").isNull(), Observation()
+    good = batch.observe(seen, F.count(F.when(bad, 1)).alias("ruins")).filter(~bad)
     unique = merge_batch(sinks.align(good, schemas.MATCHES)).persist()
     try:
         log = read_log(spark, log_dir)
         folder = _folder(log, log_dir, carga, batch_id)
         # Only the matches of this batch, in the folders of its seasons, are looked up.
         others = _of_seasons(log, unique).filter((F.col("carga") != carga) | (F.col("batch_id") != batch_id))
-        stored = current_matches(others.join(unique.select("id_jogo"), "id_jogo", "left_semi"))
+        _reject(batch if seen.get["ruins"] else batch.limit(0), bad, f"{rejected_dir(log_dir)}/carga={carga}/batch_id={batch_id}")
+        stored = _resolved(others.join(unique.select("id_jogo"), "id_jogo", "left_semi"))
         useful_rows(unique, stored).write.mode("overwrite").partitionBy(SEASON).parquet(folder)
     finally:
         unique.unpersist()

@@ -409,3 +409,24 @@ def test_lineup_documents_are_built_as_compiled_text(spark, tmp_path):
     assert [r.position for r in documents.flatten_lineups(made).filter("id_jogo = 3").collect()] == [None] * 3
     plan = documents.flatten_lineups(made)._jdf.queryExecution().optimizedPlan().toString()
     assert not any("from_json" in step and "l_quantity" in step for step in plan.split("\n"))
+
+
+@pytest.mark.parametrize("broken", [0, 2])
+def test_a_batch_is_read_once_where_it_has_no_bad_line(spark, tmp_path, broken):
+    log, read = str(tmp_path / "log"), spark.sparkContext.accumulator(0)
+    incremental.create_log(spark, log)
+    keys = [1, 2, 3, 3] + [None] * broken
+
+    def row(k):
+        read.add(1)
+        return (k, "A", "2024", f"line {k}")
+
+    batch = spark.createDataFrame(
+        spark.sparkContext.parallelize(keys, 2).map(row), "id_jogo long, casa string, temporada string, _linha string")
+    incremental.store_batch(batch, 0, log)
+    assert read.value == len(keys) * (2 if broken else 1)
+    assert [r.linha for r in spark.read.parquet(incremental.rejected_dir(log)).collect()] == ["line None"] * broken
+    now = incremental.current_matches(incremental.read_log(spark, log))
+    assert sorted(r.id_jogo for r in now.collect()) == [1, 2, 3]
+    plan = now._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Sort [") == 1  # rows are sorted once, after the shuffle
