@@ -39,10 +39,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchlake.llm import arrays, pieces
-from pitchlake.llm.common import release, scratch, stored
+from pitchlake.llm.common import release, scratch
 
 #: Bytes of text in a block.
 SEND = 8 << 20
+#: Bytes of a group of rows in a file: a writer holds one at once.
+TOLD = 16 << 20
 DIM, INNER, WINDOW, STRIDE = 16, 32, 48, 24
 CLASSES, MEMBERS = 576, 24
 #: Ids with an embedding of their own, by count; the rest share one.
@@ -81,40 +83,66 @@ def start(classes: np.ndarray, slots: int = SLOTS, seed: int = 1) -> dict[str, n
 _MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
 
+def _beside(x: np.ndarray, last: np.ndarray | float) -> np.ndarray:
+    """``x`` with one more column."""
+    out = np.empty((*x.shape[:-1], x.shape[-1] + 1), x.dtype)
+    out[..., :-1], out[..., -1] = x, last
+    return out
+
+
+def _products(w: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
+    """What one place asks of another (``q`` and ``k`` as one matrix), ``v`` and ``o`` as one, embeddings with a one beside them, places with a zero."""
+    s = w["q"].dtype.type(DIM ** -0.5)
+    return (w["q"] @ w["k"].T) * s, w["v"] @ w["o"], _beside(w["emb"], 1), _beside(w["place"], 0)
+
+
+def _attended(made: tuple[np.ndarray, ...], ids: np.ndarray, since: int = 0) -> tuple[np.ndarray, ...]:
+    """Inputs with a one beside them, what each place from ``since`` on asks, exponents, their sums, and the means of the inputs by these.
+
+    A place's question meets the inputs themselves and the mean of the inputs is what ``v`` and ``o`` then
+    turn, so inputs are multiplied by one matrix before and one after. Exponents are taken relative
+    to their row's largest only where some are too large or too small for that to be left out.
+    """
+    asks, _, emb, place = made
+    n = ids.shape[1]
+    x = emb.take(ids, axis=0)
+    x += place[:n]
+    y = (x[:, since:, :DIM].reshape(-1, DIM) @ asks).reshape(len(ids), n - since, DIM)
+    e = y @ x[..., :DIM].transpose(0, 2, 1)
+    plain = e.size == 0 or (e.max() < 60 and e.min() > -60)
+    e[..., since:] += _MASK[since:n, since:n]
+    if not plain:
+        e -= e.max(axis=2, keepdims=True)
+    np.exp(e, out=e)
+    mean = (e @ x).reshape(-1, DIM + 1)
+    total = mean[:, DIM:]
+    return x, y, e, total, mean[:, :DIM] / total
+
+
 def forward(w: dict[str, np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, tuple]:
     """Hidden state at each place of each window, and what the gradient needs."""
-    n = ids.shape[1]
-    x = w["emb"][ids] + w["place"][:n]
-    q, k, v = x @ w["q"], x @ w["k"], x @ w["v"]
-    a = q @ k.transpose(0, 2, 1) * np.float32(DIM ** -0.5)
-    a += _MASK[:n, :n]
-    a -= a.max(axis=2, keepdims=True)
-    np.exp(a, out=a)
-    a /= a.sum(axis=2, keepdims=True)
-    mixed = a @ v
-    h = x + mixed @ w["o"]
-    inner = np.maximum(h @ w["up"], 0)
-    return h + inner @ w["down"], (x, q, k, v, a, mixed, h, inner)
-
-
-def hidden(w: dict[str, np.ndarray], ids: np.ndarray, since: int = 0) -> np.ndarray:
-    """The hidden states of ``forward`` from a place on, in fewer passes over the attention table.
-
-    Weights are exponents cut at ``exp(60)`` instead of taken relative to their row's
-    largest; a column of ones beside the values gives the sums they are divided by.
-    """
-    many, n = ids.shape
-    x = w["emb"][ids] + w["place"][:n]
-    own = x[:, since:].reshape(-1, DIM)
-    x = x.reshape(-1, DIM)
-    a = (own @ (w["q"] * np.float32(DIM ** -0.5))).reshape(many, n - since, DIM) @ (x @ w["k"]).reshape(many, n, DIM).transpose(0, 2, 1)
-    a += _MASK[since:n, :n]
-    np.minimum(a, 60, out=a)
-    np.exp(a, out=a)
-    mixed = a @ np.concatenate([x @ w["v"], np.ones((len(x), 1), np.float32)], axis=1).reshape(many, n, DIM + 1)
-    mixed = (mixed[..., :DIM] / (mixed[..., DIM:] + np.float32(1e-30))).reshape(-1, DIM)
-    h = own + mixed @ w["o"]
-    return (h + np.maximum(h @ w["up"], 0) @ w["down"]).reshape(many, n - since, DIM)
+    made = _products(w)
+    x, y, e, total, mean = _attended(made, ids)
+    h = mean @ made[1]
+    h += x[..., :DIM].reshape(-1, DIM)
+    inner = h @ w["up"]
+    np.maximum(inner, 0, out=inner)
+    top = inner @ w["down"]
+    top += h
+    return top.reshape(*ids.shape, DIM), (made, x, y, e, total, mean, h, inner)
+
+
+def hidden(w: dict[str, np.ndarray], ids: np.ndarray, since: int = 0, made: tuple[np.ndarray, ...] | None = None) -> np.ndarray:
+    """The hidden states of ``forward`` from a place on; ``made`` are the weights' products where they are at hand."""
+    made = made or _products(w)
+    x, _, _, _, mean = _attended(made, ids, since)
+    h = mean @ made[1]
+    h += x[:, since:, :DIM].reshape(-1, DIM)
+    inner = h @ w["up"]
+    np.maximum(inner, 0, out=inner)
+    top = inner @ w["down"]
+    top += h
+    return top.reshape(len(ids), ids.shape[1] - since, DIM)
 
 
 def log_softmax(z: np.ndarray) -> np.ndarray:
@@ -136,11 +164,34 @@ def _chosen(z: np.ndarray, at: np.ndarray) -> tuple[float, np.ndarray]:
 
 def _summed(rows: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     """Rows added up by the place each goes to."""
-    out = np.zeros((size, rows.shape[1]), rows.dtype)
-    if len(at):
-        order = np.argsort(at.astype(np.uint16) if size <= 1 << 16 else at, kind="stable")
-        places, first = np.unique(at[order], return_index=True)
-        out[places] = np.add.reduceat(rows[order], first, axis=0)
+    n = rows.shape[1]
+    cell = (at * n)[:, None] + np.arange(n)
+    return np.bincount(cell.ravel(), rows.ravel(), size * n).astype(rows.dtype).reshape(size, n)
+
+
+def _heads(w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the groups and of each group's classes, a row each, with the bias as last column."""
+    return _beside(w["out"].T, w["bias"]), _beside(w["deep"].transpose(0, 2, 1), w["deep_bias"])
+
+
+def _grouped(top: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The chosen rows as columns, with a one below."""
+    out = np.empty((DIM + 1, len(at)), top.dtype)
+    out[:DIM], out[DIM] = top.take(at, axis=0).T, 1
+    return out
+
+
+def _parts(group: np.ndarray, groups: int) -> list[tuple[int, slice]]:
+    """Each group that occurs, and where it lies."""
+    cuts = np.searchsorted(group, np.arange(groups + 1)).tolist()
+    return [(one, slice(lo, hi)) for one, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if hi > lo]
+
+
+def _members(heads: np.ndarray, hidden: np.ndarray, parts: list[tuple[int, slice]]) -> np.ndarray:
+    """Scores of the classes of each column's own group."""
+    out = np.empty((MEMBERS, hidden.shape[1]), hidden.dtype)
+    for one, own in parts:
+        np.matmul(heads[one], hidden[:, own], out=out[:, own])
     return out
 
 
@@ -148,53 +199,56 @@ def gradient(w: dict[str, np.ndarray], ids: np.ndarray, target: np.ndarray) -> t
     """Mean loss and gradients; ``target`` is the class of the next id, -1 where there is none.
 
     Places are taken in the order of their group, so each group is one product; scores lie in columns,
-    so that a softmax runs along whole rows.
+    so that a softmax runs along whole rows. A bias is one more column of its weights.
     """
-    top, (x, q, k, v, a, mixed, h, inner) = forward(w, ids)
+    top, ((asks, gives, _, _), x1, y, e, total, mean, h, inner) = forward(w, ids)
+    top = top.reshape(-1, DIM)
     flat = target.ravel()
     real = np.flatnonzero(flat >= 0)
     real = real[np.argsort((flat[real] // MEMBERS).astype(np.uint16), kind="stable")]
-    hidden = top.reshape(-1, DIM)[real]
-    group, member = flat[real] // MEMBERS, flat[real] % MEMBERS
-    cuts = np.searchsorted(group, np.arange(len(w["bias"]) + 1)).tolist()
-    parts = [(one, slice(lo, hi)) for one, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if hi > lo]
+    group, member = np.divmod(flat[real], MEMBERS)
+    hidden = _grouped(top, real)
+    out, deep = _heads(w)
+    parts = _parts(group, len(out))
     count = np.float32(1 / max(1, len(real)))
-    deep = np.empty((MEMBERS, len(real)), top.dtype)
-    for one, own in parts:
-        deep[:, own] = w["deep"][one].T @ hidden[own].T + w["deep_bias"][one][:, None]
-    lp, dz = _chosen(w["out"].T @ hidden.T + w["bias"][:, None], group)
-    lm, dm = _chosen(deep, member)
+    lp, dz = _chosen(out @ hidden, group)
+    lm, dm = _chosen(_members(deep, hidden, parts), member)
     loss = -(lp + lm) * float(count)
     dz *= count
     dm *= count
-    g = {"out": (dz @ hidden).T, "bias": dz.sum(axis=1), "deep": np.zeros_like(w["deep"]), "deep_bias": np.zeros_like(w["deep_bias"])}
-    back = dz.T @ w["out"].T
+    rows, own_rows, back = dz @ hidden.T, np.zeros_like(deep), np.empty((DIM, len(real)), top.dtype)
+    turned = deep[..., :DIM].transpose(0, 2, 1)
     for one, own in parts:
-        g["deep"][one], g["deep_bias"][one] = (dm[:, own] @ hidden[own]).T, dm[:, own].sum(axis=1)
-        back[own] += dm[:, own].T @ w["deep"][one].T
-    dtop = np.zeros_like(top).reshape(-1, DIM)
-    dtop[real] = back
+        np.matmul(dm[:, own], hidden[:, own].T, out=own_rows[one])
+        np.matmul(turned[one], dm[:, own], out=back[:, own])
+    back += w["out"] @ dz
+    g = {"out": rows[:, :DIM].T, "bias": rows[:, DIM], "deep": own_rows[..., :DIM].transpose(0, 2, 1), "deep_bias": own_rows[..., DIM]}
+    dtop = np.zeros_like(top)
+    dtop[real] = back.T
     n = ids.shape[1]
-
-    def outer(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        return left.reshape(-1, left.shape[-1]).T @ right.reshape(-1, right.shape[-1])
-
-    inner = inner.reshape(-1, INNER)
-    dinner = (dtop @ w["down"].T) * (inner > 0)
-    g["down"], g["up"] = outer(inner, dtop), outer(h, dinner)
-    dh = dtop + dinner @ w["up"].T
-    dmixed = (dh @ w["o"].T).reshape(mixed.shape)
-    g["o"] = outer(mixed, dh)
-    dv = a.transpose(0, 2, 1) @ dmixed
-    ds = dmixed @ v.transpose(0, 2, 1)
-    ds -= (dmixed * mixed).sum(axis=2, keepdims=True)  # what the weights' own gradients sum to
-    ds *= a
-    ds *= np.float32(DIM ** -0.5)
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    g["q"], g["k"], g["v"] = outer(x, dq), outer(x, dk), outer(x, dv)
+    x = x1[..., :DIM]
+    g["down"] = inner.T @ dtop
+    dinner = dtop @ w["down"].T
+    dinner *= inner > 0
+    g["up"] = h.T @ dinner
+    dh = dinner @ w["up"].T
+    dh += dtop
+    turn = mean.T @ dh  # gradient of v and o as one matrix
+    g["o"], g["v"] = w["v"].T @ turn, turn @ w["o"].T
+    dmean = np.empty((len(dh), DIM + 1), top.dtype)
+    np.matmul(dh, gives.T, out=dmean[:, :DIM])
+    dmean[:, DIM] = -np.einsum("ij,ij->i", dmean[:, :DIM], mean)  # what the weights' own gradients sum to
+    dmean /= total
+    dmean = dmean.reshape(x1.shape)
+    de = dmean @ x1.transpose(0, 2, 1)
+    de *= e
+    dy = (de @ x).reshape(-1, DIM)
     dx = dh
-    for name, d in (("q", dq), ("k", dk), ("v", dv)):
-        dx += d.reshape(-1, DIM) @ w[name].T
+    dx += (e.transpose(0, 2, 1) @ dmean[..., :DIM]).reshape(-1, DIM)
+    dx += (de.transpose(0, 2, 1) @ y).reshape(-1, DIM)
+    dx += dy @ asks.T
+    ask = (x.reshape(-1, DIM).T @ dy) * w["q"].dtype.type(DIM ** -0.5)  # gradient of q and k as one matrix
+    g["q"], g["k"] = ask @ w["k"], ask.T @ w["q"]
     g["place"] = np.zeros_like(w["place"])
     g["place"][:n] = dx.reshape(-1, n, DIM).sum(axis=0)
     g["emb"] = _summed(dx, ids.ravel(), len(w["emb"]))
@@ -207,7 +261,8 @@ def adam(w: dict[str, np.ndarray], windows: np.ndarray, classes: np.ndarray, slo
     rng = np.random.default_rng(seed)
     flat = _flat(w)  # all weights as one vector, of which ``w`` gets the parts
     w.update(_shaped(flat, w))
-    m, s, step = np.zeros_like(flat), np.zeros_like(flat), np.empty_like(flat)
+    m, s, step = np.zeros_like(flat), np.zeros_like(flat), np.empty_like(flat)  # sums of gradients and of their squares, ten and a hundred times the means
+    class_of, slot_of = np.append(classes, -1), np.append(slot, slot[0])  # -1 takes the last
     losses: list[float] = []
     steps = passes * -(-len(windows) // BATCH)
     for _ in range(passes):
@@ -215,25 +270,21 @@ def adam(w: dict[str, np.ndarray], windows: np.ndarray, classes: np.ndarray, slo
         for lo in range(0, len(windows), BATCH):
             t = len(losses) + 1
             own = windows[order[lo:lo + BATCH]]
-            target = np.where(own[:, 1:] >= 0, classes[own[:, 1:]], -1)
-            loss, g = gradient(w, slot[np.maximum(own[:, :-1], 0)], target)
+            loss, g = gradient(w, slot_of[own[:, :-1]], class_of[own[:, 1:]])
             losses.append(loss)
             now = rate * min(1.0, t / 50) * (1 - t / (steps + 1))
             all_ = _flat(g)
-            np.subtract(all_, m, out=step)
-            step *= 0.1
-            m += step
-            np.multiply(all_, all_, out=step)
-            step -= s
-            step *= 0.01
-            s += step
-            np.divide(s, 1 - 0.99 ** t, out=step)
-            np.sqrt(step, out=step)
-            step += 1e-8
-            np.divide(m, 1 - 0.9 ** t, out=all_)
-            all_ *= now
-            all_ /= step
-            flat -= all_
+            m *= 0.9
+            m += all_
+            all_ *= all_
+            s *= 0.99
+            s += all_
+            scale = (0.01 / (1 - 0.99 ** t)) ** 0.5
+            np.sqrt(s, out=step)
+            step += 1e-8 / scale
+            np.divide(m, step, out=step)
+            step *= now * 0.1 / (1 - 0.9 ** t) / scale
+            flat -= step
     return losses
 
 
@@ -252,20 +303,24 @@ def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
 def fit(w: dict[str, np.ndarray], windows: DataFrame, classes: np.ndarray, slot: np.ndarray) -> dict[str, np.ndarray]:
     """Weights learnt from all windows (ids binary, and what tells them apart): passes of tasks over their shares, averaged after each round."""
     spark = windows.sparkSession
+    columns = sorted(windows.columns)
+    dealt = windows.select(F.xxhash64(*columns).alias("deal"), F.pmod(F.xxhash64(*columns, F.lit(7)), F.lit(ROUNDS)).cast("int").alias("part"), "ids")
+    windows, at = _kept(dealt, "windows")
+    release(spark)
     total = windows.count()
     if not total:
         return w
     batches_ = -(-total // BATCH)
     passes = max(1, -(-STEPS // batches_))
     tasks = max(1, batches_ // (ROUNDS * LOCAL))  # the mean of weights that few steps changed has learnt little
-    columns = sorted(windows.columns)
     for r in range(ROUNDS):
         sent = spark.sparkContext.broadcast((w, classes, slot))  # of fixed size
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            raw = sorted(x for batch in batches for x in batch.column("ids").to_pylist())
+            raw = b"".join(arrays.flat(batch.column(0))[0].tobytes() for batch in batches)
             if raw:
-                own = np.frombuffer(b"".join(raw), "<i4").reshape(-1, WINDOW + 1).astype(np.int64)
+                own = np.frombuffer(raw, "<i4").reshape(-1, WINDOW + 1)
+                own = own[np.argsort(own.view(f"V{own.itemsize * own.shape[1]}").ravel(), kind="stable")]  # however they came
                 mine = {k: x.copy() for k, x in sent.value[0].items()}
                 adam(mine, own, *sent.value[1:], max(1, round(passes / ROUNDS)), RATE * (1 - r / ROUNDS), r)
                 yield pa.RecordBatch.from_arrays(
@@ -282,13 +337,16 @@ def fit(w: dict[str, np.ndarray], windows: DataFrame, classes: np.ndarray, slot:
 
         share = windows
         if passes < ROUNDS:  # a round has its own part of the windows, so each is passed over once
-            share = windows.where(F.pmod(F.xxhash64(*columns, F.lit(7)), F.lit(ROUNDS)) == r)
-        learnt = share.repartition(tasks, F.xxhash64(*columns)).mapInArrow(learn, "w binary, n long")
+            share = windows.where(F.col("part") == r)
+        learnt = share.select("ids", "deal").repartition(tasks, "deal").select("ids").mapInArrow(learn, "w binary, n long")
         few = max(1, int(tasks ** 0.5))  # sums meet in the root of the tasks, then on the driver
         rows = learnt.repartition(few, F.xxhash64("w")).sortWithinPartitions(F.xxhash64("w")).mapInArrow(add, "w binary, n long").collect()
         rows = sorted((bytes(x["w"]), x["n"]) for x in rows)
         if rows:
             w = _shaped(sum(np.frombuffer(x, np.float64) for x, _ in rows) / sum(n for _, n in rows), w)
+        del share, learnt
+        release(spark)  # each round's files go before the next
+    _drop(spark, at)
     return w
 
 
@@ -324,6 +382,7 @@ def id_scores(w, classes: np.ndarray, share: np.ndarray, slot: np.ndarray, strea
     target = classes[stream]
     out = np.zeros(len(stream), np.float32)
     first = nth == 0  # all of a text's first window is scored, then the later half of each
+    made, (groups, deep) = _products(w), _heads(w)
     for which, since in ((np.flatnonzero(first), 0), (np.flatnonzero(~first), WINDOW - STRIDE)):
         for lo in range(0, len(which), TOGETHER):
             t, j = text[which[lo:lo + TOGETHER]], nth[which[lo:lo + TOGETHER]]
@@ -332,19 +391,14 @@ def id_scores(w, classes: np.ndarray, share: np.ndarray, slot: np.ndarray, strea
             place = place[:, :width]
             at = offsets[t][:, None] + np.minimum(place, n[t][:, None] - 1)
             before = np.where(place > 0, own[np.maximum(at - 1, 0)], slot[bos])
-            scored = (place < n[t][:, None])[:, since:]
-            at = at[:, since:][scored]
-            order = np.argsort(target[at].astype(np.uint16), kind="stable")
+            scored = np.flatnonzero((place < n[t][:, None])[:, since:])
+            at = at[:, since:].ravel()[scored]
+            order = np.argsort((target[at] // MEMBERS).astype(np.uint16), kind="stable")
             at = at[order]
-            top = hidden(w, before, since)[scored][order]
-            group, member = target[at] // MEMBERS, target[at] % MEMBERS
-            p = _log_share(w["out"].T @ top.T + w["bias"][:, None], group)
-            cuts = np.searchsorted(group, np.arange(len(w["bias"]) + 1))
-            deep = np.empty((MEMBERS, len(at)), top.dtype)
-            for k in np.flatnonzero(np.diff(cuts)):
-                part = slice(cuts[k], cuts[k + 1])
-                deep[:, part] = w["deep"][k].T @ top[part].T + w["deep_bias"][k][:, None]
-            out[at] = p + _log_share(deep, member)
+            top = _grouped(hidden(w, before, since, made).reshape(-1, DIM), scored[order])
+            group, member = np.divmod(target[at], MEMBERS)
+            p = _log_share(groups @ top, group)
+            out[at] = p + _log_share(_members(deep, top, _parts(group, len(groups))), member)
     return out + share[stream]
 
 
@@ -362,6 +416,17 @@ BLOCK = ("block long, ids array<long>, held array<boolean>, sizes binary, words
          "counts array<int>, places binary")
 
 
+def _distinct(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words and the place of each word in these."""
+    coded = words.dictionary_encode()
+    place = coded.indices.to_numpy(zero_copy_only=False)
+    try:
+        return coded.dictionary.cast(pa.string()), place
+    except pa.ArrowInvalid:  # bytes that are no UTF-8
+        again = pa.array([w.decode("utf-8", "replace") for w in coded.dictionary.to_pylist()], pa.string()).dictionary_encode()
+        return again.dictionary, again.indices.to_numpy(zero_copy_only=False)[place]
+
+
 def _blocks(docs: DataFrame) -> DataFrame:
     """Blocks of documents: texts as places in the block's distinct words, with training counts."""
 
@@ -370,20 +435,13 @@ def _blocks(docs: DataFrame) -> DataFrame:
 
         def made() -> pa.RecordBatch:
             ids = pa.concat_arrays([h[0] for h in hold])
-            held = np.concatenate([h[1] for h in hold])
-            hashes = np.concatenate([h[2] for h in hold])
-            sizes = np.concatenate([h[3] for h in hold])
-            body = np.concatenate([h[4] for h in hold])
-            base = np.cumsum([0] + [len(h[4]) for h in hold])[:-1]
-            first = np.concatenate([h[5] + b for h, b in zip(hold, base)])
-            last = np.concatenate([h[6] + b for h, b in zip(hold, base)])
-            _, one, place = np.unique(hashes, return_index=True, return_inverse=True)
-            trained = np.repeat(~held, sizes)
-            counts = np.bincount(place, weights=trained, minlength=len(one)).astype(np.int64)
-            raw = body.tobytes()
-            words = [raw[a:b].decode("utf-8", "replace") for a, b in zip(first[one].tolist(), last[one].tolist())]
+            held, sizes, lengths, body = (np.concatenate([h[k] for h in hold]) for k in range(1, 5))
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            words, place = _distinct(pa.Array.from_buffers(
+                pa.large_binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(body)]))
+            counts = np.bincount(place, weights=np.repeat(~held, sizes), minlength=len(words)).astype(np.int64)
             lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (
-                ids, pa.array(held, pa.bool_()), pa.array(words, pa.string()), pa.array(counts, pa.int32()))]
+                ids, pa.array(held, pa.bool_()), words, pa.array(counts, pa.int32()))]
             return pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int64()), lists[0], lists[1], pa.array([sizes.astype("<u4").tobytes()], pa.binary()),
                  lists[2], lists[3], pa.array([place.astype("<u4").tobytes()], pa.binary())],
@@ -398,9 +456,8 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 starts.append(a)
                 ends.append(b)
             starts, ends = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, ends))
-            hashes, words_of = arrays.word_hashes(data, offsets, lower=False)
             hold.append((batch.column(0).cast(pa.int64()), batch.column(1).to_numpy(zero_copy_only=False),
-                         hashes, np.diff(words_of), data, starts, ends))
+                         np.diff(np.searchsorted(starts, offsets)), ends - starts, data[~arrays.SPACE[data]]))
             size += len(data)
             if size >= SEND:
                 yield made()
@@ -414,6 +471,11 @@ def _blocks(docs: DataFrame) -> DataFrame:
 MET = "block long, i int, c long, sub binary, new boolean"
 
 
+def _kind(size: int) -> np.dtype:
+    """What holds an id of so many subwords."""
+    return np.dtype("<u2" if size <= 1 << 16 else "<u4")
+
+
 def encoded(words: list[str], m, coder: pieces.Coder, opens: np.ndarray) -> list[bytes]:
     """Ids of each word, as the library gives them for all words as one text.
 
@@ -437,24 +499,27 @@ def _met(pairs: DataFrame, shared) -> DataFrame:
     that every block has is never held at once.
     """
     whole = Window.partitionBy("word")
-    counted = pairs.select(
-        "block", "i", F.sum("n").over(whole).alias("c"),
-        (F.row_number().over(whole.orderBy("block", "i")) == 1).alias("new"), "word")
+    counted = pairs.select(  # a block has a word once
+        "block", "i", F.sum("n").over(whole).alias("c"), (F.min("block").over(whole) == F.col("block")).alias("new"), "word")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, model = shared.value
         coder, m, opens = _encoder(vocabulary, model)
+        kind = _kind(len(vocabulary.pieces))
 
         def told(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
             block, i, c, new, word = (pa.concat_arrays([b.column(k) for b in rows]) for k in range(5))
             words = word.dictionary_encode()
-            ids = pa.array(encoded(words.dictionary.to_pylist(), m, coder, opens), pa.binary())
+            data, ends = arrays.flat(pa.array(encoded(words.dictionary.to_pylist(), m, coder, opens), pa.binary()))
+            sub = np.frombuffer(data.tobytes(), "<u4").astype(kind)
+            ids = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [
+                None, pa.py_buffer((ends // 4 * kind.itemsize).astype(np.int32)), pa.py_buffer(sub)])
             return pa.RecordBatch.from_arrays([block, i, c, ids.take(words.indices), new], ["block", "i", "c", "sub", "new"])
 
         hold: list[pa.RecordBatch] = []
         for batch in batches:
             hold.append(batch)
-            if len(hold) == 16:  # words are short: some thousand together
+            if sum(b.num_rows for b in hold) >= 8192:  # words are short: some thousand together
                 yield told(hold)
                 hold = []
         if hold:
@@ -486,12 +551,14 @@ def _take(flat: np.ndarray, offsets: np.ndarray, at: np.ndarray) -> tuple[np.nda
 def subword_counts(met: DataFrame, size: int) -> np.ndarray:
     """Count of every subword id over all training words."""
 
+    kind = _kind(size)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
         for batch in batches:
             data, offsets = arrays.flat(batch.column(0))
-            n = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), np.diff(offsets) // 4)
-            total += np.bincount(np.frombuffer(data.tobytes(), "<u4"), weights=n, minlength=size)
+            n = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), np.diff(offsets) // kind.itemsize)
+            total += np.bincount(np.frombuffer(data.tobytes(), kind), weights=n, minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at].astype(np.int64))], ["id", "n"])
 
@@ -502,14 +569,14 @@ def subword_counts(met: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def _texts(batch: pa.RecordBatch, b: int) -> tuple:
+def _texts(batch: pa.RecordBatch, b: int, kind: np.dtype) -> tuple:
     """A block's (ids, held, words of each text, places, counts of its words, their subwords, offsets of these)."""
     ids, held, sizes, places, words = (batch.column(k)[b] for k in range(5))
     if words.is_valid:
         order = np.argsort(words.values.field("i").to_numpy(zero_copy_only=False))
         known = words.values.field("c").to_numpy(zero_copy_only=False)[order].astype(np.float64)
         data, sub_of = arrays.flat(words.values.field("sub").take(pa.array(order)))
-        sub, sub_of = np.frombuffer(data.tobytes(), "<u4").astype(np.int64), sub_of // 4
+        sub, sub_of = np.frombuffer(data.tobytes(), kind).astype(np.int64), sub_of // kind.itemsize
     else:  # texts without a word
         known, sub, sub_of = np.zeros(0), np.zeros(0, np.int64), np.zeros(1, np.int64)
     n = np.frombuffer(sizes.as_py(), "<u4").astype(np.int64)
@@ -530,13 +597,19 @@ def cut(stream: np.ndarray, offsets: np.ndarray, bos: int) -> tuple[np.ndarray,
     return text, nth, np.where(place < 0, bos, np.where(place < n[text][:, None], ids, -1)).astype("<i4")
 
 
-def windows_of(blocks: DataFrame, bos: int, eos: int) -> DataFrame:
+def _rows(x: np.ndarray) -> pa.Array:
+    """One binary value for each row."""
+    ends = np.arange(len(x) + 1, dtype=np.int32) * np.int32(x.shape[1] * x.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(x))])
+
+
+def windows_of(blocks: DataFrame, bos: int, eos: int, kind: np.dtype) -> DataFrame:
     """(doc_id, nth, ids): the windows of every training text of blocks that met their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in range(batch.num_rows):
-                ids, held, n, place, _, sub, sub_of = _texts(batch, b)
+                ids, held, n, place, _, sub, sub_of = _texts(batch, b, kind)
                 own = np.flatnonzero(~held.to_numpy(zero_copy_only=False))
                 names_ = ids.fill_null(0).to_numpy(zero_copy_only=False)[own]
                 place = place[np.repeat(~held.to_numpy(zero_copy_only=False), n)]
@@ -548,13 +621,27 @@ def windows_of(blocks: DataFrame, bos: int, eos: int) -> DataFrame:
                     ends = np.concatenate([[0], np.cumsum(each)])[offsets[lo + 1:hi + 1] - offsets[lo]]
                     stream = np.insert(flat, ends, eos)
                     text, nth, windows = cut(stream, np.concatenate([[0], ends + np.arange(1, hi - lo + 1)]), bos)
-                    raw = pa.array([w.tobytes() for w in windows], pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(names_[lo:hi][text].astype(np.int64)), pa.array(nth.astype(np.int64)), raw], ["doc_id", "nth", "ids"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(names_[lo:hi][text].astype(np.int64)), pa.array(nth.astype(np.int64)), _rows(windows)], ["doc_id", "nth", "ids"])
                     lo = hi
 
     return blocks.mapInArrow(run, "doc_id long, nth long, ids binary")
 
 
+def _kept(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder, well compressed, and where."""
+    path = scratch(df.sparkSession, purpose)
+    df.write.option("compression", "zstd").option("parquet.block.size", TOLD).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _drop(spark, *paths: str) -> None:
+    """Remove copies that no later step reads."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def _pairs(blocks: DataFrame) -> DataFrame:
     return blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("i", "w")).select(
         "block", "i", F.col("w.words").alias("word"), F.col("w.counts").cast("long").alias("n"))
@@ -570,7 +657,8 @@ def training_windows(docs: DataFrame, shared) -> DataFrame:
     """``windows_of`` all of ``docs`` (doc_id, text), each a training text."""
     blocks = _blocks(docs.select("doc_id", F.lit(False).alias("held"), "text"))
     vocabulary = shared.value[0]
-    return windows_of(_with_words(blocks, _met(_pairs(blocks), shared)), vocabulary.bos, vocabulary.eos)
+    kind = _kind(len(vocabulary.pieces))
+    return windows_of(_with_words(blocks, _met(_pairs(blocks), shared)), vocabulary.bos, vocabulary.eos, kind)
 
 
 def score(docs: DataFrame, held: Column, model: str) -> DataFrame:
@@ -580,12 +668,11 @@ def score(docs: DataFrame, held: Column, model: str) -> DataFrame:
     with open(model, "rb") as file:
         shared = spark.sparkContext.broadcast((vocab, file.read()))  # a tokenizer's file: bounded
     size = len(vocab.pieces)
+    kind = _kind(size)
     out_ = F.coalesce(held, F.lit(False)) | F.col("doc_id").isNull()
     source = docs.select("doc_id", out_.alias("held"), "text")
-    path = scratch(spark, "blocks")
-    _blocks(source).write.option("compression", "zstd").parquet(path)
-    blocks = spark.read.schema(BLOCK).parquet(path)
-    met = stored(_met(_pairs(blocks), shared), "words")
+    blocks, _ = _kept(_blocks(source), "blocks")
+    met, _ = _kept(_met(_pairs(blocks), shared), "words")
     release(spark)
     texts = int(source.where("not held").count())
     total, distinct = met.where("new and c > 0").agg(F.sum("c"), F.count("*")).first()
@@ -595,20 +682,19 @@ def score(docs: DataFrame, held: Column, model: str) -> DataFrame:
     subwords[vocab.eos] += texts
     classes, share, slot = class_table(subwords)
     joined = _with_words(blocks, met)
-    windows = stored(windows_of(joined, vocab.bos, vocab.eos), "windows")
-    release(spark)
-    weights = fit(start(classes), windows, classes, slot)
-    release(spark)
+    weights = fit(start(classes), windows_of(joined, vocab.bos, vocab.eos, kind), classes, slot)
     fitted = spark.sparkContext.broadcast((weights, classes, share, slot))
     under = float(np.log10(n_all + 0.5 * (v_all + 1)))
+    end_share = float(np.log(MIXED * texts / max(1, n_all) + 1e-300))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model_ = fitted.value
         for batch in batches:
             for b in range(batch.num_rows):
-                ids, held_, n, place, known, sub, sub_of = _texts(batch, b)
+                ids, held_, n, place, known, sub, sub_of = _texts(batch, b, kind)
                 doc = np.repeat(np.arange(len(n)), n)
                 base = np.bincount(doc, weights=np.log10(known + 0.5)[place], minlength=len(n))
+                part = np.log(MIXED * known / max(1, n_all) + 1e-300)
                 base += np.log10(texts + 0.5) - (n + 1) * under
                 n_known = np.bincount(doc, weights=(known > 0)[place], minlength=len(n)).astype(np.int64) + (texts > 0)
                 scores = np.zeros(len(n))
@@ -624,10 +710,10 @@ def score(docs: DataFrame, held: Column, model: str) -> DataFrame:
                     # Tokens are the words and each text's end: their ids' sum, mixed with their share.
                     stop = np.cumsum(n[lo:hi])
                     ids_of = np.insert(each, stop, 1)
-                    count = np.insert(known[place[offsets[lo]:offsets[hi]]], stop, texts)
+                    by_share = np.insert(part[place[offsets[lo]:offsets[hi]]], stop, end_share)
                     first = np.concatenate([[0], np.cumsum(ids_of)[:-1]])
-                    whole = np.add.reduceat(p.astype(np.float64), first)
-                    mixed = np.logaddexp(whole + np.log(1 - MIXED), np.log(MIXED * count / max(1, n_all) + 1e-300))
+                    by_model = np.add.reduceat(p.astype(np.float64), first) + np.log(1 - MIXED)
+                    mixed = np.maximum(by_model, by_share) + np.log(1 + np.exp(-np.abs(by_model - by_share)))
                     scores[lo:hi] = np.bincount(np.repeat(np.arange(hi - lo), n[lo:hi] + 1), weights=mixed, minlength=hi - lo)
                     lo = hi
                 scores /= np.log(10)

@@ -311,3 +311,41 @@ def test_every_training_text_is_learnt_from_and_the_share_grows(docs, spark):
     classes, _, slot = lm_score.class_table(np.ones(len(vocabulary.pieces)))
     lm = lm_score.fit(lm_score.start(classes), windows, classes, slot)
     assert all(np.isfinite(x).all() for x in lm.values())
+
+
+def test_large_scores_of_attention_are_not_cut():
+    """Relative to their largest, in training and in scoring alike."""
+    rng = np.random.default_rng(2)
+    classes, _, slot = lm_score.class_table(rng.integers(0, 50, 300).astype(float))
+    w = {k: v.astype(np.float64) for k, v in lm_score.start(classes).items()}
+    w["q"] *= 400
+    ids = rng.integers(0, 200, (4, 21))
+    x = w["emb"][ids] + w["place"][:21]
+    a = (x @ w["q"]) @ (x @ w["k"]).transpose(0, 2, 1) * lm_score.DIM ** -0.5 + np.triu(np.full((21, 21), -1e9), 1)
+    assert a.max() > 100
+    h = x + np.exp(lm_score.log_softmax(a)) @ (x @ w["v"]) @ w["o"]
+    want = h + np.maximum(h @ w["up"], 0) @ w["down"]
+    assert np.abs(lm_score.forward(w, ids)[0] - want).max() < 1e-5
+    assert np.abs(lm_score.hidden(w, ids) - want).max() < 1e-5
+    assert np.abs(lm_score.hidden(w, ids, 9) - want[:, 9:]).max() < 1e-5
+
+
+def test_windows_leave_no_files_once_learnt(docs, monkeypatch):
+    import os
+
+    monkeypatch.setattr(lm_score, "STEPS", 2)
+    paths, folder = [], lm_score.scratch
+    monkeypatch.setattr(lm_score, "scratch", lambda spark, purpose: paths.append(folder(spark, purpose)) or paths[-1])
+    rng = random.Random(4)
+    out = lm_score.score(docs([(i, prose(rng, "aa", 50)) for i in range(20)]), F.col("doc_id") % 5 == 1, tokenizer())
+    at = {p.removeprefix("file://"): os.path.basename(p).split("-")[0] for p in paths}
+    assert sorted(at.values()) == ["blocks", "windows", "words"]
+    assert [os.path.exists(p) for p, name in at.items() if name == "windows"] == [False]
+    assert out.count() == 20
+
+
+def test_words_that_are_no_text_are_one_word_where_they_read_alike():
+    import pyarrow as pa
+
+    words, place = lm_score._distinct(pa.array([b"a", b"\xff", b"a", b"\xfe", b"b"], pa.large_binary()))
+    assert words.to_pylist() == ["a", "�", "b"] and place.tolist() == [0, 1, 0, 1, 2]
