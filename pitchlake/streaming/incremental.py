@@ -8,6 +8,7 @@ rows only fill its blanks, which is resolved when the log is read. Lines that ca
 go to a log of rejected lines beside it.
 """
 
+import gc
 import json
 from collections.abc import Callable
 
@@ -25,6 +26,8 @@ SEASON = "temporada"
 FOLDERS = ("ordem", "carga", "batch_id")
 COLUMNS = [f.name for f in schemas.MATCHES.fields]
 BROKEN = "_linha"
+#: Seasons that a task of a document load writes side by side, without a sort of its rows, and the bytes it holds of each.
+SEASONS_OPEN, ROW_GROUP = 8, 32 << 20
 STATISTICS = T.StructType([
     *[f for f in schemas.TEAM_STATS.fields if f.name in ("id_jogo", "periodo", "clube", SEASON)],
     T.StructField("metricas", T.MapType(T.StringType(), T.StringType())),
@@ -158,7 +161,8 @@ def store_first(
 ) -> None:
     """Write the rows of documents that keyed state let through; the log is not read."""
     folder = f"{log_dir}/ordem={batch_id}/carga={carga}/batch_id={batch_id}"
-    sinks.align(flatten(batch), schema).write.mode("overwrite").partitionBy(SEASON).parquet(folder)
+    rows = sinks.align(flatten(batch), schema).write.mode("overwrite").partitionBy(SEASON)
+    rows.option("parquet.block.size", ROW_GROUP).parquet(folder)
 
 
 def compact_log(spark: SparkSession, log_dir: str, to: str, schema: T.StructType = schemas.MATCHES) -> None:
@@ -208,19 +212,34 @@ def load_match_csv(
 
 
 def _load_documents(spark, landing, log_dir, checkpoint, files_per_batch, schema, flatten) -> StreamingQuery:
-    """Documents of matches that the log does not have: the rest of a line never decides that."""
+    """Documents of matches that the log does not have: the rest of a line never decides that.
+
+    The stream carries ids and lengths; a batch reads the lines it stores from their files again.
+    """
     create_log(spark, log_dir, schema)
-    lines = _json(spark, landing, files_per_batch,
-                  "id_jogo BIGINT, casa STRING, fora STRING, temporada STRING, campeonato STRING, doc STRING", "doc")
-    bad = F.col("id_jogo").isNull() | F.col("doc").isNull()
+    ddl = "id_jogo BIGINT, casa STRING, fora STRING, temporada STRING, campeonato STRING, doc STRING"
+    lines = _json(spark, landing, files_per_batch, ddl, "doc")
+    bad, file = F.col("id_jogo").isNull() | F.col("doc").isNull(), F.xxhash64("_metadata.file_path")
     known = read_log(spark, log_dir, schema).filter(F.col("id_jogo").isNotNull())
-    first = keyed.first_deliveries(lines.filter(~bad).drop(BROKEN), "id_jogo", "doc", known)
+    first = keyed.first_places(lines.filter(~bad), "id_jogo", "doc", file, known)
+
+    def store(places: DataFrame, batch_id: int, carga: str) -> None:
+        places.sparkSession.conf.set("spark.sql.maxConcurrentOutputFileWriters", SEASONS_OPEN)  # the stream's own session
+        places.persist()
+        try:
+            landed = _reader(places.sparkSession.read, ddl).json(landing).filter(~bad).drop(BROKEN)
+            store_first(keyed.lines_at(landed, places, "id_jogo", "doc", file),
+                        batch_id, log_dir, carga, schema, flatten)
+        finally:
+            places.unpersist()
+        gc.collect()  # the driver's garbage holds the shuffle files of what is stored now
+        spark._jvm.System.gc()
+
     rejected = _start(
         lines.filter(bad).select(F.coalesce(BROKEN, F.to_json(F.struct(*lines.drop(BROKEN).columns))).alias("linha")), f"{checkpoint.rstrip('/')}/rejeitados",
         lambda df, i, carga: df.write.mode("overwrite").parquet(f"{rejected_dir(log_dir)}/carga={carga}/batch_id={i}"))
     rejected.awaitTermination()
-    return _start(first, f"{checkpoint.rstrip('/')}/linhas",
-                  lambda df, i, carga: store_first(df, i, log_dir, carga, schema, flatten))
+    return _start(first, f"{checkpoint.rstrip('/')}/linhas", store)
 
 
 def load_statistics(spark: SparkSession, landing: str, log_dir: str, checkpoint: str,
@@ -251,12 +270,16 @@ def load_goals(spark: SparkSession, landing: str, log_dir: str, checkpoint: str,
 
 def _json(spark, landing: str, files_per_batch: int | None, ddl: str, body: str) -> DataFrame:
     """Landed JSON lines with the raw line, or the body where the line is whole, in ``_linha``."""
-    reader = spark.readStream.schema(f"{ddl}, {BROKEN} STRING").option("columnNameOfCorruptRecord", BROKEN)
+    reader = _reader(spark.readStream, ddl)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(landing).withColumn(BROKEN, F.coalesce(BROKEN, body))
 
 
+def _reader(reader, ddl: str):
+    return reader.schema(f"{ddl}, {BROKEN} STRING").option("columnNameOfCorruptRecord", BROKEN)
+
+
 def _start(rows: DataFrame, checkpoint: str, store: Callable[[DataFrame, int, str], None]) -> StreamingQuery:
     def identity() -> str:
         """The id that Spark gives a checkpoint and keeps in it."""

@@ -9,11 +9,15 @@ counts. A loader that starts with a new checkpoint takes the ids of the log as i
 State grows by one id for each match; a checkpoint of another ``SHARDS`` must be renewed. Two loaders
 that run on one log at the same time do not see each other; ``first_rows`` settles that when
 the log is read.
+
+Documents are wide, so a load sends only their ids and lengths through state (``first_places``) and
+reads the lines it stores from their files again (``lines_at``): a document that was delivered before
+is neither shuffled nor sorted, a new one is shuffled once and not sorted.
 """
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -23,6 +27,10 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 #: Keys of state; its layout, so a running checkpoint depends on it.
 SHARDS = 1 << 13
 SHARD = "_fragmento"
+#: Columns of a place: length of the id's longest document, how many rows have it, the marks of their files.
+LENGTH, COPIES, FILES = "_tamanho", "_copias", "_arquivos"
+#: Places that a task of ``lines_at`` holds, at about a hundred bytes each.
+HELD = 250_000
 
 
 def use_state(spark: SparkSession) -> None:
@@ -68,17 +76,82 @@ class FirstDelivery(StatefulProcessor):
         pass
 
 
-def first_deliveries(rows: DataFrame, key: str, body: str, known: DataFrame | None = None) -> DataFrame:
-    """The first row of each key of a stream; keys in ``known`` count as delivered.
+class FirstPlaces(FirstDelivery):
+    """The same state from rows of id, length and file: one row for each new id."""
 
-    ``known`` is read when the checkpoint is new, and by no later batch.
-    """
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        known = self._ids()
+        old, first = set(known), {}
+        for r in rows:
+            id_, length = r[self.key], r[self.body]
+            if id_ in old:
+                continue
+            most = first.get(id_)
+            if most is None or length > most[0]:
+                first[id_] = most = [length, 0, set()]
+            if length == most[0]:
+                most[1] += 1
+                most[2].add(r[FILES])
+        if first:
+            self.seen.update((known + list(first),))
+        place = Row(self.key, LENGTH, COPIES, FILES)
+        for id_, (length, copies, files) in first.items():
+            yield place(id_, length, copies, sorted(files))
+
+
+def _through_state(rows: DataFrame, key: str, known: DataFrame | None, processor: StatefulProcessor, out: T.StructType) -> DataFrame:
     use_state(rows.sparkSession)
     shard = F.pmod(F.xxhash64(key), F.lit(SHARDS)).alias(SHARD)
     start = None if known is None else known.select(key).distinct().groupBy(shard).agg(F.collect_list(key).alias("ids")).groupBy(SHARD)
     return rows.select("*", shard).groupBy(SHARD).transformWithState(
-        statefulProcessor=FirstDelivery(key, rows.schema[key].dataType, body), outputStructType=rows.schema,
-        outputMode="Append", timeMode="None", initialState=start)
+        statefulProcessor=processor, outputStructType=out, outputMode="Append", timeMode="None", initialState=start)
+
+
+def first_deliveries(rows: DataFrame, key: str, body: str, known: DataFrame | None = None) -> DataFrame:
+    """The first row of each key of a stream; keys in ``known`` count as delivered.
+
+    ``known`` is read when the checkpoint is new, and by no later batch. Whole rows are shuffled and
+    sorted; for wide ones take ``first_places``.
+    """
+    return _through_state(rows, key, known, FirstDelivery(key, rows.schema[key].dataType, body), rows.schema)
+
+
+def first_places(rows: DataFrame, key: str, body: str, file: Column, known: DataFrame | None = None) -> DataFrame:
+    """Where ``first_deliveries`` finds its rows: key, length of ``body``, number of rows that have it, marks of their files.
+
+    ``file`` marks the file of a row (a BIGINT), the same way for ``lines_at``.
+    """
+    kind = rows.schema[key].dataType
+    narrow = rows.select(key, F.length(body).alias(LENGTH), file.alias(FILES))
+    out = T.StructType([T.StructField(key, kind), T.StructField(LENGTH, T.IntegerType()), T.StructField(COPIES, T.LongType()),
+                        T.StructField(FILES, T.ArrayType(T.LongType()))])
+    return _through_state(narrow, key, known, FirstPlaces(key, kind, LENGTH), out)
+
+
+def lines_at(lines: DataFrame, places: DataFrame, key: str, body: str, file: Column) -> DataFrame:
+    """The rows that ``first_deliveries`` gives, read again from the files of ``places``.
+
+    ``places`` is read several times, so it should be persisted. Rows are dealt by id and meet a hash table
+    of places; only where an id has several longest rows are these sorted, to take the one that
+    ``FirstDelivery`` takes.
+    """
+    marks = [r[0] for r in places.select(F.explode(FILES)).distinct().collect()]
+    count, most = places.agg(F.count(F.lit(1)), F.max(COPIES)).first()
+    tasks = max(int(places.sparkSession.conf.get("spark.sql.shuffle.partitions")), count // HELD + 1)
+    found = (lines.filter(file.isin(marks)) if marks else lines.filter(F.lit(False))).repartition(tasks, key)
+
+    def met(some: Column) -> DataFrame:
+        table = places.filter(some).select(key, LENGTH).repartition(tasks, key).hint("shuffle_hash")
+        # No row is longer than its place says; an equality would become a second key to deal by.
+        return found.join(table, key).filter(F.length(body) >= F.col(LENGTH)).select(lines.columns)
+
+    single = met(F.col(COPIES) == 1)
+    if most is None or most == 1:
+        return single
+    said = F.udf(repr, "string")(F.struct(*[c for c in lines.columns if c != body]))
+    tied = met(F.col(COPIES) > 1).withColumn("_dito", said).groupBy(key).agg(
+        F.max_by(F.struct(*lines.columns), F.struct(body, "_dito")).alias("_linha")).select("_linha.*")
+    return single.unionByName(tied)
 
 
 def first_rows(log: DataFrame, key: str, order: list[str]) -> DataFrame:

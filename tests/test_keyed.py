@@ -95,3 +95,82 @@ def test_a_shard_of_ids_costs_one_read_and_one_write_of_state():
     del calls[:]
     assert [r.id for r in first.handleInputRows((0,), iter([row(i, "longer", "x") for i in range(103)]), None)] == [102]
     assert calls == ["get", "update"] and not list(first.handleInputRows((0,), iter(rows), None)) and calls[2:] == ["get"]
+
+
+def line(id_, home, season, text):
+    return json.dumps({"id_jogo": id_, "casa": home, "fora": "A", "temporada": season, "campeonato": "L", "doc": text})
+
+
+def test_lines_are_read_again_as_keyed_state_chooses_them(spark, tmp_path, monkeypatch):
+    """Files with odd names, equal copies, documents of one length, one document under several contexts."""
+    got, landing = [], tmp_path / "land ing"
+    monkeypatch.setattr(incremental, "store_first", lambda df, *rest: got.extend(df.collect()))
+    contexts = [("H", "2025"), ("H", None), ("H B", "2025"), ("H", "2024")]
+    lines = [line(i % 9, *contexts[(i // 9) % 4], "xy"[i % 2] * (1 + i % (2 + i % 9 // 3))) for i in range(120)] + [line(50, "H", "2025", "only")]
+    for k, name in enumerate(("a b%20.json", "\u00e9{1}[x].json", "c.json")):
+        land(landing, name, lines[k::3] + ["{broken", lines[k]])
+    load = lambda: incremental.load_statistics(spark, str(landing), str(tmp_path / "log"), str(tmp_path / "state")).awaitTermination()
+    load()
+    first, best = keyed.FirstDelivery("id_jogo", T.LongType(), "doc"), {}
+    for text in lines:
+        r = Row(**json.loads(text))
+        if r.id_jogo not in best or first._before(r, best[r.id_jogo]):
+            best[r.id_jogo] = r
+    assert sorted(map(repr, got)) == sorted(map(repr, best.values())) and len(got) == 10
+    del got[:]
+    load()
+    assert got == []
+    land(landing, "d.json", [line(3, "H", "2025", "a much longer text"), line(51, "H", "2025", "new")])
+    load()
+    assert [(r.id_jogo, r.doc) for r in got] == [(51, "new")]
+
+
+def test_documents_are_shuffled_once_when_new_and_never_when_known(spark, tmp_path, monkeypatch):
+    steps = []
+
+    def seen(df, *rest):
+        df.write.format("noop").mode("overwrite").save()
+        steps.append(df._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0].split("\n"))
+
+    monkeypatch.setattr(incremental, "store_first", seen)
+    for name in ("a.json", "b.json"):
+        land(tmp_path / "landing", name, [doc(i, "2025", "3") for i in range(20)])
+        incremental.load_statistics(spark, str(tmp_path / "landing"), str(tmp_path / "log"), str(tmp_path / "state")).awaitTermination()
+    new, known = ["\n".join(s) for s in steps]
+    assert "ShuffledHashJoin" in new and "Sort" not in new and new.count("FileScan json") == 1
+    assert "FileScan json" not in known
+
+
+def test_a_place_is_one_row_for_each_new_id():
+    class Handle:
+        def getValueState(self, name, schema):
+            return self
+
+        def get(self):
+            return ([7],)
+
+        def update(self, value):
+            self.value = value
+
+    first, handle, row = keyed.FirstPlaces("id", T.LongType(), keyed.LENGTH), Handle(), Row("id", keyed.LENGTH, keyed.FILES)
+    first.init(handle)
+    data = [row(1, 5, 10), row(7, 9, 10), row(1, 6, 11), row(1, 6, 12), row(1, 6, 11), row(2, 0, 10), row(1, 5, 13)]
+    assert [tuple(r) for r in first.handleInputRows((0,), iter(data), None)] == [(1, 6, 3, [11, 12]), (2, 0, 1, [10])]
+    assert handle.value == ([7, 1, 2],)
+
+
+def test_queries_land_compressed_files_of_some_lines(spark, monkeypatch):
+    from verification import queries_ingest as queries
+
+    monkeypatch.setattr(queries, "LANDED_LINES", 4)
+    counts, names = [], set()
+
+    def load(spark, landing, log, state):
+        counts.append(spark.read.json(landing).count())
+        names.update(p.name for p in pathlib.Path(landing.removeprefix("file:")).glob("part-*"))
+        incremental.create_log(spark, log, incremental.STATISTICS)
+        return type("Load", (), {"awaitTermination": lambda self: None})()
+
+    lines = spark.range(10).selectExpr("id AS id_jogo", "'x' AS doc").coalesce(1)
+    queries._twice(spark, load, lines, incremental.STATISTICS)
+    assert counts == [10, 20, 30] and len(names) == 9 and all(n.endswith(".json.gz") for n in names)

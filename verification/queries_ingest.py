@@ -567,12 +567,19 @@ def x02(spark, sf):
         "id_jogo", iso("data"), "casa", "fora", "gols_casa", dbl("odd_casa"))
 
 
+#: Lines of a landed file: it is compressed, so one task reads it, about as much text as a split has.
+LANDED_LINES = 100_000
+
+
 def _twice(spark, load, documents_, schema):
-    """Load the documents, land them all again, and load under the same and a new checkpoint."""
+    """Load the documents, land them all again, and load under the same and a new checkpoint.
+
+    The three landed copies lie beside each other until the end, so they are compressed.
+    """
     landing, log, state = (shared_dir(spark, n) for n in ("landing", "log", "state"))
     lines = documents_.withColumn("campeonato", F.lit("Copa")) if "campeonato" not in documents_.columns else documents_
     for where in (state, state, shared_dir(spark, "state")):
-        lines.write.mode("append").json(landing)
+        lines.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", LANDED_LINES).json(landing)
         load(spark, landing, log, where).awaitTermination()
     return incremental.read_log(spark, log, schema)
 
