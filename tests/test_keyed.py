@@ -174,3 +174,22 @@ def test_queries_land_compressed_files_of_some_lines(spark, monkeypatch):
     lines = spark.range(10).selectExpr("id AS id_jogo", "'x' AS doc").coalesce(1)
     queries._twice(spark, load, lines, incremental.STATISTICS)
     assert counts == [10, 20, 30] and len(names) == 9 and all(n.endswith(".json.gz") for n in names)
+
+
+def test_goals_of_many_seasons_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    """Without a sort up to some seasons, all of them beyond; only the stream's own session is set so."""
+    setting, held, store = "spark.sql.maxConcurrentOutputFileWriters", [], incremental.store_first
+    before = spark.conf.get(setting, None)
+
+    def seen(df, *rest):
+        held.append(df.sparkSession.conf.get(setting))
+        store(df, *rest)
+
+    monkeypatch.setattr(incremental, "store_first", seen)
+    goal = json.dumps({"incidents": [{"incidentType": "goal", "time": 5, "isHome": True}]})
+    seasons = [str(2000 + i) for i in range(incremental.SEASONS_OPEN + 4)]
+    land(tmp_path / "landing", "a.json", [line(i, "H", seasons[i % len(seasons)], goal) for i in range(60)])
+    incremental.load_goals(spark, str(tmp_path / "landing"), str(tmp_path / "log"), str(tmp_path / "state")).awaitTermination()
+    rows = incremental.read_log(spark, str(tmp_path / "log"), incremental.schemas.GOALS).collect()
+    assert sorted((r.id_jogo, r.temporada, r.minutos) for r in rows) == [(i, seasons[i % len(seasons)], 5) for i in range(60)]
+    assert held == [str(incremental.SEASONS_OPEN)] and spark.conf.get(setting, None) == before
